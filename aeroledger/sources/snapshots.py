@@ -1,0 +1,42 @@
+"""Replaceable Parquet tables: each write goes to a new folder, readers take the newest finished one.
+
+A table cannot be overwritten while the same job reads it.  Spark's own
+``_SUCCESS`` marker says that a folder is complete, so a job that dies half way
+leaves the previous state in place.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from aeroledger.sources.tables import list_names, path_exists, read_table
+
+PREFIX = "version_"
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    return [int(n[len(PREFIX):]) for n in list_names(spark, root) if n.startswith(PREFIX)]
+
+
+def _folder(root: str, version: int) -> str:
+    return f"{root}/{PREFIX}{version:010d}"
+
+
+def current_path(spark: SparkSession, root: str) -> str | None:
+    """Folder of the newest finished write."""
+    for version in sorted(_versions(spark, root), reverse=True):
+        if path_exists(spark, f"{_folder(root, version)}/_SUCCESS"):
+            return _folder(root, version)
+    return None
+
+
+def read_current(spark: SparkSession, root: str) -> DataFrame | None:
+    path = current_path(spark, root)
+    return read_table(spark, path) if path else None
+
+
+def write_next(df: DataFrame, root: str) -> str:
+    """Write the table's next state and return its folder."""
+    path = _folder(root, max(_versions(df.sparkSession, root), default=0) + 1)
+    df.write.mode("errorifexists").parquet(path)
+    return path
