@@ -30,18 +30,22 @@ HISTORY = 14
 def delay_features(rotation: DataFrame, leak_free: bool = True, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Rotation rows that have an earlier leg, with target ``future_delay`` and the eight features.
 
-    ``previous_cascade_indicator`` is the cascade flag of the earlier leg.  With
+    ``previous_cascade_indicator`` is the cascade flag of the earlier leg, taken
+    from ``prev_is_cascade_delay`` where the rotation has it, else looked up.  With
     ``leak_free=False`` it is the row's own flag, which already knows the target.
     """
     require_columns(rotation, ["flight_id", "aircraft_id", "flight_date", "scheduled_departure", "delay_minutes",
                                "prev_flight_id", "prev_delay_minutes", "prev_actual_departure",
                                "turnaround_minutes", "propagated_delay_min", "is_cascade_delay"])
-    if leak_free:
+    rows = rotation
+    if not leak_free:
+        cascade = F.col("is_cascade_delay")
+    elif "prev_is_cascade_delay" in rotation.columns:
+        cascade = F.col("prev_is_cascade_delay")
+    else:
         rows = with_sequence(rotation, ["aircraft_id", "flight_date"], ["scheduled_departure", "flight_id"],
-                             ["is_cascade_delay"], prev="_before", heavy_rows=heavy_rows).drop("_seq")
+                             ["is_cascade_delay"], prevs=["_before"], heavy_rows=heavy_rows).drop("_seq")
         cascade = F.col("_before.is_cascade_delay")
-    else:
-        rows, cascade = rotation.withColumn("_before", F.lit(None)), F.col("is_cascade_delay")
     earlier = numeric("prev_delay_minutes")
     return (rows.filter(F.col("prev_flight_id").isNotNull()).withColumns({
         "future_delay": flag(F.col("delay_minutes") > 0),
@@ -51,7 +55,7 @@ def delay_features(rotation: DataFrame, leak_free: bool = True, heavy_rows: int
         "scheduled_departure_hour": F.coalesce(F.hour("scheduled_departure"), F.lit(0)),
         "scheduled_departure_day": F.coalesce(F.weekday("scheduled_departure"), F.lit(0)),
         "previous_propagated_delay": numeric("propagated_delay_min"),
-        "previous_cascade_indicator": F.coalesce(cascade.cast("int"), F.lit(0))}).drop("_before"))
+        "previous_cascade_indicator": F.coalesce(cascade.cast("int"), F.lit(0))}).drop("_before", "prev_is_cascade_delay"))
 
 
 def stratified_split(df: DataFrame, label: str = "future_delay", identity: str = "flight_id", frac: float = 0.8,

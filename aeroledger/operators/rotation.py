@@ -11,22 +11,26 @@ from aeroledger.operators.skew import HEAVY_ROWS, with_sequence
 CARRIED = ("flight_id", "scheduled_departure", "actual_departure", "delay_minutes")
 
 
-def rotation_delay_propagation(flights: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def rotation_delay_propagation(flights: DataFrame, history: bool = False,
+                               heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """One row per flight with its place in the aircraft's day and the delay inherited from the leg before.
 
     A missing delay counts as zero; cancelled legs stay in the rotation.  The
     whole previous leg travels as one struct, so a single window pass serves
-    every ``prev_`` column.
+    every ``prev_`` column.  ``history`` adds ``prev_is_cascade_delay``, the flag
+    of the leg before, which looks two legs back.
     """
     legs = flights.select(
         "flight_id", "route_id", "aircraft_id", F.to_date("scheduled_departure").alias("flight_date"),
         "scheduled_departure", "actual_departure", "status",
         F.coalesce(F.col("delay_minutes").cast("double"), F.lit(0.0)).alias("delay_minutes"))
     legs = with_sequence(legs, ["aircraft_id", "flight_date"], ["scheduled_departure", "flight_id"], CARRIED,
-                         seq="rotation_sequence", prev="_leg", heavy_rows=heavy_rows)
+                         seq="rotation_sequence", prevs=["_leg", "_leg2"] if history else ["_leg"],
+                         heavy_rows=heavy_rows)
     late = F.col("delay_minutes") > 0
     inherited = F.col("_leg.delay_minutes") > 0
     cascade = late & inherited
+    earlier = [flag(inherited & (F.col("_leg2.delay_minutes") > 0)).alias("prev_is_cascade_delay")] if history else []
     return legs.select(
         "flight_id", "route_id", "aircraft_id", "flight_date",
         F.col("rotation_sequence").cast("int").alias("rotation_sequence"),
@@ -36,7 +40,7 @@ def rotation_delay_propagation(flights: DataFrame, heavy_rows: int = HEAVY_ROWS)
         F.when(inherited, F.col("_leg.delay_minutes")).otherwise(F.lit(0.0)).alias("propagated_delay_min"),
         flag(cascade).alias("is_cascade_delay"),
         F.when(cascade, F.lit("PROPAGATED")).when(late, F.lit("PRIMARY_DELAY"))
-        .otherwise(F.lit("NO_DELAY")).alias("delay_propagation_flag"))
+        .otherwise(F.lit("NO_DELAY")).alias("delay_propagation_flag"), *earlier)
 
 
 def rotation_counts(rotation: DataFrame) -> DataFrame:

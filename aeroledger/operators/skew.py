@@ -35,9 +35,8 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], identity: Sequence[str | Colu
 
 
 def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = (),
-                  seq: str = "_seq", prev: str | None = None,
-                  heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Row number per key (column ``seq``) and the previous row's ``carry`` values (struct ``prev``).
+                  seq: str = "_seq", prevs: Sequence[str] = (), heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Row number per key (column ``seq``) and the ``carry`` values of the rows before (a struct per name in ``prevs``).
 
     ``order`` must be a total order within a key; NULLs come first.  Ordinary
     groups take one shuffle and one sort.  Heavy groups are range-partitioned by
@@ -45,32 +44,35 @@ def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], carr
     slice edges, so no task ever sorts a whole heavy group.
     """
     order_cols = [F.col(c) for c in order]
+    depth = len(prevs)
     hot = F.broadcast(heavy_keys(df, keys, [*keys, *order], heavy_rows))
     on = null_safe_on(df, hot, keys)
 
+    def lags(window) -> dict[str, Column]:
+        return {name: F.lag(F.struct(*carry), i + 1).over(window) for i, name in enumerate(prevs)}
+
     w = Window.partitionBy(*keys).orderBy(*order_cols)
-    plain = df.join(hot, on, "left_anti").withColumn(seq, F.row_number().over(w).cast("long"))
-    if prev:
-        plain = plain.withColumn(prev, F.lag(F.struct(*carry)).over(w))
+    plain = (df.join(hot, on, "left_anti")
+             .withColumns({seq: F.row_number().over(w).cast("long"), **lags(w)}))
 
-    sliced = (df.join(hot, on, "left_semi")
-              .repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id()))
     in_slice = Window.partitionBy("_slice", *keys).orderBy(*order_cols)
-    sliced = (sliced.withColumn("_rn", F.row_number().over(in_slice))
-              .withColumn("_last", F.lead(F.lit(1)).over(in_slice).isNull()))
-    if prev:
-        sliced = sliced.withColumn("_near", F.lag(F.struct(*carry)).over(in_slice))
-    # First and last rows of all slices of a key meet in one small group (two rows per slice).
-    sliced = sliced.withColumn("_edge", (F.col("_rn") == 1) | F.col("_last"))
+    reach = max(depth, 1)
+    sliced = (df.join(hot, on, "left_semi")
+              .repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id())
+              .withColumns({"_rn": F.row_number().over(in_slice),
+                            "_last": F.lead(F.lit(1), 1).over(in_slice).isNull(),
+                            "_near_end": F.lead(F.lit(1), reach).over(in_slice).isNull(),
+                            **{f"_in_{name}": c for name, c in lags(in_slice).items()}})
+              .withColumn("_edge", (F.col("_rn") <= reach) | F.col("_near_end")))
+    # The first and last rows of all slices of a key meet in one small group (a few rows per slice).
     edges = Window.partitionBy(*keys, "_edge", F.when(~F.col("_edge"), F.col("_slice"))).orderBy(*order_cols)
     before = F.sum(F.when(F.col("_last"), F.col("_rn"))).over(edges.rowsBetween(Window.unboundedPreceding, -1))
-    sliced = sliced.withColumn("_offset", F.when(F.col("_edge"), F.coalesce(before, F.lit(0))))
-    if prev:
-        sliced = sliced.withColumn(
-            prev, F.when(F.col("_rn") > 1, F.col("_near")).otherwise(F.lag(F.struct(*carry)).over(edges)))
+    sliced = sliced.withColumns({
+        "_offset": F.when(F.col("_edge"), F.coalesce(before, F.lit(0))),
+        **{name: F.when(F.col("_rn") > i + 1, F.col(f"_in_{name}")).otherwise(lag)
+           for i, (name, lag) in enumerate(lags(edges).items())}})
     whole_slice = Window.partitionBy(*keys, "_slice").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    sliced = sliced.withColumn(
-        seq, (F.col("_rn") + F.first("_offset").over(whole_slice)).cast("long"))
+    sliced = sliced.withColumn(seq, (F.col("_rn") + F.first("_offset").over(whole_slice)).cast("long"))
     return plain.unionByName(sliced.select(*plain.columns))
 
 

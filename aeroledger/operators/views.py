@@ -102,9 +102,9 @@ def flights_live(flights: DataFrame, scored: DataFrame, limit: int = 100) -> Dat
     The page is cut before the join, so at most ``MAX_PAGE`` rows look for alerts.
     """
     shown = page(flights, ["scheduled_departure", "flight_id"], limit)
-    columns = [c for c in LIVE_COLUMNS if c in scored.columns]
+    columns = sorted([c for c in LIVE_COLUMNS if c in scored.columns], key=lambda c: c != "priority")
     wanted = scored.join(F.broadcast(shown.select("flight_id")), "flight_id", "left_semi")
-    first = F.min(F.struct(*[c for c in ("priority", *columns) if c in scored.columns]))
+    first = F.min(F.struct(*columns))
     one = wanted.groupBy("flight_id").agg(first.alias("_a"))
     return shown.join(one, "flight_id", "left").select(*flights.columns, *[F.col(f"_a.{c}").alias(c) for c in columns])
 
@@ -139,7 +139,8 @@ def notification_summary(audit: DataFrame) -> DataFrame:
 
 def notifications_view(audit: DataFrame, limit: int = 1000) -> DataFrame:
     """Audit rows, newest first, with the delivery counts of the whole audit."""
-    newest = [F.desc_nulls_last("timestamp"), F.asc("alert_id"), F.asc("notification_channel")]
+    newest = [F.desc_nulls_last("timestamp"), *[F.asc_nulls_last(c) for c in (
+        "alert_id", "notification_channel", "trigger_reason") if c in audit.columns]]
     return attach(page(audit, newest, limit), notification_summary(audit))
 
 

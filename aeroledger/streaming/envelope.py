@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,28 +14,29 @@ from aeroledger.schemas import EVENT_TYPES
 
 ENVELOPE = T.StructType([T.StructField(c, T.StringType()) for c in
                          ("event_id", "event_type", "topic", "key", "event_time", "payload", "_produced_at")])
+STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 ENVELOPE_KEYS = ("event_id", "event_type", "topic", "event_time", "payload")
 
 
 def build_envelopes(event_type: str, rows: DataFrame, produced_at: Column | None = None,
-                    event_id: Column | None = None) -> DataFrame:
-    """(topic, key, event_time, value) for rows that carry the payload columns of ``event_type``.
+                    event_id: Column | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """(topic, key, event_time, value, *keep) for rows that carry the payload columns of ``event_type``.
 
     The id derives from type, key, time and payload, so a retried task does not
     create new events.
     """
     spec = EVENT_TYPES[event_type]
-    payload = F.struct(*[F.col(f.name).cast(f.dataType) for f in spec["payload"].fields])
-    keep_nulls = {"ignoreNullFields": "false"}
+    payload = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in spec["payload"].fields])
+    as_json = {"ignoreNullFields": "false", "timestampFormat": STAMP}
     body = rows.select(F.col(spec["key"]).cast("string").alias("key"), F.col(spec["time"]).cast("timestamp").alias("event_time"),
-                       payload.alias("payload"), (event_id if event_id is not None else F.lit(None)).alias("_id"))
+                       payload.alias("payload"), (event_id if event_id is not None else F.lit(None)).alias("_id"), *keep)
     ident = F.coalesce(F.col("_id").cast("string"),
-                       short_id(F.lit(event_type), "key", "event_time", F.to_json("payload")))
+                       short_id(F.lit(event_type), "key", "event_time", F.to_json("payload", as_json)))
     value = F.struct(ident.alias("event_id"), F.lit(event_type).alias("event_type"), F.lit(spec["topic"]).alias("topic"),
                      "key", "event_time", "payload",
                      (produced_at if produced_at is not None else F.lit(None)).cast("timestamp").alias("_produced_at"))
     return body.select(F.lit(spec["topic"]).alias("topic"), "key", "event_time",
-                       F.to_json(value, keep_nulls).alias("value"))
+                       F.to_json(value, as_json).alias("value"), *keep)
 
 
 def event_feed(flights: DataFrame | None = None, baggage: DataFrame | None = None,
