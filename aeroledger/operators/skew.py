@@ -76,46 +76,43 @@ def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], carr
     return plain.unionByName(sliced.select(*plain.columns))
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, buckets: int = 4096) -> DataFrame:
+def exact_quantile(df: DataFrame, column: str, q: float, bits: int = 12) -> DataFrame:
     """One row, column ``quantile``: the linearly interpolated quantile of the non-NULL values.
 
-    Exact, yet no task sees all values: two rounds of equal-width histograms
-    narrow the search to the buckets that hold the two ranks needed.
+    Exact, yet no task sees all values: equal-width buckets on two levels (2**bits
+    coarse ones, each split as often again) lead to the one or two fine buckets
+    that hold the ranks needed, and only their distinct values are ranked.
     """
-    values = (df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    values = (df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
               .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
     pos = (F.sum("n") - 1) * F.lit(float(q))
     stats = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.floor(pos).alias("k"),
-                                (pos - F.floor(pos)).alias("frac")).alias("s"))
-    held = values.withColumn("_s", stats.scalar()).select("v", "n", "_s.*")
-
-    def narrow(data: DataFrame, lo: str, hi: str, within: list[str], level: str) -> DataFrame:
-        """Keep the buckets holding rank k or k+1 (rank counted over the whole data)."""
-        span = F.col(hi) - F.col(lo)
-        bucket = F.when(span > 0, F.least(F.floor((F.col("v") - F.col(lo)) / span * buckets),
-                                          F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-        data = data.withColumn(level, bucket)
-        sizes = (data.groupBy(*within, level)
-                 .agg(F.sum("n").alias("size"), F.min("v").alias(f"{level}_lo"), F.max("v").alias(f"{level}_hi"),
-                      F.first("k").alias("k_"), *([F.first("below").alias("below_")] if within else [])))
-        run = Window.partitionBy(*within).orderBy(level).rowsBetween(Window.unboundedPreceding, -1)
-        start = F.coalesce(F.sum("size").over(run), F.lit(0)) + (F.col("below_") if within else F.lit(0))
-        keep = (sizes.withColumn("below", start)
-                .filter((F.col("k_") + 1 >= F.col("below")) & (F.col("k_") < F.col("below") + F.col("size")))
-                .select(*within, level, "below", f"{level}_lo", f"{level}_hi"))
-        data = data.drop("below")
-        # At most one bucket per rank and enclosing bucket survives: two rows, four on the second round.
-        return data.join(F.broadcast(keep), [*within, level])
-
-    first = narrow(held, "lo", "hi", [], "b1")
-    second = narrow(first, "b1_lo", "b1_hi", ["b1"], "b2")
-    run = Window.partitionBy("b1", "b2").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = second.withColumn("start", F.col("below") + F.coalesce(F.sum("n").over(run), F.lit(0)))
+                                (pos - F.floor(pos)).alias("frac")).alias("s")).scalar()
+    span = F.col("_s.hi") - F.col("_s.lo")
+    top = (1 << 2 * bits) - 1
+    fine = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("_s.lo")) / span * top), F.lit(top))).otherwise(F.lit(0))
+    placed = values.withColumn("_s", stats).select("v", "n", F.col("_s.k").alias("k"), F.col("_s.frac").alias("frac"),
+                                                   fine.alias("fine"))
+
+    def holding(sizes: DataFrame, bucket: str, base: Column, *within: str) -> DataFrame:
+        """Buckets that hold rank k or k+1, with the number of values below them."""
+        run = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+        return (sizes.withColumn("_start", base + F.coalesce(F.sum("n").over(run), F.lit(0)))
+                .filter((F.col("k") + 1 >= F.col("_start")) & (F.col("k") < F.col("_start") + F.col("n"))))
+
+    by_fine = (placed.groupBy("fine").agg(F.sum("n").alias("n"), F.first("k").alias("k"))
+               .withColumn("coarse", F.shiftright("fine", bits)))
+    by_coarse = by_fine.groupBy("coarse").agg(F.sum("n").alias("n"), F.first("k").alias("k"))
+    coarse = holding(by_coarse, "coarse", F.lit(0)).select("coarse", F.col("_start").alias("below"))
+    # Two coarse buckets at most, hence at most 2 * 2**bits fine ones, of which at most two hold a rank.
+    kept = holding(by_fine.join(F.broadcast(coarse), "coarse"), "fine", F.col("below"), "coarse")
+    final = placed.join(F.broadcast(kept.select("fine", F.col("_start").alias("below"))), "fine")
+    ranked = holding(final, "v", F.col("below"), "fine")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("start") + F.col("n")), F.col("v")))
+        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("n")), F.col("v")))
 
-    found = placed.agg(at(F.col("k")).alias("a"), at(F.col("k") + 1).alias("b"), F.max("frac").alias("frac"))
+    found = ranked.agg(at(F.col("k")).alias("a"), at(F.col("k") + 1).alias("b"), F.max("frac").alias("frac"))
     return found.select(F.when(F.col("frac") == 0, F.col("a"))
                         .otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("quantile"))
 

@@ -23,6 +23,7 @@ NOW = datetime(2024, 2, 1, 6, 0, tzinfo=timezone.utc)
 BAG_MINUTES = 30 * 24 * 60
 
 _PUBLISHED: dict[tuple[str, str, str], str] = {}
+_SCHEMAS: dict[str, T.StructType] = {}
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -37,7 +38,11 @@ class Tables:
         self.spark, self.folder = spark, folder
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """The table as stored; its schema is looked up once, since every lookup is a job of its own."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # Flights seen as events: one aircraft per user, one route per event type.
     def flights(self) -> DataFrame:

@@ -12,8 +12,12 @@ from pyspark.sql import types as T
 from aeroledger.functions.columns import short_id
 from aeroledger.schemas import EVENT_TYPES
 
-ENVELOPE = T.StructType([T.StructField(c, T.StringType()) for c in
-                         ("event_id", "event_type", "topic", "key", "event_time", "payload", "_produced_at")])
+# All payload fields of all types in one struct: a name means the same, with one type, wherever it occurs.
+PAYLOAD = T.StructType(list({f.name: f for spec in EVENT_TYPES.values() for f in spec["payload"].fields}.values()))
+ENVELOPE = T.StructType([
+    *[T.StructField(c, T.StringType()) for c in ("event_id", "event_type", "topic", "key")],
+    T.StructField("event_time", T.TimestampType()), T.StructField("payload", PAYLOAD),
+    T.StructField("_unread", T.StringType())])
 STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 ENVELOPE_KEYS = ("event_id", "event_type", "topic", "event_time", "payload")
 
@@ -79,34 +83,41 @@ def read_events(spark: SparkSession, source: str, location: str, per_trigger: in
 
 
 def _payload_problem(event_type: str) -> Column:
-    """Why a payload does not fit its type; NULL when it does."""
+    """Why a payload does not fit its type; NULL when it does.
+
+    Only a payload with a null field can lack one, so other rows skip the look at
+    the field names.
+    """
     spec = EVENT_TYPES[event_type]
-    names = F.array(*[F.lit(f) for f in spec["payload"].fieldNames()])
-    absent = F.array_except(names, F.coalesce(F.json_object_keys("payload"), F.array().cast("array<string>")))
-    checked = T.StructType([*spec["payload"].fields, T.StructField("_bad", T.StringType())])
-    body = F.from_json("payload", checked, {"columnNameOfCorruptRecord": "_bad"})
-    return (F.when(F.size(absent) > 0, F.concat(F.lit("payload lacks "), F.array_join(absent, ", ")))
-            .when(body["_bad"].isNotNull(), F.lit("payload has unreadable values"))
-            .when(body[spec["key"]].isNull(), F.lit("payload key is null")))
+    names = spec["payload"].fieldNames()
+    some_null = reduce(Column.__or__, [F.col(f"payload.{c}").isNull() for c in names])
+    present = F.json_object_keys(F.get_json_object("value", "$.payload"))
+    absent = F.array_except(F.array(*[F.lit(c) for c in names]), F.coalesce(present, F.array().cast("array<string>")))
+    lacks = F.when(F.size(absent) > 0, F.concat(F.lit("payload lacks "), F.array_join(absent, ", ")))
+    return F.coalesce(F.when(some_null, lacks),
+                      F.when(F.col(f"payload.{spec['key']}").isNull(), F.lit("payload key is null")))
 
 
 def parse_events(raw: DataFrame) -> DataFrame:
-    """Adds the envelope columns and ``problem`` (NULL for good events).
+    """(arrival, envelope columns, payload, problem, value); ``problem`` is NULL for good events.
 
     A good event is JSON, has every envelope field, and a payload with every
     field its type calls for (a value may be null, a field may not be absent).
-    Events of unknown types are good but carry no known payload.
+    Events of unknown types are good but carry no known payload.  The raw text
+    is kept for unusable events only.  Each record is parsed once.
     """
-    out = raw.withColumn("_e", F.from_json("value", ENVELOPE)).select(
-        "value", "arrival", *[F.col(f"_e.{c}").alias(c) for c in ("event_id", "event_type", "topic", "key", "payload")],
-        F.col("_e.event_time").try_cast("timestamp").alias("event_time"))
+    doc = F.from_json("value", ENVELOPE, {"columnNameOfCorruptRecord": "_unread"})
+    out = raw.select("value", "arrival", doc.alias("_e")).select("value", "arrival", "_e.*")
     absent = reduce(Column.__or__, [F.col(c).isNull() for c in ENVELOPE_KEYS])
     by_type = [F.when(F.col("event_type") == t, _payload_problem(t)) for t in EVENT_TYPES]
-    return out.withColumn("problem", F.coalesce(F.when(absent, F.lit("incomplete envelope")), *by_type))
+    problem = F.coalesce(F.when(absent, F.lit("incomplete envelope")), *by_type,
+                         F.when(F.col("_unread").isNotNull(), F.lit("unreadable values")))
+    return (out.withColumn("problem", problem).drop("_unread")
+            .withColumn("value", F.when(F.col("problem").isNotNull(), F.col("value"))))
 
 
 def typed_events(events: DataFrame, event_type: str) -> DataFrame:
     """Events of one type with their payload columns next to event id, time and arrival."""
-    body = F.from_json("payload", EVENT_TYPES[event_type]["payload"])
-    return (events.filter(F.col("event_type") == event_type).withColumn("_p", body)
-            .select("event_id", "event_time", "arrival", "_p.*"))
+    names = EVENT_TYPES[event_type]["payload"].fieldNames()
+    return (events.filter(F.col("event_type") == event_type)
+            .select("event_id", "event_time", "arrival", *[f"payload.{c}" for c in names]))

@@ -99,7 +99,7 @@ def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
         batch = batch.persist()
         try:
             events = batch.filter(F.col("kind") == "event").drop("kind")
-            fresh_ids = batch.filter(F.col("kind") == "fresh").select("event_id")
+            fresh_ids = batch.filter((F.col("kind") == "fresh") & F.col("event_id").isNotNull()).select("event_id")
             fresh, repeated = dedup(events.filter(F.col("problem").isNull()), fresh_ids)
             fresh = fresh.persist()
             now = F.lit(start).cast("timestamp")
@@ -117,10 +117,14 @@ def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
 
 
 def tagged_stream(raw: DataFrame) -> DataFrame:
-    """Every delivered event (kind ``event``) plus the ids never seen before (kind ``fresh``)."""
+    """Every delivered event (kind ``event``) plus the ids never seen before (kind ``fresh``).
+
+    Unusable events share the NULL id, which ``apply_batch`` ignores: filtering
+    them out here would make the scan parse every record twice.
+    """
     events = parse_events(raw).withColumn("kind", F.lit("event"))
-    ids = (parse_events(raw).filter(F.col("problem").isNull()).select("event_id").dropDuplicates(["event_id"])
-           .withColumn("kind", F.lit("fresh")))
+    ids = (parse_events(raw).select(F.when(F.col("problem").isNull(), F.col("event_id")).alias("event_id"))
+           .dropDuplicates(["event_id"]).withColumn("kind", F.lit("fresh")))
     return events.unionByName(ids, allowMissingColumns=True)
 
 
