@@ -48,8 +48,8 @@ def ingest(spark: SparkSession, bronze: str, silver: str, batch_id: str, now: da
         raw = tables.read_bronze(spark, path, entity)
         checked = quality.bronze_to_silver(raw, entity_rules, valid, tables.INPUT_ORDER)
         checked = quality.add_audit_columns(checked, f"{entity}.csv", batch_id, now)
-        sinks.write_partitioned(checked.withColumn("_is_valid", F.col(quality.REASON) == ""),
-                                f"{silver}/{entity}", "_is_valid")
+        (checked.withColumn("_is_valid", F.col(quality.REASON) == "").write.mode("overwrite")
+         .partitionBy("_is_valid").parquet(f"{silver}/{entity}"))
         valid[entity] = silver_table(spark, silver, entity)
     if "flights" in valid:
         cancelled = quality.derive_cancellations(valid["flights"])
