@@ -23,14 +23,14 @@ AUDIT_SCHEMA = "run_id string, stage string, status string, started_at timestamp
 # --- bronze to silver ---------------------------------------------------------------------------
 
 def silver_table(spark: SparkSession, silver: str, entity: str) -> DataFrame:
-    """Validated rows of an entity."""
-    return (tables.read_table(spark, f"{silver}/{entity}").filter(F.col("_is_valid"))
-            .drop(quality.REASON, *tables.INPUT_ORDER))
+    """Validated rows of an entity (the folder name holds the flag as text)."""
+    return (tables.read_table(spark, f"{silver}/{entity}").filter(F.col("_is_valid") == "true")
+            .withColumn("_is_valid", F.lit(True)).drop(quality.REASON, *tables.INPUT_ORDER))
 
 
 def reject_table(spark: SparkSession, silver: str, entity: str) -> DataFrame:
     """Rejected rows of an entity with their reason."""
-    return (tables.read_table(spark, f"{silver}/{entity}").filter(~F.col("_is_valid"))
+    return (tables.read_table(spark, f"{silver}/{entity}").filter(F.col("_is_valid") == "false")
             .drop("_is_valid", *tables.INPUT_ORDER))
 
 

@@ -34,6 +34,9 @@ def build_session(app: str = "aeroledger", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the cluster's ``spark.checkpoint.dir``.
 
@@ -44,9 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"{CHECKPOINT_KEY} must name a shared folder on a cluster")
-    local = tempfile.mkdtemp(prefix="aeroledger-")
-    spark.conf.set(CHECKPOINT_KEY, local)
-    return local
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="aeroledger-")
+    return _OWN_DIRS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
