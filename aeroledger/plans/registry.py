@@ -603,11 +603,17 @@ def _(t: Tables) -> DataFrame:
 
 # --- stream -------------------------------------------------------------------------------------
 
+_STREAMED: dict[tuple[str, str], str] = {}
+
+
 def _streamed(t: Tables) -> str:
-    """Run the live-table stream over the whole input and return its output folder."""
-    root = scratch_path(t.spark, "live")
-    live.run_available(t.stream(), root, scratch_path(t.spark, "live-checkpoint"), "run-1")
-    return root
+    """Run the live-table stream over the whole input, once per session, and return its output folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _STREAMED:
+        root = scratch_path(t.spark, "live")
+        live.run_available(t.stream(), root, scratch_path(t.spark, "live-checkpoint"), "run-1")
+        _STREAMED[key] = root
+    return _STREAMED[key]
 
 
 query("stream_envelope", """

@@ -57,7 +57,8 @@ def read_events(spark: SparkSession, source: str, location: str, per_trigger: in
     """Raw stream with ``value`` and ``arrival`` (position of the record at its source).
 
     ``kafka``: ``location`` names the brokers.  ``files``: JSON-line files with one
-    envelope per line below ``location``.
+    envelope per line below ``location``; the line's place in its file is filled in
+    per micro-batch.
     """
     if source == "kafka":
         subscribed = ",".join(topics or [s["topic"] for s in EVENT_TYPES.values()])
@@ -78,7 +79,7 @@ def read_events(spark: SparkSession, source: str, location: str, per_trigger: in
                 F.concat_ws("|", F.date_format("_metadata.file_modification_time", "yyyyMMddHHmmssSSS"),
                             "_metadata.file_path").alias("part"),
                 F.col("_metadata.file_block_start").alias("block"),
-                F.monotonically_increasing_id().alias("pos")).alias("arrival"))
+                F.lit(None).cast("long").alias("pos")).alias("arrival"))
     raise ValueError(f"unknown source {source}")
 
 

@@ -96,7 +96,9 @@ def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
 
     def body(batch: DataFrame, batch_id: int) -> None:
         start = datetime.now(timezone.utc)
-        batch = batch.persist()
+        # Text files carry no record position; rows of one file block stay together and in order.
+        place = F.coalesce("arrival.pos", F.monotonically_increasing_id())
+        batch = batch.withColumn("arrival", F.struct("arrival.part", "arrival.block", place.alias("pos"))).persist()
         try:
             events = batch.filter(F.col("kind") == "event").drop("kind")
             fresh_ids = batch.filter((F.col("kind") == "fresh") & F.col("event_id").isNotNull()).select("event_id")
