@@ -57,16 +57,20 @@ def baggage_cycle_sla(scans: DataFrame, minutes: float = 45) -> DataFrame:
             .withColumn("sla_status", F.when(F.col("sla_breached"), F.lit("BREACH")).otherwise(F.lit("WITHIN_SLA"))))
 
 
-def passenger_experience(tickets: DataFrame, bookings: DataFrame) -> DataFrame:
-    """Tickets with a parsed time and date.
+def passenger_experience(tickets: DataFrame, bookings: DataFrame | None = None,
+                         carry: Sequence[str] = ()) -> DataFrame:
+    """Tickets with a parsed time and date, one row per ticket.
 
-    The booking side only contributes its distinct ids: the left join adds no
-    column and no row, it pins one row per ticket.
+    Booking columns named in ``carry`` are looked up from one booking per id (the
+    smallest values).  Without any, a left join to distinct booking ids could
+    change nothing, so the bookings are not read at all.
     """
-    known = bookings.select("booking_id").distinct()
-    return (tickets.withColumn("created_at", lenient_timestamp("created_at"))
-            .withColumn("ticket_date", F.to_date("created_at"))
-            .join(known, "booking_id", "left"))
+    out = (tickets.withColumn("created_at", lenient_timestamp("created_at"))
+           .withColumn("ticket_date", F.to_date("created_at")))
+    if bookings is None or not carry:
+        return out
+    known = bookings.groupBy("booking_id").agg(F.min(F.struct(*carry)).alias("_b"))
+    return out.join(known, "booking_id", "left").select(*out.columns, *[F.col(f"_b.{c}").alias(c) for c in carry])
 
 
 def issue_summary(tickets: DataFrame, issue: str = "issue_type") -> DataFrame:

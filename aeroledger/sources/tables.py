@@ -34,6 +34,11 @@ def list_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(p))
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    fs, p = _fs(spark, folder)
+    fs.delete(p, True)
+
+
 def read_bronze(spark: SparkSession, path: str, entity: str) -> DataFrame:
     """Raw CSV with its declared schema, plus ``INPUT_ORDER`` columns that keep the file order."""
     return (spark.read.schema(BRONZE[entity]).option("header", True).csv(path)

@@ -178,6 +178,21 @@ def compact(spark: SparkSession, root: str, event_type: str) -> str:
     return snapshots.write_next(merged.withColumn("_through", F.lit(through).cast("long")), f"{root}/{name}_compacted")
 
 
+def drop_compacted(spark: SparkSession, root: str, event_type: str) -> list[int]:
+    """Delete the batch folders that a finished compaction covers; run it when no reader lists them."""
+    name = EVENT_TYPES[event_type]["live"]
+    compacted = snapshots.read_current(spark, f"{root}/{name}_compacted")
+    through = compacted.agg(F.max("_through")).first()[0] if compacted is not None else None
+    if through is None:
+        return []
+    # The newest covered folder stays, so that the table never loses its last file and schema.
+    folders = [int(n.split("=")[1]) for n in tables.list_names(spark, f"{root}/{name}") if n.startswith("batch_id=")]
+    covered = sorted(b for b in folders if b < through)
+    for batch_id in covered:
+        tables.delete_folder(spark, f"{root}/{name}/batch_id={batch_id}")
+    return covered
+
+
 def ledger(spark: SparkSession, root: str) -> DataFrame:
     return tables.read_table(spark, f"{root}/{LEDGER}").drop("batch_id")
 

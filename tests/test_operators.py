@@ -137,6 +137,8 @@ def test_passenger_experience_keeps_every_ticket_once(spark, rows):
     bookings = spark.createDataFrame([("b1",), ("b1",)], "booking_id string")
     assert rows(analytics.passenger_experience(tickets, bookings), "ticket_id", "ticket_date") == [
         ("t1", date(2024, 1, 1)), ("t2", None), ("t3", None)]
+    fares = spark.createDataFrame([("b1", 5.0), ("b1", 3.0)], "booking_id string, fare double")
+    assert rows(analytics.passenger_experience(tickets, fares, ["fare"]), "ticket_id", "fare") == [("t1", 3.0), ("t2", None), ("t3", None)]
     assert [tuple(r) for r in analytics.issue_summary(tickets).collect()] == [
         ("LOST", 2, pytest.approx(200 / 3)), ("LATE", 1, pytest.approx(100 / 3))]
 

@@ -103,6 +103,8 @@ def test_compaction_keeps_the_state(stream):
     stream.send(event("e4", "f2", "09:00:00", "Z"), event("e5", "f1", "12:00:00", "C", route="three"))
     stream.run()
     live.compact(stream.spark, stream.root, "flight_status")
+    assert live.drop_compacted(stream.spark, stream.root, "flight_status") == [0, 1]
+    assert live.drop_compacted(stream.spark, stream.root, "booking") == []
     assert stream.state("flight_status", "status", "route_id") == {"f1": ("C", "one"), "f2": ("A", "r")}
 
 
