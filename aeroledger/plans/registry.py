@@ -611,7 +611,8 @@ def _streamed(t: Tables) -> str:
     key = (t.spark.sparkContext.applicationId, t.folder)
     if key not in _STREAMED:
         root = scratch_path(t.spark, "live")
-        live.run_available(t.stream(), root, scratch_path(t.spark, "live-checkpoint"), "run-1")
+        stream = Tables(live.stream_session(t.spark), t.folder).stream()
+        live.run_available(stream, root, scratch_path(t.spark, "live-checkpoint"), "run-1")
         _STREAMED[key] = root
     return _STREAMED[key]
 

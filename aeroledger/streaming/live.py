@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from aeroledger.schemas import EVENT_TYPES
+from aeroledger.session import ENGINE_CONF
 from aeroledger.sources import snapshots, tables
 from aeroledger.streaming.envelope import parse_events, typed_events
 
@@ -118,6 +119,19 @@ def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
     return body
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A sibling session whose shuffle partitions suit the stream's state.
+
+    A checkpoint keeps its number of state partitions for life; by default it is
+    one per core rather than the batch setting.
+    """
+    session = spark.newSession()
+    for key, value in ENGINE_CONF.items():
+        session.conf.set(key, value)
+    session.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return session
+
+
 def tagged_stream(raw: DataFrame) -> DataFrame:
     """Every delivered event (kind ``event``) plus the ids never seen before (kind ``fresh``).
 
