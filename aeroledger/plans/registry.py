@@ -9,12 +9,16 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.functions.columns import as_percent, clean_number, compact_amount, round_to
+from aeroledger.functions.columns import (
+    as_percent, calendar_parts, clamp, clean_number, compact_amount, contains_any, first_filled, flag, json_safe, lenient_timestamp,
+    right_closed_bins, round_to, same_text, spaced, truthy)
 from aeroledger.operators import (
     analytics, marts, ml, notifications, quality, rotation, rules, skew, views, warehouse)
 from aeroledger.plans.bindings import BAG_MINUTES, NOW, Tables
 from aeroledger.plans.oracles import big, dbl, r, s, with_ctes
 from aeroledger.session import scratch_path
+from aeroledger.schemas import ROTATION
+from aeroledger.sources import sinks, snapshots
 from aeroledger.sources import tables as sources
 from aeroledger.streaming import envelope, live
 
@@ -354,6 +358,82 @@ query("compact_amounts", """
     lambda t: t.raw("events").select("event_id", compact_amount(F.floor("value") * 100000.0).alias("amount")))
 
 
+query("calendar", """
+    SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month,
+           CAST(day(o_orderdate) AS INTEGER) AS day, dayname(o_orderdate) AS day_of_week, isodow(o_orderdate) >= 6 AS is_weekend
+    FROM orders""")(
+    lambda t: t.raw("orders").select("o_orderkey", *[c.alias(n) for n, c in calendar_parts("o_orderdate").items()]))
+
+query("text_columns", """
+    SELECT c_custkey, c_mktsegment = 'BUILDING' AS builds, contains(c_name, '12') OR contains(c_mktsegment, '12') AS found,
+           CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN c_name ELSE c_mktsegment END AS label,
+           replace(concat(c_mktsegment, '_', c_nationkey), '_', ' ') AS spaced, c_nationkey = 1 AS yes,
+           CASE WHEN c_acctbal > 0 THEN 1 ELSE 0 END AS in_credit, CAST(NULL AS TIMESTAMP) AS no_time FROM customer""")(
+    lambda t: t.raw("customer").select(
+        "c_custkey", same_text("c_mktsegment", "building").alias("builds"), contains_any("12", "c_name", "c_mktsegment").alias("found"),
+        first_filled(F.when(F.col("c_mktsegment") != "HOUSEHOLD", F.col("c_mktsegment")).otherwise(F.lit("")), "c_name").alias("label"),
+        spaced(F.concat_ws("_", "c_mktsegment", "c_nationkey")).alias("spaced"), truthy("c_nationkey").alias("yes"),
+        flag(F.col("c_acctbal") > 0).alias("in_credit"), lenient_timestamp("c_name").alias("no_time")))
+
+query("risk_bins", """
+    SELECT event_id, CASE WHEN value / 100e0 <= 0.3e0 THEN 'LOW' WHEN value / 100e0 <= 0.6e0 THEN 'MEDIUM'
+                          WHEN value / 100e0 <= 1.01e0 THEN 'HIGH' END AS level,
+           least(greatest(value, 10e0), 100e0) AS bounded FROM events""")(
+    lambda t: t.raw("events").select(
+        "event_id", right_closed_bins(F.col("value") / 100.0, (0.30, 0.60, 1.01), ("LOW", "MEDIUM", "HIGH")).alias("level"),
+        clamp("value", 10.0, 100.0).alias("bounded")))
+
+query("json_safe", """
+    SELECT event_id, CAST(ts AS VARCHAR) AS ts, CASE WHEN value >= 1 THEN value END AS value FROM
+        (SELECT event_id, date_trunc('second', ts) AS ts, value FROM events)""")(
+    lambda t: json_safe(t.raw("events").select(
+        "event_id", F.date_trunc("second", "ts").alias("ts"),
+        F.when(F.col("value") >= 1, F.col("value")).otherwise(F.lit(float("nan"))).alias("value"))))
+
+
+# --- files and tables ---------------------------------------------------------------------------
+
+@query("stg_rotation_delay", "SELECT * EXCLUDE (prev_cascade) FROM rotation")
+def _(t: Tables) -> DataFrame:
+    """The rotation table after a round trip through day partitions."""
+    path = scratch_path(t.spark, "rotation-by-day")
+    sinks.write_partitioned(t.rotation(), path, "flight_date")
+    return sources.read_table(t.spark, path).select(*ROTATION.fieldNames())
+
+
+@query("bronze_csv", """
+    SELECT CAST(booking_id AS VARCHAR) AS booking_id, CAST(customer_id AS VARCHAR) AS customer_id, status, fare,
+           date_trunc('second', booking_time) AS booking_time, _reject_reason FROM checked""")
+def _(t: Tables) -> DataFrame:
+    """Raw bookings through CSV files; the order of the rows in the files decides which copy of a key is kept."""
+    path = scratch_path(t.spark, "bookings.csv")
+    (t.raw_bookings().repartitionByRange("position").sortWithinPartitions("position")
+     .select("booking_id", "customer_id", F.lit(None).cast("string").alias("flight_id"), "fare",
+             F.date_trunc("second", "booking_time").alias("booking_time"), "status")
+     .write.option("header", True).csv(path))
+    raw = sources.read_bronze(t.spark, path, "bookings")
+    return (quality.flag_rejects(raw, ["booking_id"], ["status", "fare"], sources.INPUT_ORDER)
+            .drop("flight_id", *sources.INPUT_ORDER))
+
+
+@query("warehouse_load", """
+    SELECT CAST(c_custkey AS VARCHAR) AS customer_id, c_name AS name,
+           CASE WHEN c_acctbal > 0 THEN 'GOLD' ELSE c_mktsegment END AS tier,
+           CASE WHEN c_acctbal > 0 THEN NULL ELSE CAST(c_nationkey AS VARCHAR) END AS home_region FROM customer
+    UNION ALL SELECT concat('S', s_suppkey), s_name, 'GOLD', NULL FROM supplier""")
+def _(t: Tables) -> DataFrame:
+    """A first load of all customers, then one that updates some of them and adds others."""
+    root = scratch_path(t.spark, "warehouse")
+    people = t.raw("customer").select(
+        F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_name").alias("name"),
+        F.col("c_mktsegment").alias("tier"), F.col("c_nationkey").cast("string").alias("home_region"), "c_acctbal")
+    gold = people.filter("c_acctbal > 0").select("customer_id", "name").unionByName(
+        t.raw("supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("customer_id"), F.col("s_name").alias("name")))
+    for run, rows in (("first", people), ("second", gold.withColumns({"tier": F.lit("GOLD"), "home_region": F.lit(None)}))):
+        warehouse.load_table(t.spark, root, "dim_customer", quality.add_audit_columns(rows, "customers.csv", run, NOW), run)
+    return snapshots.read_current(t.spark, f"{root}/dim_customer").select("customer_id", "name", "tier", "home_region")
+
+
 # --- models -------------------------------------------------------------------------------------
 
 query("delay_features", "SELECT * FROM features")(lambda t: t.features())

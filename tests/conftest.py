@@ -11,7 +11,7 @@ from aeroledger.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
+        "spark.sql.shuffle.partitions": "3", "spark.ui.enabled": "false", "spark.driver.memory": "6g",
         "spark.ui.showConsoleProgress": "false"})
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aeroledger.operators import quality as q
 
-SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 NOW = datetime(2024, 3, 1, 12, 0, tzinfo=timezone.utc)
 
 

@@ -13,7 +13,7 @@ from aeroledger.session import checkpointed, scratch_path, shared_dir
 from aeroledger.sources import sinks, snapshots, tables
 
 NOW = datetime(2024, 3, 1, 12, 0, tzinfo=timezone.utc)
-SLOW = settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+SLOW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
 
 
 def kv(spark, d):
