@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from aeroledger.operators import skew
+from aeroledger.operators import quality, skew
 
 SLOW = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -85,3 +85,36 @@ def test_window_plan_has_one_full_shuffle_and_no_python(spark):
     ordinary = plan.split("rangepartitioning")[0]
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert ordinary.count("Exchange hashpartitioning(k") >= 1
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_second_route_disappears_when_nothing_is_hot(spark):
+    df = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("t"))
+    out = skew.with_sequence(df, ["k"], ["t"], ["t"], prevs=["p"]).agg(F.sum("_seq"))
+    assert "rangepartitioning" not in final_plan(out)
+    hot = skew.with_sequence(df, ["k"], ["t"], ["t"], prevs=["p"], heavy_rows=5).agg(F.sum("_seq"))
+    assert "rangepartitioning" in final_plan(hot)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_reference_is_split_by_the_join(spark, hot):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300KB",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        child = spark.range(400_000).select(
+            "id", F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.pmod(F.xxhash64("id"), F.lit(20_000))).alias("fk"),
+            F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+        parent = spark.range(15_000).select(F.col("id").alias("k"))
+        marked = quality.mark_references(child, [("fk", parent, "k")]).groupBy("_ref_ok").agg(F.count("*"), F.max("pad"))
+        assert "skew=true" in final_plan(marked)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
