@@ -9,9 +9,11 @@ merging them is associative, so readers combine partials and never rewrite state
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from datetime import datetime, timezone
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -102,7 +104,7 @@ def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
         batch = batch.withColumn("arrival", F.struct("arrival.part", "arrival.block", place.alias("pos"))).persist()
         try:
             events = batch.filter(F.col("kind") == "event").drop("kind")
-            fresh_ids = batch.filter((F.col("kind") == "fresh") & F.col("event_id").isNotNull()).select("event_id")
+            fresh_ids = batch.filter(F.col("kind") == "fresh").select("event_id")
             fresh, repeated = dedup(events.filter(F.col("problem").isNull()), fresh_ids)
             fresh = fresh.persist()
             now = F.lit(start).cast("timestamp")
@@ -132,15 +134,23 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return session
 
 
+def _batch_distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct non-null ids of each Arrow batch."""
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays([pc.drop_null(pc.unique(batch.column(0)))], names=["event_id"])
+
+
 def tagged_stream(raw: DataFrame) -> DataFrame:
     """Every delivered event (kind ``event``) plus the ids never seen before (kind ``fresh``).
 
-    Unusable events share the NULL id, which ``apply_batch`` ignores: filtering
-    them out here would make the scan parse every record twice.
+    An id delivered over and over would send all its copies to one state task.
+    Streams have no map-side combine, so copies are dropped per Arrow batch
+    before the shuffle, together with the unusable events' missing ids.
     """
     events = parse_events(raw).withColumn("kind", F.lit("event"))
-    ids = (parse_events(raw).select(F.when(F.col("problem").isNull(), F.col("event_id")).alias("event_id"))
-           .dropDuplicates(["event_id"]).withColumn("kind", F.lit("fresh")))
+    usable = parse_events(raw).select(F.when(F.col("problem").isNull(), F.col("event_id")).alias("event_id"))
+    ids = (usable.mapInArrow(_batch_distinct, "event_id string").dropDuplicates(["event_id"])
+           .withColumn("kind", F.lit("fresh")))
     return events.unionByName(ids, allowMissingColumns=True)
 
 

@@ -92,6 +92,16 @@ def test_result_does_not_depend_on_batching_or_repetition(spark, tmp_path):
     assert results[0] == results[1] and len(results[0]) == 4
 
 
+def test_copies_of_one_event_shrink_before_the_state(stream):
+    stream.send(*[event("hot", "f1", "10:00:00", "A")] * 500, *["not json"] * 300, event("e2", "f1", "11:00:00", "B"))
+    raw = envelope.read_events(stream.spark, "files", stream.inbox)
+    query = live.start_live_tables(raw, stream.root, stream.checkpoint, "r", available_now=True)
+    query.awaitTermination()
+    assert query.recentProgress[0]["stateOperators"][0]["customMetrics"]["numDroppedDuplicateRows"] < 50
+    assert stream.counts() == {"flights.status": (2, 499, 0), "unknown": (0, 0, 300), "baggage.scans": (0, 0, 0), "bookings.events": (0, 0, 0)}
+    assert stream.state("flight_status", "status") == {"f1": ("B",)}
+
+
 def test_compaction_keeps_the_state(stream):
     stream.send(event("e1", "f1", "10:00:00", "A", route="one"), event("e2", "f2", "10:00:00", "A"))
     stream.run()
