@@ -5,8 +5,8 @@ Each source gets a target number of words.  A document is taken ``floor(rate)``
 method: in a *flight*, three undecided documents at a time move their probabilities along the direction that changes
 neither the sum of words nor the number of documents, until one of them is 0 or 1.  A flight leaves two documents
 undecided at most.  Flights run in blocks of about ``BLOCK`` documents of one source, dealt by a hash of the id; what the
-blocks leave meets in new blocks until a source has one, and that last *landing* drops first the balance of words, then
-that of documents.  Directions are drawn from generators seeded by source, level and block, so reruns agree.
+blocks leave meets in new blocks until a source has one.  That last flight stops at ``LANDS`` documents, and the *landing*
+takes, of all their subsets, the one whose words and number come closest to what the probabilities ask for.  Directions are drawn from generators seeded by source, level and block, so reruns agree.
 
 Null texts have size 0, a null source is a source of its own (last in order), documents that repeat an id are units of
 their own.  A source without words gets target 0; without any words all targets are 0.
@@ -28,6 +28,8 @@ MOST_TIMES = 3
 WEIGHTS = (1, 2, 3)
 BLOCK = 4096
 CLOSE = 1e-9
+LANDS = 14  # 16,384 subsets
+OFF_BY_ONE = 0.05  # a document more or less counts as this share of a mean document's words
 
 
 def source_targets(sizes: DataFrame, most: int = MOST_TIMES, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -68,32 +70,39 @@ def step(p: list[float], u: list[float], rng) -> list[float]:
 
 
 def flight(sizes: np.ndarray, p: np.ndarray, rng, landing: bool) -> np.ndarray:
-    """Probabilities after the flight: all 0 or 1, but for two at most (none after a landing)."""
+    """Probabilities after the flight: all 0 or 1, but for two at most.  With ``landing`` the flight stops at
+    ``LANDS`` undecided documents and those are landed."""
     p = p.astype(float).copy()
-    waiting = [int(i) for i in np.flatnonzero((p > 0) & (p < 1))][::-1]
+    waiting = [int(i) for i in rng.permutation(np.flatnonzero((p > 0) & (p < 1)))]
     active: list[int] = []
-    while True:
+    while not landing or len(active) + len(waiting) > LANDS:
         while len(active) < 3 and waiting:
             active.append(waiting.pop())
-        if len(active) == 3:
-            a, b, c = (float(sizes[i]) for i in active)
-            u = [b - c, c - a, a - b] if not a == b == c else [1.0, -1.0, 0.0]
-            scale = max(map(abs, u))
-            u = [x / scale for x in u]
-        elif landing and active:
-            u = [1.0, -1.0] if len(active) == 2 else [1.0]
-        else:
+        if len(active) < 3:
             return p
-        for i, value in zip(active, step([p[i] for i in active], u, rng)):
+        a, b, c = (float(sizes[i]) for i in active)
+        u = [b - c, c - a, a - b] if not a == b == c else [1.0, -1.0, 0.0]
+        scale = max(map(abs, u))
+        for i, value in zip(active, step([p[i] for i in active], [x / scale for x in u], rng)):
             p[i] = value
         active = [i for i in active if 0 < p[i] < 1]
+    return land(sizes, p, np.array(active + waiting, int))
+
+
+def land(sizes: np.ndarray, p: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Decide the few documents ``left``: of all their subsets, the one closest in words, then in documents."""
+    if len(left):
+        subsets = (np.arange(2 ** len(left))[:, None] >> np.arange(len(left))) & 1
+        words = np.abs(subsets @ sizes[left].astype(float) - sizes[left] @ p[left])
+        number = np.abs(subsets.sum(1) - p[left].sum())
+        p[left] = subsets[np.argmin(words + OFF_BY_ONE * sizes[left].mean() * number)]
+    return p
 
 
 def fly(units: DataFrame, per_block: DataFrame, level: int) -> DataFrame:
     """One level of flights.  ``per_block`` has source and n_blocks; a source with one block lands."""
     def run(block: pd.DataFrame) -> pd.DataFrame:
-        # Long documents first: what is left undecided is short, so landings change the total little.
-        block = block.sort_values(["size", "doc_key"], ascending=[False, True], kind="stable").reset_index(drop=True)
+        block = block.sort_values(["doc_key", "size"], kind="stable").reset_index(drop=True)
         source, number, blocks = block.at[0, "source"], int(block.at[0, "block"]), int(block.at[0, "n_blocks"])
         rng = generator(None if pd.isna(source) else source, level, number)
         block["p"] = flight(block["size"].to_numpy(), block["p"].to_numpy(), rng, landing=blocks == 1)
