@@ -9,6 +9,7 @@ from aeroledger.session import scratch_path
 
 # The white space that ends a word, as bytes 0x20 and 0x09 to 0x0D.
 SPACES = " \t\n\x0b\f\r"
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -42,10 +43,19 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives the loss of executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write to the shared folder and read back: cuts lineage and survives the loss of executors.
+
+    Once the table is written nothing needs the shuffle files that led to it, so Spark may drop them at once.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:

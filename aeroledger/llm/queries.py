@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import balanced_mix, exact_dedup, quality_rules, sentencepiece_spans
+from aeroledger.llm import balanced_mix, exact_dedup, quality_rules, sentencepiece_spans, suffix_dedup
 from aeroledger.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,12 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                            "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+@query
+def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = suffix_dedup.cut_repeats(documents(spark, folder))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op7_balanced_mix(spark: SparkSession, folder: str) -> DataFrame:
     mix = balanced_mix.mix(documents(spark, folder))
