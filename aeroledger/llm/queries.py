@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aeroledger.llm import balanced_mix, exact_dedup, quality_rules, sentencepiece_spans, suffix_dedup
-from aeroledger.llm.common import documents
+from aeroledger.llm import (
+    balanced_mix, exact_dedup, html_text, language_id, quality_rules, sentencepiece_spans, suffix_dedup)
+from aeroledger.llm.common import documents, id_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +43,14 @@ SQL["op1_exact_dedup"] = """
     FROM n WINDOW w AS (PARTITION BY t)"""
 
 
+@query
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    held_out = id_class(F.col("doc_id"), 5) == 0
+    languages, net = language_id.learn(docs, ~held_out)
+    return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), languages, net)
+
+
 @query
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     verdicts = quality_rules.quality_verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
@@ -61,6 +70,11 @@ def op7_balanced_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(spark.read.parquet(f"{folder}/pages.parquet")).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op10_sentencepiece_spans(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_spans.encoding_digests(documents(spark, folder), piece_model())
