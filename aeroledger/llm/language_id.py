@@ -141,9 +141,12 @@ def windows_of(data: bytes) -> np.ndarray:
 
 def training_windows(docs: DataFrame, allowed: Column, key: str, text: str, lang: str) -> DataFrame:
     """(lang, id, window) of the bounded sample."""
+    within = W.partitionBy("lang", "salt").orderBy(F.xxhash64("id"), "id")
     order = W.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = (docs.where(allowed & F.col(lang).isNotNull() & F.col(text).isNotNull())
               .select(F.col(key).cast("string").alias("id"), F.col(lang).alias("lang"))
+              .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(64)))
+              .withColumn("place", F.row_number().over(within)).where(F.col("place") <= DOCS_PER_LANGUAGE)
               .withColumn("place", F.row_number().over(order)).where(F.col("place") <= DOCS_PER_LANGUAGE)
               .select("id", "lang").distinct())
     rows = docs.where(allowed).select(F.col(key).cast("string").alias("id"), F.col(lang).alias("lang"), whole_text(text).alias("text"))
@@ -158,7 +161,8 @@ def training_windows(docs: DataFrame, allowed: Column, key: str, text: str, lang
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(
                 (pa.string(), pa.string(), pa.binary()))], ["lang", "id", "window"])
 
-    return rows.join(chosen, ["id", "lang"]).select("id", "lang", "text").mapInArrow(run, "lang string, id string, window binary")
+    # Broadcast: at most DOCS_PER_LANGUAGE ids for each language.
+    return rows.join(F.broadcast(chosen), ["id", "lang"]).select("id", "lang", "text").mapInArrow(run, "lang string, id string, window binary")
 
 
 def learn(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], Network | None]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.llm import (
-    balanced_mix, exact_dedup, html_text, language_id, quality_rules, sentencepiece_spans, suffix_dedup)
+    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, quality_rules, sentencepiece_spans, suffix_dedup)
 from aeroledger.llm.common import documents, id_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), languages, net)
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.similar_components(documents(spark, folder)).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     verdicts = quality_rules.quality_verdicts(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))

@@ -166,8 +166,8 @@ def settle(rows: DataFrame) -> DataFrame:
 
 def repeated_windows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """Runs of repeated windows of ``texts`` (doc, digest, text as binary): doc, digest, lo, n."""
-    found = anchors(texts, length)
-    ranks = found.groupBy("rank").count().where("count > 1").drop("count")
+    found = stored(anchors(texts, length), "all-anchors")
+    ranks = stored(found.groupBy("rank").count().where("count > 1").drop("count"), "ranks")
     alike = stored(found.join(ranks, "rank"), "anchors")
     place = F.struct("doc", "digest", "lo", "n", "at")
     classes = stored(alike.groupBy("rank", "context").agg(F.count("*").alias("members"), F.min(place).alias("p")), "contexts")
