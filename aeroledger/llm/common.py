@@ -52,7 +52,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)

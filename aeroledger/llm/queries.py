@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.llm import (
-    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, quality_rules, sentencepiece_spans, suffix_dedup)
+    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, lm_score, quality_rules, sentencepiece_spans,
+    suffix_dedup)
 from aeroledger.llm.common import documents, id_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +81,11 @@ def op8_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(spark.read.parquet(f"{folder}/pages.parquet")).select("page_id", "url", "text", "n_chars")
 
 
+@query
+def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score_texts(documents(spark, folder), id_class(F.col("doc_id"), 7) == 2)
+
+
 @query
 def op10_sentencepiece_spans(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_spans.encoding_digests(documents(spark, folder), piece_model())
