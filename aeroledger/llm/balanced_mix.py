@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aeroledger.llm.common import n_words_of, stored, whole_text
+from aeroledger.llm.common import fresh, n_words_of, stored, whole_text
 
 MOST_TIMES = 3
 WEIGHTS = (1, 2, 3)
@@ -154,7 +154,7 @@ def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str =
 
 def mixed_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents of the mix, all columns, repeated as often as taken.  Rows that repeat an id share one decision."""
-    copies = mix(docs, key, text, source).groupBy(key).agg(F.max("copies").alias("copies_")).where("copies_ > 0")
-    taken = docs.join(copies.withColumnRenamed(key, "key_"), F.col(key).eqNullSafe(F.col("key_")))
-    return taken.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_").cast("int")))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    ident, times, copy = fresh(docs, "key", "copies", "copy")
+    copies = mix(docs, key, text, source).groupBy(F.col(key).alias(ident)).agg(F.max("copies").cast("int").alias(times))
+    taken = docs.join(copies.where(F.col(times) > 0), F.col(key).eqNullSafe(F.col(ident)))
+    return taken.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from aeroledger.llm.common import ascii_lower, stored, whole_text
+from aeroledger.llm.common import ascii_lower, fresh, stored, whole_text
 
 SALTS = 16
 
@@ -55,12 +55,12 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", salts
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", salts: int = SALTS) -> DataFrame:
     """The rows of ``docs`` that stay, all columns; rows that repeat an id and its text come back once."""
-    groups = exact_groups(docs, key, text, salts)
-    kept = groups.where("kept").select(F.col(key).alias("kept_id"), F.col("digest").alias("kept_digest")).distinct()
-    same = F.col("kept_id").eqNullSafe(F.col(key)) & (F.col("kept_digest") == sha256(ascii_lower(whole_text(text))))
-    stay = docs.join(kept, same, "left_semi")
-    repeated = groups.where("kept").groupBy(key).count().where("count > 1").select(F.col(key).alias("kept_id"))
+    ident, digest = fresh(docs, "kept_id", "kept_digest")
+    stay = exact_groups(docs, key, text, salts).where("kept").groupBy(F.col(key).alias(ident), F.col("digest").alias(digest)).count()
+    stay = stored(stay, "kept")
+    same = F.col(ident).eqNullSafe(F.col(key)) & (F.col(digest) == sha256(ascii_lower(whole_text(text))))
+    out = docs.join(stay.where("count = 1"), same, "left_semi")
+    repeated = stay.where("count > 1")
     if repeated.isEmpty():
-        return stay
-    once = stay.join(repeated, F.col("kept_id").eqNullSafe(F.col(key)), "left_anti")
-    return once.unionByName(stay.join(repeated, F.col("kept_id").eqNullSafe(F.col(key)), "left_semi").dropDuplicates([key, text]))
+        return out
+    return out.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([key, text]))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroledger.llm.common import UPPER, stored, whole_text
+from aeroledger.llm.common import UPPER, fresh, stored, whole_text
 from aeroledger.llm.components import components
 from aeroledger.llm.fingerprints import Names, scramble
 
@@ -323,5 +323,7 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents of ``docs`` with the least id of their component, all columns."""
-    found = similar_components(docs, key, text).where(F.col("component_id") == F.col(key)).select(F.col(key).alias("kept_")).distinct()
-    return docs.join(found, F.col(key) == F.col("kept_"), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    (ident,) = fresh(docs, "kept_id")
+    found = similar_components(docs, key, text).where(F.col("component_id").eqNullSafe(F.col(key))).select(
+        F.col(key).alias(ident)).distinct()
+    return docs.join(found, F.col(key).eqNullSafe(F.col(ident)), "left_semi")

@@ -177,9 +177,9 @@ def learn(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
 
 
 def predict(docs: DataFrame, languages: list[str], net: Network | None, text: str = "text", label: str = "lang_pred",
-            score: str = "score") -> DataFrame:
-    """``docs`` without the text, with the predicted language and the probability given to it."""
-    keep = [c for c in docs.columns if c not in (text, label, score)]
+            score: str = "score", keep_text: bool = False) -> DataFrame:
+    """``docs`` with the predicted language and the probability given to it; the text goes unless it is to be kept."""
+    keep = [c for c in docs.columns if c not in (label, score) and (keep_text or c != text)]
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField(label, T.StringType()), T.StructField(score, T.DoubleType())])
     model = docs.sparkSession.sparkContext.broadcast((languages, net))  # a few thousand numbers per language
 

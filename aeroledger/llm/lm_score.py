@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from aeroledger.llm.common import stored, whole_text
 from aeroledger.llm.fingerprints import scramble
 
-CHUNK_BYTES = 2_500_000
+CHUNK_BYTES = 6_000_000
 SIDE = 32
 LEAVES = SIDE * SIDE
 FREQUENT = LEAVES // 2
@@ -40,7 +40,7 @@ ROWS = 1 << 16
 FEATURES = 3
 ROUNDS = 2
 BATCH = 8192
-RATE = 0.5
+RATE = 0.25
 BLOCKS = 64
 END = b"\n"  # cannot occur in a word
 
@@ -124,11 +124,13 @@ def features(hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarra
 
 def half(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Log-probabilities of one half."""
-    z = weights[rows[:, 0]] + bias
+    z = np.take(weights, rows[:, 0], axis=0)
+    z += bias
     for k in range(1, rows.shape[1]):
-        z += weights[rows[:, k]]
+        z += np.take(weights, rows[:, k], axis=0)
     z -= z.max(axis=1, keepdims=True)
-    return z - np.log(np.exp(z).sum(axis=1, keepdims=True))
+    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
+    return z
 
 
 def rows_for(feats: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,14 +155,18 @@ def log_probabilities(model: Model, feats: np.ndarray, leaf: np.ndarray) -> np.n
 def descend(weights: np.ndarray, sums: np.ndarray, touched: np.ndarray, rows: np.ndarray, wrong: np.ndarray) -> None:
     """One adaptive gradient step on the rows of a batch."""
     flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
+    order = np.argsort(flat.astype(np.uint16), kind="stable")  # ROWS is 2**16: a radix sort
     sorted_rows = flat[order]
-    begins = np.concatenate([[0], np.flatnonzero(np.diff(sorted_rows)) + 1])
-    gradient = np.add.reduceat(wrong[order // rows.shape[1]], begins, axis=0)
-    own = sorted_rows[begins]
-    sums[own] += (gradient * gradient).mean(axis=1)
-    weights[own] -= (RATE / np.sqrt(sums[own]))[:, None] * gradient
-    touched[own] += np.diff(np.concatenate([begins, [len(flat)]]))
+    ends = np.append(np.flatnonzero(sorted_rows[1:] != sorted_rows[:-1]), len(flat) - 1)
+    running = np.take(wrong, order // rows.shape[1], axis=0)
+    np.cumsum(running, axis=0, out=running)
+    gradient = np.take(running, ends, axis=0)
+    gradient[1:] -= gradient[:-1].copy()
+    own = sorted_rows[ends]
+    sums[own] += np.einsum("ij,ij->i", gradient, gradient) / SIDE
+    gradient *= (RATE / np.sqrt(sums[own]))[:, None]
+    weights[own] = np.take(weights, own, axis=0) - gradient
+    touched[own] += np.diff(ends, prepend=-1)
 
 
 def walk(model: Model, feats: np.ndarray, leaf: np.ndarray, state: dict) -> None:
@@ -172,7 +178,8 @@ def walk(model: Model, feats: np.ndarray, leaf: np.ndarray, state: dict) -> None
         at = np.arange(len(a))
         for name, rows, bias, truth in (("first", r1, model.bias_first, a), ("second", r2, model.bias_second[a], b)):
             weights = getattr(model, name)
-            wrong = np.exp(half(rows, weights, bias)).astype(np.float32)
+            wrong = half(rows, weights, bias)
+            np.exp(wrong, out=wrong)
             wrong[at, truth] -= 1
             descend(weights, *state[name], rows, wrong)
 
