@@ -7,11 +7,12 @@ with some member of a group must share ``m`` with the group's union, so groups b
    smallest ``n - ceil(0.75 n) + l`` hashes, at least ``min(l, l')`` are common; only this prefix is exchanged.
 2. First bound, one group of all other documents: chunks of documents send their distinct prefix tokens, learn which of
    them occur elsewhere, and drop documents with fewer than ``m`` of those.  A token costs one entry per chunk.
-3. Equal sets become one class.  Classes that agree on a min-hash are compared with the least class of that hash; links
-   found so far join classes to groups of similar documents.
-4. Second bound: the matrix of tokens and groups.  Each class looks up its rarest tokens in groups other than its own,
-   counts the overlap with each group's union, and opens the groups that reach its ``m``: their members that share a rare
-   token are compared exactly.  Groups are connected already, so no pairs within a group are made.
+3. Equal sets become one class, and the bound is applied again to the whole sets of what is left: a class needs
+   ``ceil(0.75 n)`` shingles that other classes have.
+   In a few rounds, classes that agree on a min-hash are compared with the most central of them; links found so far join classes
+   to groups of similar documents, and later rounds compare only across groups.
+4. Second bound: the matrix of tokens and groups, for tokens of several groups.  Each class looks up its rarest tokens
+   in other groups and opens those that have one and members of a fitting size: these are compared exactly.  Groups are connected already, so no pairs within a group are made.
 5. Links of steps 3 and 4 give the components.
 
 Null and empty texts have no shingles and are linked with nothing; fewer than five words are one shingle.  Rows that
@@ -33,10 +34,11 @@ from aeroledger.llm.fingerprints import Names, scramble
 
 SHINGLE = 5
 CHUNK_BYTES = 4_000_000
-MIN_HASHES = 4
+MIN_HASHES = 3  # rounds
+KEYS_A_ROUND = 4
 RNG = np.random.default_rng(11)
 PLACE = RNG.integers(0, 2**64, SHINGLE, np.uint64) | np.uint64(1)
-SALTS = RNG.integers(0, 2**64, MIN_HASHES, np.uint64)
+SALTS = RNG.integers(0, 2**64, MIN_HASHES * KEYS_A_ROUND, np.uint64)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[[ord(c) for c in UPPER]] += 32
 IS_SPACE = np.zeros(256, bool)
@@ -175,8 +177,8 @@ def shared_tokens(chunks: DataFrame) -> DataFrame:
     return dealt.repartition("bucket").mapInArrow(meet, "chunk string, tokens binary").where(F.octet_length("tokens") > 0)
 
 
-def survivors(chunks: DataFrame, shared: DataFrame) -> DataFrame:
-    """Documents within the first bound: doc, n, s1, s2 and their shared prefix tokens."""
+def survivors(chunks: DataFrame, shared: DataFrame, least) -> DataFrame:
+    """Documents with at least ``least(n)`` shared tokens: doc, n, s1, s2 and those tokens."""
     kind = chunks.schema["docs"].dataType.elementType.simpleString()
     told = shared.groupBy("chunk").agg(F.collect_list("tokens").alias("shared"))
 
@@ -188,7 +190,7 @@ def survivors(chunks: DataFrame, shared: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(len(n)), size)
                 hit = np.isin(tokens, known)
                 counts = np.bincount(owner[hit], minlength=len(n))
-                kept = np.flatnonzero((n > 0) & (counts >= least_shared(n)))
+                kept = np.flatnonzero((n > 0) & (counts >= least(n)))
                 ends = np.cumsum(counts)
                 found = tokens[hit]
                 yield pa.RecordBatch.from_arrays(
@@ -224,6 +226,25 @@ def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return wanted.mapInArrow(run, f"doc {kind}, n int, items binary, keys array<bigint>").dropDuplicates(["doc"])
 
 
+def set_chunks(sets: DataFrame) -> DataFrame:
+    """Whole sets in the form of ``chunk_sets``."""
+    kind = sets.schema["doc"].dataType.simpleString()
+    schema = f"chunk string, docs array<{kind}>, n array<int>, s1 array<bigint>, s2 array<bigint>, size array<int>, tokens binary"
+
+    def run(batches):
+        for batch in batches:
+            for rows, blobs in in_chunks(batch, 2):
+                at = pa.array(rows)
+                n, none = batch.column(1).take(at).to_pylist(), [0] * len(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([uuid.uuid4().hex]), pa.array([batch.column(0).take(at).to_pylist()], pa.list_(batch.column(0).type)),
+                     pa.array([n], pa.list_(pa.int32())), *[pa.array([none], pa.list_(pa.int64()))] * 2,
+                     pa.array([n], pa.list_(pa.int32())), pa.array([b"".join(blobs)], pa.binary())],
+                    ["chunk", "docs", "n", "s1", "s2", "size", "tokens"])
+
+    return sets.select("doc", "n", "items").mapInArrow(run, schema)
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets have a similarity of at least 0.75."""
     kind = sets.schema["doc"].dataType.simpleString()
@@ -261,32 +282,55 @@ def token_rows(classes: DataFrame) -> DataFrame:
     return classes.select("doc", "tokens", "n").mapInArrow(run, f"doc {kind}, n int, token bigint")
 
 
-def sql_least_shared(n: Column) -> Column:
-    return F.greatest(F.lit(1), F.floor(3 * F.floor((3 * n + 3) / 4) / 20)).cast("int")
+def sql_share(n: Column, over: int, under: int) -> Column:
+    """ceil(n * over / under)"""
+    return F.floor((over * n + under - 1) / under).cast("int")
 
 
 def across_groups(classes: DataFrame, groups: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) between members of different groups.  ``groups``: node, component."""
+    """Candidate pairs (a, b) between members of different groups.  ``groups``: node, component.
+
+    Only tokens of several groups count, those of the fewest groups first.  A pair at 0.75 shares 6/7 of the smaller set at
+    least and 3/4 of the larger.  So the first shared token is among the first ``c - ceil(6n/7) + 1`` of the ``c`` tokens
+    of the smaller set and the first ``c - ceil(3n/4) + 1`` of the larger.  The matrix holds the former for each group, the
+    latter ask it; a group opens where sizes fit.
+    """
     rows = token_rows(classes).join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "grp", F.coalesce("component", "doc")).select("doc", "n", "token", "grp")
-    frequent = rows.groupBy("token").agg(F.count("*").alias("df"), F.min("grp").alias("lo"), F.max("grp").alias("hi"))
-    counted = rows.join(frequent, "token")
-    place = F.size(F.col("ranked")) - sql_least_shared(F.col("n")) + 1
-    per_doc = counted.groupBy("doc", "n", "grp").agg(
-        F.sort_array(F.collect_list(F.struct("df", "token", (F.col("lo") != F.col("hi")).alias("crosses")))).alias("ranked"))
-    # Rarest tokens first: a partner shares at least one of these; tokens of a single group lead nowhere.
-    rare = per_doc.select("doc", "grp", F.explode(F.slice("ranked", 1, F.greatest(place, F.lit(1)))).alias("t")).where(
-        "t.crosses").select("doc", "grp", F.col("t.token").alias("token"))
-    rare = stored(rare, "rare")
-    matrix = rows.select("token", F.col("grp").alias("other")).distinct()
-    rare_matrix = rare.select("token", F.col("grp").alias("other")).distinct()
-    asks = rare.join(rare_matrix, "token").where("other > grp").select("doc", "other").distinct()
-    overlap = (asks.join(rows.select("doc", "n", "token"), "doc").join(matrix, ["token", "other"])
-               .groupBy("doc", "other").agg(F.count("*").alias("common"), F.max("n").alias("n")))
-    opened = stored(overlap.where(F.col("common") >= sql_least_shared(F.col("n"))).select("doc", "other"), "opened")
-    members = rare.select(F.col("doc").alias("b"), F.col("grp").alias("other"), "token")
-    return (opened.join(rare.select("doc", "token"), "doc").join(members, ["other", "token"])
-            .select(F.col("doc").alias("a"), "b").distinct())
+    width = rows.select("token", "grp").distinct().groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
+    crossing = rows.join(width, "token").groupBy("doc", "n", "grp").agg(
+        F.sort_array(F.collect_list(F.struct("groups", "token"))).alias("ranked"))
+    n, c = F.col("n"), F.size("ranked")
+    small, large = c - sql_share(n, 6, 7) + 1, c - sql_share(n, 3, 4) + 1
+    rare = stored(crossing.where(large > 0).select(
+        "doc", "n", "grp", small.alias("small"), F.posexplode(F.slice("ranked", F.lit(1), large)).alias("place", "t")).select(
+        "doc", "n", "grp", F.col("t.token").alias("token"), (F.col("place") < F.col("small")).alias("small")), "rare")
+    held = rare.where("small").select("token", F.col("grp").alias("other"), F.col("n").alias("n_other"), F.col("doc").alias("b"))
+    matrix = held.groupBy("token", "other").agg(F.min("n_other").alias("least"), F.max("n_other").alias("most"))
+    fits = (F.col("other") != F.col("grp")) & (F.col("least") <= n) & (4 * F.col("most") >= 3 * n)
+    opened = stored(rare.join(matrix, "token").where(fits).select("doc", "n", "token", "other").distinct(), "opened")
+    pairs = opened.join(held, ["token", "other"]).where((F.col("n_other") <= n) & (4 * F.col("n_other") >= 3 * n))
+    return pairs.select(F.greatest("doc", "b").alias("a"), F.least("doc", "b").alias("b")).distinct()
+
+
+def central(near: DataFrame) -> DataFrame:
+    """(doc, weight): how many documents have an average shingle of each; the original of many near copies stands out."""
+    rows = token_rows(near)
+    spread = rows.groupBy("token").agg(F.count("*").alias("df"))
+    return rows.join(spread, "token").groupBy("doc").agg((F.sum("df") / F.max("n")).alias("weight"))
+
+
+def alike(sets: DataFrame, groups: DataFrame | None, k: int) -> DataFrame:
+    """Pairs of a document and the most central one with the same min-hash, for the ``k``-th hashes, across groups."""
+    rows = sets.select("doc", "weight", F.explode(F.slice("keys", KEYS_A_ROUND * k + 1, KEYS_A_ROUND)).alias("k"))
+    if groups is not None:
+        rows = rows.join(groups.withColumnRenamed("node", "doc"), "doc", "left")
+    else:
+        rows = rows.withColumn("component", F.lit(None).cast(rows.schema["doc"].dataType))
+    rows = rows.withColumn("grp", F.coalesce("component", "doc"))
+    lead = rows.groupBy("k").agg(F.max(F.struct("weight", "doc", "grp")).alias("l"), F.min("grp").alias("lo"),
+                                 F.max("grp").alias("hi")).where("lo != hi").drop("lo", "hi")
+    return rows.join(lead, "k").where("grp != l.grp").select(F.col("doc").alias("a"), F.col("l.doc").alias("b")).distinct()
 
 
 def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -294,18 +338,19 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     texts = docs.select(F.col(key).alias("doc"), F.encode(whole_text(text), "UTF-8").alias("text"))
     chunks = stored(chunk_sets(texts), "chunks")
     shared = stored(shared_tokens(chunks), "shared")
-    near = survivors(chunks, shared)
-    classes = stored(near.groupBy("n", "s1", "s2").agg(F.min(F.struct("doc", "tokens")).alias("r")).select(
-        "r.doc", "n", "s1", "s2", "r.tokens").where("doc IS NOT NULL"), "classes")
+    near = survivors(chunks, shared, least_shared)
+    classes = stored(near.groupBy("n", "s1", "s2").agg(F.min("doc").alias("doc")).where("doc IS NOT NULL"), "classes")
     sets = stored(full_sets(texts, classes), "sets")
-
-    keyed = sets.select("doc", F.explode("keys").alias("k"))
-    leaders = keyed.groupBy("k").agg(F.min("doc").alias("b"), F.count("*").alias("size")).where("size > 1").drop("size")
-    first = keyed.join(leaders, "k").where("doc != b").select(F.col("doc").alias("a"), "b").distinct()
-    links = stored(verified(first, sets), "links")
-    groups = components(links)
-    more = stored(verified(across_groups(classes, groups), sets), "links")
-    links = links.unionByName(more)
+    whole = stored(set_chunks(sets), "whole")
+    near = stored(survivors(whole, shared_tokens(whole), needed), "near")
+    sets = stored(sets.join(central(near), "doc"), "sets")
+
+    links, groups = None, None
+    for k in range(MIN_HASHES):
+        new = stored(verified(alike(sets, groups, k), sets), "links")
+        links = new if links is None else links.unionByName(new)
+        groups = components(links)
+    links = links.unionByName(stored(verified(across_groups(near, groups), sets), "links"))
     found = components(links)
     degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(
         F.count("*").alias("n_links"))

@@ -1,7 +1,7 @@
 """Scoring texts with a hashed maximum-entropy language model.
 
 The next word is predicted from hashed features of the words before it: the last word, the last two in order, and the one
-before the last (a skip).  The softmax is factored by class: words belong to one of 32 x 32 leaves, the model gives the
+before the last (a skip).  The softmax is factored by class: words belong to one of 24 x 24 leaves, the model gives the
 first half of the leaf, then the second given the first, and inside a leaf words share the mass by add-one counts, with
 one unit kept for words that training never saw.  The ``FREQUENT`` most frequent words have leaves of their own, all other
 words share the rest by hash.
@@ -10,7 +10,7 @@ The corpus is encoded once, chunk by chunk, against each chunk's own vocabulary;
 hands every chunk those of its own.  Training takes ``ROUNDS`` rounds over disjoint parts of all training documents: in a
 round each task walks its chunks with stochastic gradient steps from the same weights, and the rows it changed are
 averaged, weighted by how often they were touched, in blocks that Spark groups.  The weights have a fixed size
-(2 x 65,536 x 32 numbers), so they may be broadcast.
+(2 x 65,536 x 24 numbers), so they may be broadcast.
 
 Null counts as an empty text, which still has its end token.  Without training text every word is unseen.  Copies get
 equal scores as long as they are all training or all held out, which does not enter the score at all.
@@ -33,7 +33,7 @@ from aeroledger.llm.common import stored, whole_text
 from aeroledger.llm.fingerprints import scramble
 
 CHUNK_BYTES = 6_000_000
-SIDE = 32
+SIDE = 24
 LEAVES = SIDE * SIDE
 FREQUENT = LEAVES // 2
 ROWS = 1 << 16
@@ -48,7 +48,7 @@ END = b"\n"  # cannot occur in a word
 def encode(docs: DataFrame) -> DataFrame:
     """A row per chunk of ``docs`` (doc, held, text): documents, local vocabulary with training counts, local ids."""
     kind = docs.schema["doc"].dataType.simpleString()
-    schema = (f"chunk string, docs array<{kind}>, held array<boolean>, size array<int>, ids binary, "
+    schema = (f"chunk bigint, docs array<{kind}>, held array<boolean>, size array<int>, ids binary, "
               "words array<binary>, hashes binary, counts array<bigint>")
 
     def chunk_row(doc_type, docs_, held, texts):
@@ -67,7 +67,7 @@ def encode(docs: DataFrame) -> DataFrame:
         hashes = np.array([zlib.crc32(w) for w in words], np.uint32)
         narrow = np.uint16 if len(words) <= 65536 else np.uint32
         return pa.RecordBatch.from_arrays(
-            [pa.array([uuid.uuid4().hex]), pa.array([docs_], pa.list_(doc_type)), pa.array([held], pa.list_(pa.bool_())),
+            [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([docs_], pa.list_(doc_type)), pa.array([held], pa.list_(pa.bool_())),
              pa.array([size], pa.list_(pa.int32())), pa.array([ids.astype(narrow).tobytes()], pa.binary()),
              pa.array([words], pa.list_(pa.binary())), pa.array([hashes.tobytes()], pa.binary()),
              pa.array([counts.tolist()], pa.list_(pa.int64()))], schema_names)
@@ -257,10 +257,11 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     by_leaf = {r.leaf: (r.c, r.v) for r in leaved.groupBy("leaf").agg(
         F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v")).collect()}  # LEAVES rows at most
     leaf_counts, leaf_words = (np.array([by_leaf.get(i, (0, 0))[k] for i in range(LEAVES)], np.float64) for k in (0, 1))
-    told = words.drop("n").join(leaved, "word").groupBy("chunk").agg(
-        F.sort_array(F.collect_list(F.struct("local", "c", "leaf"))).alias("v"))
+    told = stored(words.select("chunk", "local", "word").join(leaved, "word").groupBy("chunk").agg(
+        F.sort_array(F.collect_list(F.struct("local", "c", "leaf"))).alias("v")).select(
+        "chunk", F.col("v.c").alias("c"), F.col("v.leaf").alias("leaf")), "told")
     chunks = stored(encoded.drop("words", "counts").join(told, "chunk").select(
-        "chunk", "docs", "held", "size", "ids", "hashes", F.col("v.c").alias("c"), F.col("v.leaf").alias("leaf")), "numbered")
+        "chunk", "docs", "held", "size", "ids", "hashes", "c", "leaf"), "numbered")
 
     model = fresh_model(leaf_counts)
     for k in range(ROUNDS):
