@@ -1,0 +1,155 @@
+"""Small checks of the text operators: brute force, round trips, and the odd cases their docstrings define."""
+
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from aeroledger.llm import (
+    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, lm_score, quality_rules, sentencepiece_spans, suffix_dedup)
+from aeroledger.llm.queries import piece_model
+
+WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau upsilon".split()
+
+
+def prose(seed: int, n: int) -> str:
+    return " ".join(np.random.default_rng(seed).choice(WORDS, n))
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    base, other = prose(1, 120), prose(2, 90)
+    texts = [base, base.upper(), base + " one", "x " + other, other, None, "", "  \t ", "Word", "word", prose(3, 3000) + base,
+             "ab " * 300, prose(4, 60), prose(5, 60), base + " one"]
+    rows = [(i, t, ["en", "fr", None][i % 3], ["b", "a", None][i % 3], "clash") for i, t in enumerate(texts)]
+    rows.append(rows[4])
+    return spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, kept_id string").repartition(3)
+
+
+def test_exact_groups_and_colliding_digests(docs, rows):
+    want = {}
+    for r in docs.collect():
+        want.setdefault(re.sub("[A-Z]", lambda m: m[0].lower(), r.text or ""), []).append(r.doc_id)
+    expected = sorted((i, max(g), len(g), i == max(g)) for g in want.values() for i in g)
+    weak = lambda t: (F.length(t) % 2).cast("string")
+    for digest in (exact_dedup.sha256, weak):
+        got = exact_dedup.exact_groups(docs, salts=2, digest=digest)
+        assert rows(got, "doc_id", "keep_id", "group_size", "kept") == expected
+    left = exact_dedup.drop_copies(docs)
+    assert left.columns == docs.columns and left.count() == len(want)
+    assert exact_dedup.exact_groups(docs.limit(0)).count() == 0
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_jaccard_components_match_brute_force(docs, rows):
+    sets = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
+    label = {i: i for i, _ in sets}
+    for _ in sets:
+        for i, a in sets:
+            for j, b in sets:
+                if a and 100 * len(a & b) >= 75 * len(a | b):
+                    label[i] = label[j] = min(label[i], label[j])
+    got = jaccard_join.similar_components(docs)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted((i, len(s), label[i]) for i, s in sets)
+
+
+def test_repeated_bytes_match_brute_force(docs, rows):
+    length = 40
+    texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
+    seen = Counter(t[k:k + length] for _, t in texts for k in range(len(t) - length + 1))
+    want = []
+    for i, t in texts:
+        hit = np.zeros(len(t), bool)
+        for k in range(len(t) - length + 1):
+            if seen[t[k:k + length]] > 1:
+                hit[k:k + length] = True
+        want.append((i, len(t), int(hit.sum()), bytes(np.frombuffer(t, np.uint8)[~hit])))
+    got = [(r.doc_id, r.n_bytes, r.n_removed, bytes(r.kept)) for r in suffix_dedup.cut_repeats(docs, length=length).collect()]
+    assert sorted(got) == sorted(want)
+
+
+def test_quality_measures_and_base_rules(docs, spark):
+    labels = spark.createDataFrame([(0, 1), (1, 0), (99, 1), (None, 1)], "doc_id bigint, quality int")
+    got = {r.doc_id: r for r in quality_rules.quality_verdicts(docs, labels).collect()}
+    for r in docs.collect():
+        words = re.findall(r"[^\x20\x09-\x0D]+", r.text or "")
+        windows = Counter(zip(words, words[1:], words[2:]))
+        covered = {k + j for k, w in enumerate(zip(words, words[1:], words[2:])) if windows[w] > 1 for j in range(3)}
+        assert (got[r.doc_id].n_words, got[r.doc_id].n_repeat_words) == (len(words), len(covered))
+        assert got[r.doc_id].base_failed == (len(words) < 50 or 2 * len(covered) > len(words))
+
+
+def test_binomial_tail_is_exact(spark):
+    row = spark.range(1).select(quality_rules.binomial_tail(F.lit(2), F.lit(50), F.lit(0.1)).alias("p")).first()
+    assert row.p == pytest.approx(sum({0: 1, 1: 50, 2: 1225}[k] * 0.1**k * 0.9**(50 - k) for k in range(3)))
+
+
+def test_mix_hits_its_targets_and_repeats_itself(spark, rows):
+    sized = spark.createDataFrame([(i, prose(i, 5 + i % 40), f"s{i % 3}") for i in range(300)], "doc_id bigint, text string, source string")
+    mix = balanced_mix.mix(sized, block=32)
+    per = mix.groupBy("source", "target").agg(F.sum("taken").alias("t")).collect()
+    assert all(abs(r.t - r.target) < 60 for r in per) and mix.where("taken > 3 * size").isEmpty()
+    assert rows(mix, "doc_id", "taken") == rows(balanced_mix.mix(sized.repartition(5), block=32), "doc_id", "taken")
+
+
+def test_language_network_learns(spark):
+    texts = [(i, ("qu ou ai eau " if i % 2 else "th sh wh ing ") * (3 + i % 9), ["en", "fr"][i % 2]) for i in range(60)]
+    docs = spark.createDataFrame([*texts, (60, None, None), (61, "12 34", None)], "doc_id bigint, text string, lang string")
+    languages, net = language_id.learn(docs, F.col("doc_id") % 5 != 0)
+    got = {r.doc_id: r for r in language_id.predict(docs, languages, net).collect()}
+    assert all(got[i].lang_pred == lang for i, _, lang in texts)
+    assert got[60].lang_pred == got[61].lang_pred == "und"
+
+
+def test_main_text_of_pages():
+    page = """<html><body><header class=top><a href=/>Home</a></header><nav><ul><li><a href=a>A</a></ul></nav>
+      <article><h1>Title &amp; more</h1><p>First,  one<br>line <b>bold<p>Second &lt;two&gt;</article>
+      <div id="comments"><p>I, me, and my long, long comment, again, again, and again, about all of this.</p></div>
+      <aside>Side</aside><form><p>Mail</p></form><footer>End</footer><script>var a = "<p>no</p>"</script></body></html>"""
+    assert html_text.main_text(page) == "Title & more\nFirst, one line bold\nSecond <two>"
+    assert html_text.main_text("") == html_text.main_text("<html><body></body></html>") == ""
+
+
+def test_base_score_and_model_beats_it_on_training_text(docs):
+    got = lm_score.score_texts(docs, F.lit(False)).collect()
+    tokens = [[*(r.text or "").encode().lower().split(), b"\n"] for r in docs.collect()]
+    n = sum(map(len, tokens))
+    assert all(r.train_tokens == n and r.n_known == r.n_tokens for r in got) and sum(r.n_tokens for r in got) == n
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
+def test_encoding_equals_the_library_and_spans_tile(docs):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    encoder = sentencepiece_spans.SpanEncoder(piece_model())
+    odd = ["", " ", "a▁b", "日本語 \0 x", " lead  trail ", "😀 \t\n", "<s> <0x0A>"]
+    for text in odd:
+        e = encoder(text)
+        assert e.ids.tolist() == model.encode(text)
+        if text:
+            assert e.starts[0] == 0 and e.ends[-1] == len(text.encode()) and (e.starts[1:] == e.ends[:-1]).all()
+    for r in sentencepiece_spans.encoding_digests(docs, piece_model()).where("doc_id = 3").collect():
+        ids = model.encode(docs.where("doc_id = 3").first().text)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_character_map_equals_the_library():
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2
+
+    library = sentencepiece.SentencePieceNormalizer(rule_name="nmt_nfkc")
+    proto = sentencepiece_model_pb2.ModelProto()
+    proto.ParseFromString(library.serialized_model_proto())
+    spec = proto.normalizer_spec
+    own = sentencepiece_spans.Normaliser(spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces, spec.escape_whitespaces)
+    for text in ("ｱｲｳ ①② Ⅷ ﬁ  é ㌔ 　x ", " Ａ Ｂ", "", "  ", "plain text"):
+        normal, source = own(text.encode())
+        assert normal.decode() == library.normalize(text) and len(source) == len(normal) + 1
