@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.llm import (
-    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, lm_score, quality_rules, sentencepiece_spans,
-    suffix_dedup)
+    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, line_dedup, lm_score, quality_rules,
+    sentencepiece_spans, suffix_dedup)
 from aeroledger.llm.common import documents, id_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +64,23 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
                            "kept", F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    left = line_dedup.without_shared_lines(documents(spark, folder))
+    return left.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SQL["op5_line_dedup"] = """
+    WITH s AS (SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+    l AS (SELECT doc_id, site, unnest(parts) AS line, generate_subscripts(parts, 1) AS place FROM s),
+    t AS (SELECT *, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS word FROM l),
+    b AS (SELECT word FROM t WHERE word <> '' GROUP BY word HAVING count(DISTINCT site) >= 5),
+    m AS (SELECT t.*, b.word IS NOT NULL AS gone FROM t LEFT JOIN b ON t.word = b.word)
+    SELECT doc_id, count(*) FILTER (WHERE word <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id"""
+
+
 @query
 def op6_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = suffix_dedup.cut_repeats(documents(spark, folder))

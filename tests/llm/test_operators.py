@@ -153,3 +153,13 @@ def test_character_map_equals_the_library():
     for text in ("ｱｲｳ ①② Ⅷ ﬁ  é ㌔ 　x ", " Ａ Ｂ", "", "  ", "plain text"):
         normal, source = own(text.encode())
         assert normal.decode() == library.normalize(text) and len(source) == len(normal) + 1
+
+
+def test_lines_of_many_sites_go(spark):
+    from aeroledger.llm import line_dedup
+
+    rows = [(i, f"own {i}\n  shared line \nof four", f"s{i}") for i in range(4)]
+    rows += [(4, "shared line\n\nlast", None), (5, None, "s0"), (6, "", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in line_dedup.without_shared_lines(docs, sites=5).collect()}
+    assert got[0] == (3, 1, "own 0\nof four") and got[4] == (2, 1, "\nlast") and got[5] == got[6] == (0, 0, "")
