@@ -85,13 +85,6 @@ def _named(df: DataFrame, names: Sequence[str], default: str = "UNKNOWN") -> Col
     return F.col(found).cast("string") if found else F.lit(default)
 
 
-def _strongest(df: DataFrame, score: Column, ident: Column, cap: int | None) -> DataFrame:
-    """The ``cap`` strongest rows by score then id; all rows without a cap."""
-    if cap is None:
-        return df
-    return df.orderBy(F.desc_nulls_last(score), F.asc_nulls_last(ident)).limit(cap)
-
-
 def delay_alerts(actions: DataFrame) -> DataFrame:
     """One alert per HIGH or MEDIUM flight."""
     risk = F.upper(_named(actions, RISK_NAMES, ""))
@@ -104,8 +97,8 @@ def delay_alerts(actions: DataFrame) -> DataFrame:
         numeric(probability) if probability else F.lit(0.0), "Operations Control"))
 
 
-def baggage_alerts(sla: DataFrame, minutes: float = 45, cap: int | None = 100) -> DataFrame:
-    """Bags over the limit, longest first; without a duration column the breach flag decides."""
+def baggage_alerts(sla: DataFrame, minutes: float = 45) -> DataFrame:
+    """Bags over the limit; without a duration column the breach flag decides."""
     duration = resolve_column(sla.columns, DURATION_NAMES)
     breach = resolve_column(sla.columns, BREACH_NAMES)
     if duration:
@@ -115,12 +108,12 @@ def baggage_alerts(sla: DataFrame, minutes: float = 45, cap: int | None = 100) -
     took = numeric(duration) if duration else F.lit(0.0)
     bag = _named(sla, BAG_NAMES)
     reason = F.format_string(f"Baggage operational scan SLA exceeded {minutes:g} minutes (%.1f minutes).", took)
-    return _strongest(sla.filter(late), took, bag, cap).select(*_alert(
+    return sla.filter(late).select(*_alert(
         "BAGGAGE_SLA_BREACH", F.concat(F.lit("BAG-"), bag), _named(sla, FLIGHT_NAMES), F.lit("HIGH"), F.lit(1),
         F.lit("BAGGAGE_SLA_ESCALATION"), reason, F.lit(None), "Baggage Operations"))
 
 
-def demand_alerts(forecast: DataFrame, surge: float = 1.2, q: float = 0.75, cap: int | None = 100,
+def demand_alerts(forecast: DataFrame, surge: float = 1.2, q: float = 0.75,
                   actual_names: Sequence[str] = ACTUAL_NAMES) -> DataFrame:
     """Forecasts well above actual demand; without actuals, the forecasts from the upper quantile on."""
     column = resolve_column(forecast.columns, FORECAST_NAMES)
@@ -135,7 +128,7 @@ def demand_alerts(forecast: DataFrame, surge: float = 1.2, q: float = 0.75, cap:
         bar = exact_quantile(forecast.select(predicted.alias("v")), "v", q).scalar()
     route = _named(forecast, ROUTE_NAMES)
     reason = F.format_string("Forecast demand surge detected for route %s. Forecast demand=%.0f.", route, predicted)
-    return _strongest(forecast.filter(predicted >= bar), predicted, route, cap).select(*_alert(
+    return forecast.filter(predicted >= bar).select(*_alert(
         "DEMAND_SURGE", F.concat(F.lit("DEMAND-"), route), route, F.lit("MEDIUM"), F.lit(2),
         F.lit("DEMAND_SURGE_ALERT"), reason, F.lit(None), "Network Planning"))
 
@@ -149,15 +142,15 @@ def anomalous(anomalies: DataFrame, z: float = 2) -> Column | None:
     return numeric(score) >= z if score else None
 
 
-def cancellation_alerts(anomalies: DataFrame, z: float = 2, cap: int | None = 100) -> DataFrame:
-    """Anomalous cancellation days, strongest first."""
+def cancellation_alerts(anomalies: DataFrame, z: float = 2) -> DataFrame:
+    """Anomalous cancellation days."""
     condition = anomalous(anomalies, z)
     column = resolve_column(anomalies.columns, SCORE_NAMES)
     score = numeric(column) if column else F.lit(0.0)
     route = _named(anomalies, ROUTE_NAMES)
     reason = F.format_string("Cancellation anomaly detected for route %s. Anomaly score=%.2f.", route, score)
     hits = anomalies.filter(F.lit(False) if condition is None else condition)
-    return _strongest(hits, score, route, cap).select(*_alert(
+    return hits.select(*_alert(
         "CANCELLATION_CLUSTER", F.concat(F.lit("CANCEL-"), route), route, F.lit("HIGH"), F.lit(1),
         F.lit("CANCELLATION_CLUSTER_ALERT"), reason, F.lit(None), "Operations Control"))
 

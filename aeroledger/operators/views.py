@@ -39,7 +39,8 @@ def page(df: DataFrame, order: Sequence[str | Column], limit: int = 100) -> Data
 def _by_probability(df: DataFrame) -> list[Column]:
     probability = resolve_column(df.columns, PROBABILITIES)
     ident = resolve_column(df.columns, ("flight_id", "alert_id", "entity_id"))
-    return ([F.desc_nulls_last(probability)] if probability else []) + [F.asc_nulls_last(ident)]
+    reason = [F.asc_nulls_last("trigger_reason")] if "trigger_reason" in df.columns else []  # alert ids repeat
+    return ([F.desc_nulls_last(probability)] if probability else []) + [F.asc_nulls_last(ident), *reason]
 
 
 def attach(df: DataFrame, one_row: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -166,7 +166,7 @@ CTES = {
                'HIGH' AS risk_level, 1 AS priority, 'BAGGAGE_SLA_ESCALATION' AS automation_action,
                printf('Baggage operational scan SLA exceeded 43200 minutes (%.1f minutes).', cycle_minutes) AS trigger_reason,
                CAST(NULL AS DOUBLE) AS model_probability, 'Baggage Operations' AS owner
-        FROM (SELECT * FROM sla WHERE cycle_minutes > 43200 ORDER BY cycle_minutes DESC, CAST(bag_id AS VARCHAR) LIMIT 100)""",
+        FROM sla WHERE cycle_minutes > 43200""",
     "demand_alerts": """
         SELECT concat('DEMAND-', route_id) AS alert_id, 'DEMAND_SURGE' AS alert_type, route_id AS entity_id,
                'MEDIUM' AS risk_level, 2 AS priority, 'DEMAND_SURGE_ALERT' AS automation_action,
@@ -174,14 +174,13 @@ CTES = {
                    AS trigger_reason,
                CAST(NULL AS DOUBLE) AS model_probability, 'Network Planning' AS owner
         FROM (SELECT * FROM forecast
-              WHERE predicted_bookings >= (SELECT quantile_cont(predicted_bookings, 0.75) FROM forecast)
-              ORDER BY predicted_bookings DESC, route_id LIMIT 100)""",
+              WHERE predicted_bookings >= (SELECT quantile_cont(predicted_bookings, 0.75) FROM forecast))""",
     "cancel_alerts": """
         SELECT concat('CANCEL-', route_id) AS alert_id, 'CANCELLATION_CLUSTER' AS alert_type, route_id AS entity_id,
                'HIGH' AS risk_level, 1 AS priority, 'CANCELLATION_CLUSTER_ALERT' AS automation_action,
                printf('Cancellation anomaly detected for route %s. Anomaly score=%.2f.', route_id, z_score) AS trigger_reason,
                CAST(NULL AS DOUBLE) AS model_probability, 'Operations Control' AS owner
-        FROM (SELECT * FROM anomalies WHERE anomaly ORDER BY z_score DESC, route_id LIMIT 100)""",
+        FROM anomalies WHERE anomaly""",
     "alerts": f"""
         SELECT {NOW} AS timestamp, *, 'OPEN' AS status, true AS notification_required,
                'AUTOMATION_RULE_TRIGGERED' AS audit_event
@@ -268,6 +267,6 @@ def with_ctes(sql: str) -> str:
     sql = sql.strip()
     if not needed:
         return sql
-    shared = "WITH " + ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in _ORDER if n in needed)
+    shared = "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTES[n].strip()})" for n in _ORDER if n in needed)
     own = sql.startswith("WITH ")
     return f"{shared},\n{sql[len('WITH '):].lstrip()}" if own else f"{shared}\n{sql}"

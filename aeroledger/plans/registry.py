@@ -506,7 +506,7 @@ query("demand_alerts_vs_actual", """
     SELECT concat('DEMAND-', route_id) AS alert_id, route_id AS entity_id,
            printf('Forecast demand surge detected for route %s. Forecast demand=%.0f.', route_id, predicted_bookings) AS trigger_reason
     FROM forecast WHERE predicted_bookings >= booking_count * 1.2e0""")(
-    lambda t: rules.demand_alerts(t.forecast(), cap=None).select("alert_id", "entity_id", "trigger_reason"))
+    lambda t: rules.demand_alerts(t.forecast()).select("alert_id", "entity_id", "trigger_reason"))
 query("cancellation_alerts", f"SELECT *{OPEN} FROM cancel_alerts")(lambda t: rules.cancellation_alerts(t.anomalies()))
 query("unified_alerts", "SELECT * FROM alerts")(lambda t: t.alerts())
 query("alert_summary", """
@@ -604,7 +604,7 @@ query("flights_live", """
 query("alerts_view", """
     SELECT a.*, (SELECT count(*) FROM alerts WHERE risk_level = 'HIGH') AS high_count,
            (SELECT count(*) FROM alerts WHERE risk_level = 'MEDIUM') AS medium_count
-    FROM (SELECT * FROM alerts ORDER BY model_probability DESC NULLS LAST, alert_id LIMIT 1000) a""")(
+    FROM (SELECT * FROM alerts ORDER BY model_probability DESC NULLS LAST, alert_id, trigger_reason LIMIT 1000) a""")(
     lambda t: views.alerts_view(t.published("alerts")))
 query("delay_risk", """SELECT * FROM actions WHERE risk_level <> 'LOW' ORDER BY delay_probability DESC, flight_id LIMIT 100""")(
     lambda t: views.delay_risk(t.published("actions")))
