@@ -8,8 +8,9 @@ words share the rest by hash.
 
 The corpus is encoded once, chunk by chunk, against each chunk's own vocabulary; Spark sums the counts of all words and
 hands every chunk those of its own.  Training takes ``ROUNDS`` rounds over disjoint parts of all training documents: in a
-round each task walks its chunks with stochastic gradient steps from the same weights, and the rows it changed are
-averaged, weighted by how often they were touched, in blocks that Spark groups.  The weights have a fixed size
+round each task walks its chunks with stochastic gradient steps from the same weights, and its changes of the rows it
+touched (half precision is ample for steps that are averaged) are averaged, weighted by how often they were touched, in
+blocks that Spark groups.  The weights have a fixed size
 (2 x 65,536 x 24 numbers), so they may be broadcast.
 
 Null counts as an empty text, which still has its end token.  Without training text every word is unseen.  Copies get
@@ -214,24 +215,25 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
             walk(own, feats[trains], leaf[ids[trains]], state)
         for k, name in enumerate(("first", "second")):
             touched = state[name][1]
-            weighted = getattr(own, name) * touched[:, None]
+            moved = (getattr(own, name) - getattr(start, name)).astype(np.float16)
             for block in range(BLOCKS):
                 part = slice(block * per, (block + 1) * per)
                 if touched[part].any():
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([k * BLOCKS + block], pa.int32()), pa.array([weighted[part].tobytes()], pa.binary()),
-                         pa.array([touched[part].tobytes()], pa.binary())], ["block", "weighted", "touched"])
+                        [pa.array([k * BLOCKS + block], pa.int32()), pa.array([moved[part].tobytes()], pa.binary()),
+                         pa.array([touched[part].tobytes()], pa.binary())], ["block", "moved", "touched"])
 
     def add(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weighted, touched = np.zeros(per * SIDE, np.float64), np.zeros(per, np.float64)
+        moved, touched = np.zeros((per, SIDE), np.float64), np.zeros(per, np.float64)
         for batch in batches:
-            for w, t in zip(batch.column(1), batch.column(2)):
-                weighted += np.frombuffer(w.as_buffer(), np.float32)
-                touched += np.frombuffer(t.as_buffer(), np.float32)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([weighted.tobytes()], pa.binary()),
-                                          pa.array([touched.tobytes()], pa.binary())], ["block", "weighted", "touched"])
-
-    schema = "block int, weighted binary, touched binary"
+            for m, t in zip(batch.column(1), batch.column(2)):
+                times = np.frombuffer(t.as_buffer(), np.float32)
+                moved += np.frombuffer(m.as_buffer(), np.float16).reshape(per, SIDE) * times[:, None].astype(np.float64)
+                touched += times
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([moved.tobytes()], pa.binary()),
+                                          pa.array([touched.tobytes()], pa.binary())], ["block", "moved", "touched"])
+
+    schema = "block int, moved binary, touched binary"
     sums = chunks.select("size", "ids", "hashes", "c", "leaf", "held").mapInArrow(run, schema).groupBy("block").applyInArrow(add, schema)
     out = Model(model.first.copy(), model.second.copy(), model.bias_first, model.bias_second)
     for row in sums.collect():  # at most 2 x BLOCKS rows, the size of the model
@@ -239,8 +241,8 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
         part = slice((row.block % BLOCKS) * per, (row.block % BLOCKS + 1) * per)
         touched = np.frombuffer(row.touched)
         known = touched > 0
-        new = np.frombuffer(row.weighted).reshape(per, SIDE)[known] / touched[known, None]
-        weights[part][known] = new.astype(np.float32)
+        change = np.frombuffer(row.moved).reshape(per, SIDE)[known] / touched[known, None]
+        weights[part][known] += change.astype(np.float32)
     return out
 
 
