@@ -290,26 +290,33 @@ def sql_share(n: Column, over: int, under: int) -> Column:
 def across_groups(classes: DataFrame, groups: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) between members of different groups.  ``groups``: node, component.
 
-    Only tokens of several groups count, those of the fewest groups first.  A pair at 0.75 shares 6/7 of the smaller set at
-    least and 3/4 of the larger.  So the first shared token is among the first ``c - ceil(6n/7) + 1`` of the ``c`` tokens
-    of the smaller set and the first ``c - ceil(3n/4) + 1`` of the larger.  The matrix holds the former for each group, the
-    latter ask it; a group opens where sizes fit.
+    Only tokens of several groups count, those of the fewest documents first, as asking and held rows meet token by token.
+    A pair of ``n`` and ``n_other`` tokens at 0.75 shares at least 3/7 of their sum, so its first shared token has that
+    many left in both sets, itself included (``rest``).  The smaller set is held by the matrix where 6/7 of it are left, the larger asks
+    where 3/4 are left; a group opens where the sizes fit and enough tokens are left for its least fitting member.
     """
     rows = token_rows(classes).join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "grp", F.coalesce("component", "doc")).select("doc", "n", "token", "grp")
-    width = rows.select("token", "grp").distinct().groupBy("token").agg(F.count("*").alias("groups")).where("groups > 1")
-    crossing = rows.join(width, "token").groupBy("doc", "n", "grp").agg(
-        F.sort_array(F.collect_list(F.struct("groups", "token"))).alias("ranked"))
-    n, c = F.col("n"), F.size("ranked")
-    small, large = c - sql_share(n, 6, 7) + 1, c - sql_share(n, 3, 4) + 1
-    rare = stored(crossing.where(large > 0).select(
-        "doc", "n", "grp", small.alias("small"), F.posexplode(F.slice("ranked", F.lit(1), large)).alias("place", "t")).select(
-        "doc", "n", "grp", F.col("t.token").alias("token"), (F.col("place") < F.col("small")).alias("small")), "rare")
-    held = rare.where("small").select("token", F.col("grp").alias("other"), F.col("n").alias("n_other"), F.col("doc").alias("b"))
-    matrix = held.groupBy("token", "other").agg(F.min("n_other").alias("least"), F.max("n_other").alias("most"))
+    spread = rows.groupBy("token").agg(F.count("*").alias("df"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
+    crossing = rows.join(spread, "token").groupBy("doc", "n", "grp").agg(
+        F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    n, rest = F.col("n"), F.col("rest")
+    rare = crossing.select("doc", "n", "grp", F.size("ranked").alias("c"), F.posexplode("ranked").alias("place", "t")).select(
+        "doc", "n", "grp", F.col("t.token").alias("token"), (F.col("c") - F.col("place")).alias("rest"))
+    rare = stored(rare.where(4 * rest >= 3 * n), "rare")
+    held = rare.where(7 * rest >= 6 * n).select("token", F.col("grp").alias("other"), F.col("n").alias("n_other"),
+                                                F.col("rest").alias("rest_other"), F.col("doc").alias("b"))
+    matrix = held.groupBy("token", "other").agg(F.min("n_other").alias("least"), F.max("n_other").alias("most"),
+                                                F.max("rest_other").alias("rest_other"))
+
+    def enough(n_other: Column) -> Column:
+        return (7 * rest >= 3 * (n + n_other)) & (7 * F.col("rest_other") >= 3 * (n + n_other))
+
     fits = (F.col("other") != F.col("grp")) & (F.col("least") <= n) & (4 * F.col("most") >= 3 * n)
-    opened = stored(rare.join(matrix, "token").where(fits).select("doc", "n", "token", "other").distinct(), "opened")
-    pairs = opened.join(held, ["token", "other"]).where((F.col("n_other") <= n) & (4 * F.col("n_other") >= 3 * n))
+    opened = rare.join(matrix, "token").where(fits & enough(F.greatest(F.col("least"), sql_share(n, 3, 4))))
+    opened = stored(opened.select("doc", "n", "rest", "token", "other").distinct(), "opened")
+    pairs = opened.join(held, ["token", "other"]).where(
+        (F.col("n_other") <= n) & (4 * F.col("n_other") >= 3 * n) & enough(F.col("n_other")))
     return pairs.select(F.greatest("doc", "b").alias("a"), F.least("doc", "b").alias("b")).distinct()
 
 
