@@ -68,9 +68,10 @@ def clean_number(c: ColumnLike) -> Column:
 
 
 def round_to(c: ColumnLike, digits: int) -> Column:
-    """Round half up on the binary value (no decimal detour, stays in codegen)."""
+    """Round half away from zero on the binary value (no decimal detour, stays in codegen)."""
     unit = 10.0 ** digits
-    return F.floor(as_col(c) * F.lit(unit) + F.lit(0.5)) / F.lit(unit)
+    scaled = as_col(c) * F.lit(unit)
+    return F.when(scaled < 0, -F.floor(F.lit(0.5) - scaled)).otherwise(F.floor(scaled + F.lit(0.5))) / F.lit(unit)
 
 
 def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
@@ -79,19 +80,19 @@ def ratio(numerator: ColumnLike, denominator: ColumnLike) -> Column:
     return as_col(numerator).cast("double") / F.nullif(bottom, F.lit(0.0))
 
 
-def exact_sum(c: ColumnLike, digits: int = 2) -> Column:
-    """Sum of doubles as fixed-point longs.
+def exact_sum(c: ColumnLike, digits: int = 6) -> Column:
+    """Sum of doubles as decimals of ``digits`` places; NULL and NaN are left out.
 
-    Floating sums change with the order in which tasks finish; adding whole
-    units of ``10**-digits`` gives the same answer for every partitioning and is
-    as cheap as a long sum.
+    Floating sums change with the order in which tasks finish; decimals give the
+    same answer for every partitioning.
     """
-    unit = 10.0 ** digits
-    return F.sum(F.floor(as_col(c) * F.lit(unit) + F.lit(0.5))).cast("double") / F.lit(unit)
+    value = as_col(c).cast("double")
+    return F.sum(F.when(~F.isnan(value), value).cast(f"decimal(28,{digits})")).cast("double")
 
 
-def exact_avg(c: ColumnLike, digits: int = 2) -> Column:
-    return exact_sum(c, digits) / F.nullif(F.count(as_col(c)), F.lit(0)).cast("double")
+def exact_avg(c: ColumnLike, digits: int = 6) -> Column:
+    value = as_col(c).cast("double")
+    return exact_sum(c, digits) / F.nullif(F.count(F.when(~F.isnan(value), value)), F.lit(0)).cast("double")
 
 
 def count_when(condition: Column) -> Column:

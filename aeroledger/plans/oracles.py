@@ -6,15 +6,13 @@ NOW = "TIMESTAMP '2024-02-01 06:00:00'"
 
 
 def r(expr: str, digits: int) -> str:
-    """Round half up."""
-    unit = f"1e{digits}"
-    return f"(floor(({expr})*{unit}+0.5e0)/{unit})"
+    """Round half away from zero; a negative zero becomes zero."""
+    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0e0)"
 
 
-def s(expr: str, digits: int = 2, over: str = "") -> str:
-    """Fixed-point sum."""
-    unit = f"1e{digits}"
-    return f"(CAST(SUM(CAST(floor(({expr})*{unit}+0.5e0) AS BIGINT)){over} AS DOUBLE)/{unit})"
+def s(expr: str, digits: int = 6, over: str = "") -> str:
+    """Decimal sum."""
+    return f"CAST(SUM(CAST(({expr}) AS DECIMAL(28,{digits}))){over} AS DOUBLE)"
 
 
 def big(expr: str) -> str:
