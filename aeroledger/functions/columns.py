@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 ColumnLike = Column | str
 
 # Spellings that count as "yes" in exported flag columns.
-TRUTHY = ("true", "1", "yes", "high", "anomaly", "breach")
+TRUTHY = ("true", "1", "yes", "high")
 
 _STAMPS = (T.TimestampType, T.TimestampNTZType, T.DateType)
 

@@ -16,14 +16,14 @@ TYPE_OWNERS = {"BAGGAGE_SLA_BREACH": "Baggage Operations", "DEMAND_SURGE": "Netw
                "CANCELLATION_CLUSTER": "Operations Control"}
 CHANNELS = ("EMAIL", "SLACK")
 
-AUDIT_COLUMNS = ("timestamp", "alert_id", "entity_id", "alert_type", "risk_level", "priority", "automation_action",
+AUDIT_COLUMNS = ("message_id", "event_day", "timestamp", "alert_id", "entity_id", "alert_type", "risk_level", "priority", "automation_action",
                  "trigger_reason", "owner", "notification_channel", "recipient")
 
 
 def arrival_order() -> list[Column]:
-    """Default order among alerts: priority, probability, id, reason."""
+    """Default order among alerts: priority, probability, id, reason, day."""
     return [F.asc_nulls_last("priority"), F.desc_nulls_last("model_probability"), F.asc("alert_id"),
-            F.asc_nulls_last("trigger_reason")]
+            F.asc_nulls_last("trigger_reason"), F.asc_nulls_last("event_day")]
 
 
 def notifiable(alerts: DataFrame) -> DataFrame:
@@ -91,13 +91,13 @@ def render_message(alerts: DataFrame, now: datetime) -> DataFrame:
 
 
 def notification_outbox(selected: DataFrame, now: datetime, channels: Sequence[str] = CHANNELS) -> DataFrame:
-    """One message per alert and channel, ready for a sender."""
+    """One message per alert and channel, ready for a sender; ``message_id`` is its own as alerts differ in id, reason or day."""
     routed = render_message(route_notification(selected), now)
     rows = (routed.withColumn("timestamp", F.lit(now).cast("timestamp"))
             .withColumn("notification_channel", F.explode(F.array(*[F.lit(c) for c in channels]))))
     mail = F.col("notification_channel") == "EMAIL"
-    return rows.select(
-        short_id("alert_id", "notification_channel", "entity_id", "trigger_reason", "timestamp").alias("message_id"),
+    ident = short_id("alert_id", "notification_channel", "entity_id", "trigger_reason", "event_day", F.unix_micros("timestamp"))
+    return rows.withColumn("message_id", ident).select(
         *AUDIT_COLUMNS, F.when(mail, F.col("subject")).alias("subject"),
         F.when(mail, F.col("body")).otherwise(F.col("chat_text")).alias("message"))
 
@@ -125,10 +125,12 @@ def delivery_counts(audit: DataFrame, channels: Sequence[str] = CHANNELS) -> Dat
 
 
 def acknowledge(audit: DataFrame, entity: str, owner: str, now: datetime, id_column: str = "entity_id") -> DataFrame:
-    """The audit after acknowledging the entity's newest row; unchanged when the entity is unknown."""
-    row = F.struct("timestamp", *[c for c in audit.columns if c != "timestamp"])
-    newest = audit.filter(F.col(id_column).cast("string") == entity).agg(F.max(row)).scalar()
-    hit = F.coalesce(row == newest, F.lit(False))
+    """The audit after acknowledging the entity's newest message; an unknown entity is an error."""
+    sent = F.unix_micros("timestamp")
+    newest = audit.filter(F.col(id_column).cast("string") == entity).agg(F.max(F.struct(sent, "message_id"))).first()[0]
+    if newest is None:
+        raise LookupError(f"no notification for {entity}")
+    hit = sent.eqNullSafe(F.lit(newest[0])) & (F.col("message_id") == newest[1])
     return (audit.withColumn("_hit", hit)
             .withColumn("status", F.when(F.col("_hit"), F.lit("ACKNOWLEDGED")).otherwise(F.col("status")))
             .withColumn("owner", F.when(F.col("_hit"), F.lit(owner)).otherwise(F.col("owner")))

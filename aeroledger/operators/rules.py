@@ -8,12 +8,12 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroledger.functions.columns import numeric, resolve_column, truthy
+from aeroledger.functions.columns import TRUTHY, numeric, resolve_column, truthy
 from aeroledger.operators.quality import union_all
 from aeroledger.operators.skew import exact_quantile
 
 ALERT_COLUMNS = ("alert_id", "alert_type", "entity_id", "risk_level", "priority", "automation_action",
-                 "trigger_reason", "model_probability", "owner", "status", "notification_required")
+                 "trigger_reason", "model_probability", "owner", "status", "notification_required", "event_day")
 
 # The message that goes with each action.
 ACTION_MESSAGES = {
@@ -38,8 +38,13 @@ BREACH_NAMES = ("sla_breached", "sla_breach", "breach", "is_breach")
 FORECAST_NAMES = ("predicted_bookings", "predicted_demand", "forecast_demand", "forecast", "prediction")
 ACTUAL_NAMES = ("actual_demand", "demand", "bookings", "booking_count")
 ANOMALY_NAMES = ("anomaly", "is_anomaly", "anomaly_flag")
+DAY_NAMES = ("forecast_date", "cancel_date", "flight_date", "event_date")
 SCORE_NAMES = ("z_score", "zscore", "cancellation_zscore")
 
+# Spellings of "yes" in each flag column.
+BREACH_WORDS = (*TRUTHY, "breach")
+ANOMALY_WORDS = (*TRUTHY, "anomaly")
+
 
 def delay_actions(predictions: DataFrame, high: float = 0.70, medium: float = 0.40,
                   short_turnaround: float = 60, long_delay: float = 30) -> DataFrame:
@@ -74,9 +79,9 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
 
 
 def _alert(alert_type: str, alert_id: Column, entity: Column, risk: Column, priority: Column, action: Column,
-           reason: Column, probability: Column, owner: str) -> list[Column]:
+           reason: Column, probability: Column, owner: str, day: Column) -> list[Column]:
     values = (alert_id, F.lit(alert_type), entity, risk, priority.cast("int"), action, reason,
-              probability.cast("double"), F.lit(owner), F.lit("OPEN"), F.lit(True))
+              probability.cast("double"), F.lit(owner), F.lit("OPEN"), F.lit(True), day.cast("date"))
     return [v.alias(c) for v, c in zip(values, ALERT_COLUMNS)]
 
 
@@ -85,6 +90,12 @@ def _named(df: DataFrame, names: Sequence[str], default: str = "UNKNOWN") -> Col
     return F.col(found).cast("string") if found else F.lit(default)
 
 
+def _day(df: DataFrame) -> Column:
+    """The day the alert is about, which tells apart alerts of one route."""
+    found = resolve_column(df.columns, DAY_NAMES)
+    return F.col(found) if found else F.lit(None)
+
+
 def delay_alerts(actions: DataFrame) -> DataFrame:
     """One alert per HIGH or MEDIUM flight."""
     risk = F.upper(_named(actions, RISK_NAMES, ""))
@@ -94,7 +105,7 @@ def delay_alerts(actions: DataFrame) -> DataFrame:
         "DELAY_RISK", F.concat(F.lit("DELAY-"), flight), flight, risk, F.when(risk == "HIGH", 1).otherwise(2),
         _named(actions, ACTION_NAMES, "OPERATIONS_REVIEW"),
         _named(actions, REASON_NAMES, "Predicted future flight delay risk."),
-        numeric(probability) if probability else F.lit(0.0), "Operations Control"))
+        numeric(probability) if probability else F.lit(0.0), "Operations Control", _day(actions)))
 
 
 def baggage_alerts(sla: DataFrame, minutes: float = 45) -> DataFrame:
@@ -104,13 +115,13 @@ def baggage_alerts(sla: DataFrame, minutes: float = 45) -> DataFrame:
     if duration:
         late = numeric(duration, None) > minutes
     else:
-        late = truthy(breach) if breach else F.lit(False)
+        late = truthy(breach, BREACH_WORDS) if breach else F.lit(False)
     took = numeric(duration) if duration else F.lit(0.0)
     bag = _named(sla, BAG_NAMES)
     reason = F.format_string(f"Baggage operational scan SLA exceeded {minutes:g} minutes (%.1f minutes).", took)
     return sla.filter(late).select(*_alert(
         "BAGGAGE_SLA_BREACH", F.concat(F.lit("BAG-"), bag), _named(sla, FLIGHT_NAMES), F.lit("HIGH"), F.lit(1),
-        F.lit("BAGGAGE_SLA_ESCALATION"), reason, F.lit(None), "Baggage Operations"))
+        F.lit("BAGGAGE_SLA_ESCALATION"), reason, F.lit(None), "Baggage Operations", _day(sla)))
 
 
 def demand_alerts(forecast: DataFrame, surge: float = 1.2, q: float = 0.75,
@@ -119,7 +130,7 @@ def demand_alerts(forecast: DataFrame, surge: float = 1.2, q: float = 0.75,
     column = resolve_column(forecast.columns, FORECAST_NAMES)
     if column is None:
         return forecast.limit(0).select(*_alert("DEMAND_SURGE", *[F.lit(None).cast("string")] * 3,
-                                                F.lit(None), *[F.lit(None).cast("string")] * 2, F.lit(None), ""))
+                                                F.lit(None), *[F.lit(None).cast("string")] * 2, F.lit(None), "", F.lit(None)))
     predicted = numeric(column)
     actual = resolve_column(forecast.columns, actual_names)
     if actual:
@@ -130,7 +141,7 @@ def demand_alerts(forecast: DataFrame, surge: float = 1.2, q: float = 0.75,
     reason = F.format_string("Forecast demand surge detected for route %s. Forecast demand=%.0f.", route, predicted)
     return forecast.filter(predicted >= bar).select(*_alert(
         "DEMAND_SURGE", F.concat(F.lit("DEMAND-"), route), route, F.lit("MEDIUM"), F.lit(2),
-        F.lit("DEMAND_SURGE_ALERT"), reason, F.lit(None), "Network Planning"))
+        F.lit("DEMAND_SURGE_ALERT"), reason, F.lit(None), "Network Planning", _day(forecast)))
 
 
 def anomalous(anomalies: DataFrame, z: float = 2) -> Column | None:
@@ -138,7 +149,7 @@ def anomalous(anomalies: DataFrame, z: float = 2) -> Column | None:
     marked = resolve_column(anomalies.columns, ANOMALY_NAMES)
     score = resolve_column(anomalies.columns, SCORE_NAMES)
     if marked:
-        return truthy(marked)
+        return truthy(marked, ANOMALY_WORDS)
     return numeric(score) >= z if score else None
 
 
@@ -152,7 +163,7 @@ def cancellation_alerts(anomalies: DataFrame, z: float = 2) -> DataFrame:
     hits = anomalies.filter(F.lit(False) if condition is None else condition)
     return hits.select(*_alert(
         "CANCELLATION_CLUSTER", F.concat(F.lit("CANCEL-"), route), route, F.lit("HIGH"), F.lit(1),
-        F.lit("CANCELLATION_CLUSTER_ALERT"), reason, F.lit(None), "Operations Control"))
+        F.lit("CANCELLATION_CLUSTER_ALERT"), reason, F.lit(None), "Operations Control", _day(anomalies)))
 
 
 def unified_alerts(*alerts: DataFrame, now: datetime) -> DataFrame:

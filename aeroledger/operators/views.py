@@ -11,7 +11,7 @@ from aeroledger.functions.columns import (
     clean_number, contains_any, count_when, first_filled, json_safe, numeric, prefer_columns, resolve_column,
     same_text, spaced, truthy)
 from aeroledger.operators.rules import (
-    ACTUAL_NAMES, BREACH_NAMES, DURATION_NAMES, FORECAST_NAMES, anomalous)
+    ACTUAL_NAMES, BREACH_NAMES, BREACH_WORDS, DURATION_NAMES, FORECAST_NAMES, anomalous)
 
 # Columns a flight page shows, and column spellings of profit, cost and revenue.
 FLIGHT_PAGE = ("flight_id", "entity_id", "aircraft_id", "route_id", "delay_probability", "future_delay_probability",
@@ -39,7 +39,7 @@ def page(df: DataFrame, order: Sequence[str | Column], limit: int = 100) -> Data
 def _by_probability(df: DataFrame) -> list[Column]:
     probability = resolve_column(df.columns, PROBABILITIES)
     ident = resolve_column(df.columns, ("flight_id", "alert_id", "entity_id"))
-    reason = [F.asc_nulls_last("trigger_reason")] if "trigger_reason" in df.columns else []  # alert ids repeat
+    reason = [F.asc_nulls_last(c) for c in ("trigger_reason", "event_day") if c in df.columns]  # alert ids repeat
     return ([F.desc_nulls_last(probability)] if probability else []) + [F.asc_nulls_last(ident), *reason]
 
 
@@ -141,7 +141,7 @@ def notification_summary(audit: DataFrame) -> DataFrame:
 def notifications_view(audit: DataFrame, limit: int = 1000) -> DataFrame:
     """Audit rows, newest first, with the delivery counts of the whole audit."""
     newest = [F.desc_nulls_last("timestamp"), *[F.asc_nulls_last(c) for c in (
-        "alert_id", "notification_channel", "trigger_reason") if c in audit.columns]]
+        "alert_id", "notification_channel", "trigger_reason", "message_id") if c in audit.columns]]
     return attach(page(audit, newest, limit), notification_summary(audit))
 
 
@@ -156,7 +156,7 @@ def route_performance(routes: DataFrame, limit: int = 100, order: Sequence[str]
 
 def breaches(sla: DataFrame) -> Column:
     found = resolve_column(sla.columns, BREACH_NAMES)
-    return truthy(found) if found else F.lit(False)
+    return truthy(found, BREACH_WORDS) if found else F.lit(False)
 
 
 def baggage_sla_view(sla: DataFrame, limit: int = 100) -> DataFrame:

@@ -157,27 +157,28 @@ CTES = {
     "delay_alerts": """
         SELECT concat('DELAY-', flight_id) AS alert_id, 'DELAY_RISK' AS alert_type, CAST(flight_id AS VARCHAR) AS entity_id,
                risk_level, priority, automation_action, action_message AS trigger_reason,
-               delay_probability AS model_probability, 'Operations Control' AS owner
+               delay_probability AS model_probability, 'Operations Control' AS owner, flight_date AS event_day
         FROM actions WHERE risk_level <> 'LOW'""",
     "baggage_alerts": """
         SELECT concat('BAG-', bag_id) AS alert_id, 'BAGGAGE_SLA_BREACH' AS alert_type, 'UNKNOWN' AS entity_id,
                'HIGH' AS risk_level, 1 AS priority, 'BAGGAGE_SLA_ESCALATION' AS automation_action,
                printf('Baggage operational scan SLA exceeded 43200 minutes (%.1f minutes).', cycle_minutes) AS trigger_reason,
-               CAST(NULL AS DOUBLE) AS model_probability, 'Baggage Operations' AS owner
+               CAST(NULL AS DOUBLE) AS model_probability, 'Baggage Operations' AS owner, CAST(NULL AS DATE) AS event_day
         FROM sla WHERE cycle_minutes > 43200""",
     "demand_alerts": """
         SELECT concat('DEMAND-', route_id) AS alert_id, 'DEMAND_SURGE' AS alert_type, route_id AS entity_id,
                'MEDIUM' AS risk_level, 2 AS priority, 'DEMAND_SURGE_ALERT' AS automation_action,
                printf('Forecast demand surge detected for route %s. Forecast demand=%.0f.', route_id, predicted_bookings)
                    AS trigger_reason,
-               CAST(NULL AS DOUBLE) AS model_probability, 'Network Planning' AS owner
+               CAST(NULL AS DOUBLE) AS model_probability, 'Network Planning' AS owner,
+               CAST(forecast_date AS DATE) AS event_day
         FROM (SELECT * FROM forecast
               WHERE predicted_bookings >= (SELECT quantile_cont(predicted_bookings, 0.75) FROM forecast))""",
     "cancel_alerts": """
         SELECT concat('CANCEL-', route_id) AS alert_id, 'CANCELLATION_CLUSTER' AS alert_type, route_id AS entity_id,
                'HIGH' AS risk_level, 1 AS priority, 'CANCELLATION_CLUSTER_ALERT' AS automation_action,
                printf('Cancellation anomaly detected for route %s. Anomaly score=%.2f.', route_id, z_score) AS trigger_reason,
-               CAST(NULL AS DOUBLE) AS model_probability, 'Operations Control' AS owner
+               CAST(NULL AS DOUBLE) AS model_probability, 'Operations Control' AS owner, cancel_date AS event_day
         FROM anomalies WHERE anomaly""",
     "alerts": f"""
         SELECT {NOW} AS timestamp, *, 'OPEN' AS status, true AS notification_required,
@@ -192,13 +193,17 @@ CTES = {
                CASE WHEN automation_action = 'AIRCRAFT_TURNAROUND_ALERT' THEN 'fleet_mailbox'
                     ELSE 'operations_mailbox' END AS recipient
         FROM alerts""",
+    "sent": """
+        SELECT *, substr(sha256(concat_ws('|', alert_id, notification_channel, entity_id, trigger_reason,
+                   coalesce(CAST(event_day AS VARCHAR), ''), CAST(epoch_us(timestamp) AS VARCHAR))), 1, 16) AS message_id
+        FROM routed, (VALUES ('EMAIL'), ('SLACK')) AS c(notification_channel)""",
     "audit": """
-        SELECT timestamp, alert_id, entity_id, alert_type, risk_level, priority, automation_action, trigger_reason, owner,
-               notification_channel, recipient,
+        SELECT message_id, event_day, timestamp, alert_id, entity_id, alert_type, risk_level, priority, automation_action,
+               trigger_reason, owner, notification_channel, recipient,
                CASE WHEN notification_channel = 'EMAIL' OR risk_level = 'HIGH' THEN 'SENT' ELSE 'FAILED' END AS status,
                CASE WHEN notification_channel = 'EMAIL' OR risk_level = 'HIGH' THEN NULL ELSE 'channel closed' END AS error,
                CAST(NULL AS TIMESTAMP) AS acknowledged_at
-        FROM routed, (VALUES ('EMAIL'), ('SLACK')) AS c(notification_channel)""",
+        FROM sent""",
     "profit_base": f"""
         SELECT route_id, {s('coalesce(rev, 0e0)')} AS total_revenue, count(DISTINCT flight_id) AS total_flights,
                {s('coalesce(delay_minutes, 0e0)', 6)} / count(*) AS avg_delay_minutes

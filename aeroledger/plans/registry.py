@@ -519,9 +519,9 @@ query("select_notifications", """
     WITH placed AS (SELECT *, CASE alert_type WHEN 'DELAY_RISK' THEN 0 WHEN 'BAGGAGE_SLA_BREACH' THEN 1
                                    WHEN 'DEMAND_SURGE' THEN 2 ELSE 3 END AS slot,
                            row_number() OVER (PARTITION BY alert_type ORDER BY priority, model_probability DESC NULLS LAST,
-                                              alert_id, trigger_reason) AS nth FROM alerts),
+                                              alert_id, trigger_reason, event_day) AS nth FROM alerts),
     picked AS (SELECT *, row_number() OVER (ORDER BY CASE WHEN nth = 1 THEN slot ELSE 4 END, priority,
-                                            model_probability DESC NULLS LAST, alert_id, trigger_reason) AS place FROM placed)
+                                            model_probability DESC NULLS LAST, alert_id, trigger_reason, event_day) AS place FROM placed)
     SELECT * EXCLUDE (slot, nth, place), CAST(place AS INTEGER) AS selection_rank FROM picked WHERE place <= 5""")(
     lambda t: notifications.select_notifications(t.published("alerts")))
 
@@ -530,8 +530,8 @@ query("route_notification", "SELECT alert_id, alert_type, automation_action, own
     .select("alert_id", "alert_type", "automation_action", "owner", "recipient"))
 
 query("notification_outbox", """
-    SELECT timestamp, alert_id, entity_id, alert_type, risk_level, priority, automation_action, trigger_reason, owner,
-           notification_channel, recipient,
+    SELECT message_id, event_day, timestamp, alert_id, entity_id, alert_type, risk_level, priority, automation_action,
+           trigger_reason, owner, notification_channel, recipient,
            CASE WHEN notification_channel = 'EMAIL' THEN concat('[Operations] ', risk_level, ' Alert - ', entity_id) END AS subject,
            CASE WHEN notification_channel = 'EMAIL'
                 THEN concat_ws(chr(10), 'OPERATIONS ALERT', concat('Alert ID: ', alert_id), concat('Alert Type: ', alert_type),
@@ -544,8 +544,9 @@ query("notification_outbox", """
                     concat('*Delay Probability:* ', pct), concat('*Automated Action:* ', automation_action),
                     concat('*Trigger Reason:* ', trigger_reason), concat('*Owner:* ', owner), '*Status:* OPEN',
                     '*Generated:* 2024-02-01T06:00:00+00:00') END AS message
-    FROM (SELECT *, printf('%.1f%%', coalesce(model_probability, 0e0) * 100e0) AS pct FROM routed),
-         (VALUES ('EMAIL'), ('SLACK')) AS c(notification_channel)""")(lambda t: t.outbox().drop("message_id"))
+    FROM (SELECT *, printf('%.1f%%', coalesce(model_probability, 0e0) * 100e0) AS pct FROM sent)""")(lambda t: t.outbox())
+query("message_ids", "SELECT count(*) AS messages, count(*) AS ids FROM sent")(
+    lambda t: t.published("outbox").agg(F.count(F.lit(1)).alias("messages"), F.count_distinct("message_id").alias("ids")))
 
 query("notification_audit", "SELECT * FROM audit")(lambda t: t.audit())
 query("delivery_counts", """
@@ -555,12 +556,11 @@ query("delivery_counts", """
     lambda t: notifications.delivery_counts(t.published("audit")))
 
 query("acknowledge", """
-    WITH newest AS (SELECT alert_id, trigger_reason, notification_channel FROM audit WHERE entity_id = '1-URGENT'
-                    ORDER BY timestamp DESC, alert_id DESC, trigger_reason DESC, notification_channel DESC LIMIT 1)
-    SELECT a.* REPLACE (CASE WHEN n.alert_id IS NULL THEN a.owner ELSE 'Duty Manager' END AS owner,
-                        CASE WHEN n.alert_id IS NULL THEN a.status ELSE 'ACKNOWLEDGED' END AS status,
-                        CASE WHEN n.alert_id IS NULL THEN NULL ELSE TIMESTAMP '2024-02-01 06:00:00' END AS acknowledged_at)
-    FROM audit a LEFT JOIN newest n USING (alert_id, trigger_reason, notification_channel)""")(
+    WITH newest AS (SELECT message_id FROM audit WHERE entity_id = '1-URGENT' ORDER BY timestamp DESC, message_id DESC LIMIT 1)
+    SELECT a.* REPLACE (CASE WHEN n.message_id IS NULL THEN a.owner ELSE 'Duty Manager' END AS owner,
+                        CASE WHEN n.message_id IS NULL THEN a.status ELSE 'ACKNOWLEDGED' END AS status,
+                        CASE WHEN n.message_id IS NULL THEN NULL ELSE TIMESTAMP '2024-02-01 06:00:00' END AS acknowledged_at)
+    FROM audit a LEFT JOIN newest n USING (message_id)""")(
     lambda t: notifications.acknowledge(t.published("audit"), "1-URGENT", "Duty Manager", NOW))
 
 
@@ -604,7 +604,7 @@ query("flights_live", """
 query("alerts_view", """
     SELECT a.*, (SELECT count(*) FROM alerts WHERE risk_level = 'HIGH') AS high_count,
            (SELECT count(*) FROM alerts WHERE risk_level = 'MEDIUM') AS medium_count
-    FROM (SELECT * FROM alerts ORDER BY model_probability DESC NULLS LAST, alert_id, trigger_reason LIMIT 1000) a""")(
+    FROM (SELECT * FROM alerts ORDER BY model_probability DESC NULLS LAST, alert_id, trigger_reason, event_day LIMIT 1000) a""")(
     lambda t: views.alerts_view(t.published("alerts")))
 query("delay_risk", """SELECT * FROM actions WHERE risk_level <> 'LOW' ORDER BY delay_probability DESC, flight_id LIMIT 100""")(
     lambda t: views.delay_risk(t.published("actions")))
@@ -617,7 +617,7 @@ query("notification_summary", """
 query("notifications_view", """
     SELECT a.*, (SELECT count(*) FROM audit) AS total, (SELECT count(*) FROM audit WHERE status = 'SENT') AS sent,
            (SELECT count(*) FROM audit WHERE status = 'FAILED') AS failed, CAST(0 AS BIGINT) AS acknowledged
-    FROM (SELECT * FROM audit ORDER BY timestamp DESC, alert_id, notification_channel, trigger_reason LIMIT 1000) a""")(
+    FROM (SELECT * FROM audit ORDER BY timestamp DESC, alert_id, notification_channel, trigger_reason, message_id LIMIT 1000) a""")(
     lambda t: views.notifications_view(t.published("audit")))
 query("route_profitability_view", "SELECT * FROM profit ORDER BY estimated_profit DESC, route_id LIMIT 3")(
     lambda t: views.route_profitability_view(t.profitability(), 3))
@@ -654,7 +654,8 @@ query("high_risk_alerts", "SELECT * FROM alerts WHERE risk_level = 'HIGH'")(
     lambda t: views.alerts_of_risk(t.published("alerts"), "high"))
 query("medium_count", "SELECT count(*) AS n FROM alerts WHERE risk_level = 'MEDIUM'")(
     lambda t: views.alerts_of_risk(t.published("alerts"), "medium").agg(F.count(F.lit(1)).alias("n")))
-query("alert_queue", "SELECT * FROM alerts ORDER BY priority, model_probability DESC NULLS LAST, alert_id LIMIT 30")(
+query("alert_queue", """
+    SELECT * FROM alerts ORDER BY priority, model_probability DESC NULLS LAST, alert_id, trigger_reason, event_day LIMIT 30""")(
     lambda t: views.alert_queue(t.published("alerts")))
 query("top_routes", """
     SELECT route_id AS route, total_revenue AS revenue, estimated_operating_cost AS cost, estimated_profit AS profit

@@ -84,7 +84,7 @@ EVENT_TYPES = {
         "mutable": ["status"], "live": "fact_booking_live"},
 }
 
-NOTIFICATION_AUDIT = struct("timestamp:ts alert_id:str entity_id:str alert_type:str risk_level:str priority:int "
+NOTIFICATION_AUDIT = struct("message_id:str event_day:date timestamp:ts alert_id:str entity_id:str alert_type:str risk_level:str priority:int "
                             "automation_action:str trigger_reason:str owner:str notification_channel:str "
                             "recipient:str status:str error:str acknowledged_at:ts")
 

@@ -21,7 +21,7 @@ def test_numeric(spark, text, value):
     assert one(spark, c.numeric("s"), s=("string", text)) == value
 
 
-@pytest.mark.parametrize("text, value", [("TRUE", True), ("1", True), ("Breach", True), ("no", False), (None, False)])
+@pytest.mark.parametrize("text, value", [("TRUE", True), ("1", True), ("Breach", False), ("no", False), (None, False)])
 def test_truthy(spark, text, value):
     assert one(spark, c.truthy("s"), s=("string", text)) is value
 

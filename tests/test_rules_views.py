@@ -93,7 +93,8 @@ def test_outbox_audit_counts_and_acknowledgement(spark, alerts):
                               .withColumn("timestamp", F.expr("timestamp + interval 1 hour")))
     done = n.acknowledge(later, "f3", "Duty", NOW).filter("status = 'ACKNOWLEDGED'").collect()
     assert len(done) == 1 and done[0].owner == "Duty" and done[0].timestamp.hour == 10 and done[0].acknowledged_at is not None
-    assert n.acknowledge(later, "nobody", "Duty", NOW).filter("status = 'ACKNOWLEDGED'").count() == 0
+    with pytest.raises(LookupError):
+        n.acknowledge(later, "nobody", "Duty", NOW)
     assert tuple(v.notification_summary(audit).first()) == (4, 1, 3, 0)
 
 
@@ -147,3 +148,18 @@ def test_panels(spark):
     presence = spark.createDataFrame([("x", True), ("y", False)], "dataset string, dataset_exists boolean")
     assert {x.status for x in v.system_health(presence).collect()} == {"degraded"}
     assert v.json_records(spark.createDataFrame([(float("nan"), None)], "v double, s string")).first()[0] == '{"v":null,"s":null}'
+
+
+def test_flag_words_belong_to_their_column(spark):
+    flags = spark.createDataFrame([("a", "Breach"), ("b", "anomaly"), ("c", "high")], "id string, word string")
+    assert {x.alert_id for x in r.baggage_alerts(flags.toDF("bag_id", "sla_breach")).collect()} == {"BAG-a", "BAG-c"}
+    assert {x.alert_id for x in r.cancellation_alerts(flags.toDF("route_id", "anomaly")).collect()} == {"CANCEL-b", "CANCEL-c"}
+
+
+def test_alerts_of_one_route_get_messages_of_their_own(spark):
+    days = spark.createDataFrame([("r", date(2024, 1, d), 9.0) for d in (1, 2, 3)], "route_id string, forecast_date date, forecast double")
+    outbox = n.notification_outbox(r.unified_alerts(r.demand_alerts(days), now=NOW), NOW)
+    assert outbox.count() == 6 and outbox.select("message_id").distinct().count() == 6
+    done = n.acknowledge(n.notification_audit(outbox, outbox.select("message_id", F.lit(True).alias("delivered"),
+                                                                    F.lit(None).cast("string").alias("error"))), "r", "Duty", NOW)
+    assert done.filter("status = 'ACKNOWLEDGED'").count() == 1
