@@ -167,8 +167,9 @@ def cancellation_alerts(anomalies: DataFrame, z: float = 2) -> DataFrame:
 
 
 def unified_alerts(*alerts: DataFrame, now: datetime) -> DataFrame:
-    """All alerts in one schema, stamped with the run time."""
-    return union_all(alerts).select(F.lit(now).cast("timestamp").alias("timestamp"), *ALERT_COLUMNS,
+    """All alerts in one schema, stamped with the run time; alerts that carry no day get a null one."""
+    dated = [a if "event_day" in a.columns else a.withColumn("event_day", F.lit(None).cast("date")) for a in alerts]
+    return union_all(dated).select(F.lit(now).cast("timestamp").alias("timestamp"), *ALERT_COLUMNS,
                                     F.lit("AUTOMATION_RULE_TRIGGERED").alias("audit_event"))
 
 
