@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +62,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for workers that Spark uses again: what a task has freed goes back to the machine as the task ends."""
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+            if trim:
+                trim(0)
+
+    return task
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names that do not clash with those of ``df``."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from aeroledger.llm.common import UPPER, fresh, stored, whole_text
+from aeroledger.llm.common import UPPER, fresh, lean, stored, whole_text
 from aeroledger.llm.components import components
 from aeroledger.llm.fingerprints import Names, scramble
 
@@ -135,7 +135,7 @@ def chunk_sets(docs: DataFrame) -> DataFrame:
                                                                      (taken, pa.int32()))],
                      pa.array([prefix.tobytes()], pa.binary())], ["chunk", "docs", "n", "s1", "s2", "size", "tokens"])
 
-    return docs.select("doc", "text").mapInArrow(run, schema)
+    return docs.select("doc", "text").mapInArrow(lean(run), schema)
 
 
 def shared_tokens(chunks: DataFrame) -> DataFrame:
@@ -173,8 +173,8 @@ def shared_tokens(chunks: DataFrame) -> DataFrame:
                 out.append(own[several[at] == own].tobytes() if len(several) else b"")
             yield pa.RecordBatch.from_arrays([pa.array(names[i:i + 2000], pa.string()), pa.array(out, pa.binary())], ["chunk", "tokens"])
 
-    dealt = chunks.select("chunk", "tokens").mapInArrow(deal, "bucket int, chunk string, tokens binary")
-    return dealt.repartition("bucket").mapInArrow(meet, "chunk string, tokens binary").where(F.octet_length("tokens") > 0)
+    dealt = chunks.select("chunk", "tokens").mapInArrow(lean(deal), "bucket int, chunk string, tokens binary")
+    return dealt.repartition("bucket").mapInArrow(lean(meet), "chunk string, tokens binary").where(F.octet_length("tokens") > 0)
 
 
 def survivors(chunks: DataFrame, shared: DataFrame, least) -> DataFrame:
@@ -200,7 +200,7 @@ def survivors(chunks: DataFrame, shared: DataFrame, least) -> DataFrame:
                     ["doc", "n", "s1", "s2", "tokens"])
 
     joined = chunks.join(told, "chunk").select("docs", "n", "s1", "s2", "size", "tokens", "shared")
-    return joined.mapInArrow(run, f"doc {kind}, n int, s1 bigint, s2 bigint, tokens binary")
+    return joined.mapInArrow(lean(run), f"doc {kind}, n int, s1 bigint, s2 bigint, tokens binary")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                      pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                     ["doc", "n", "items", "keys"])
 
-    return wanted.mapInArrow(run, f"doc {kind}, n int, items binary, keys array<bigint>").dropDuplicates(["doc"])
+    return wanted.mapInArrow(lean(run), f"doc {kind}, n int, items binary, keys array<bigint>").dropDuplicates(["doc"])
 
 
 def set_chunks(sets: DataFrame) -> DataFrame:
@@ -242,7 +242,7 @@ def set_chunks(sets: DataFrame) -> DataFrame:
                      pa.array([n], pa.list_(pa.int32())), pa.array([b"".join(blobs)], pa.binary())],
                     ["chunk", "docs", "n", "s1", "s2", "size", "tokens"])
 
-    return sets.select("doc", "n", "items").mapInArrow(run, schema)
+    return sets.select("doc", "n", "items").mapInArrow(lean(run), schema)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -264,7 +264,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield some.filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "items_a", "items_b")
-    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+    return joined.mapInArrow(lean(run), f"a {kind}, b {kind}")
 
 
 def token_rows(classes: DataFrame) -> DataFrame:
@@ -279,7 +279,7 @@ def token_rows(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), batch.column(2).take(pa.array(rows)),
                                               pa.array(tokens)], ["doc", "n", "token"])
 
-    return classes.select("doc", "tokens", "n").mapInArrow(run, f"doc {kind}, n int, token bigint")
+    return classes.select("doc", "tokens", "n").mapInArrow(lean(run), f"doc {kind}, n int, token bigint")
 
 
 def sql_share(n: Column, over: int, under: int) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeroledger.llm.common import whole_text
+from aeroledger.llm.common import lean, whole_text
 
 WINDOW = 128
 WIDTHS = (2, 3, 4)
@@ -30,6 +30,7 @@ DOCS_PER_LANGUAGE = 512
 WINDOWS_PER_DOC = 6
 EPOCHS = 6
 BATCH = 64
+STEP = 64  # windows whose responses are held at once
 UNKNOWN = "und"
 
 
@@ -117,8 +118,8 @@ class Predictor:
 
     def __call__(self, windows: np.ndarray) -> np.ndarray:
         out = []
-        for i in range(0, len(windows), 512):
-            x = windows[i:i + 512]
+        for i in range(0, len(windows), STEP):
+            x = windows[i:i + STEP]
             pair = x[:, :-1].astype(np.int32) << 8 | x[:, 1:]
             hidden = []
             for w, (pairs, odd), bias in zip(WIDTHS, self.tables, self.net.biases):
@@ -162,7 +163,7 @@ def training_windows(docs: DataFrame, allowed: Column, key: str, text: str, lang
                 (pa.string(), pa.string(), pa.binary()))], ["lang", "id", "window"])
 
     # Broadcast: at most DOCS_PER_LANGUAGE ids for each language.
-    return rows.join(F.broadcast(chosen), ["id", "lang"]).select("id", "lang", "text").mapInArrow(run, "lang string, id string, window binary")
+    return rows.join(F.broadcast(chosen), ["id", "lang"]).select("id", "lang", "text").mapInArrow(lean(run), "lang string, id string, window binary")
 
 
 def learn(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> tuple[list[str], Network | None]:
@@ -205,4 +206,4 @@ def predict(docs: DataFrame, languages: list[str], net: Network | None, text: st
                  pa.array([o[1] for o in out], pa.float64())], schema.names)
 
     whole = whole_text(text)
-    return docs.select(*[F.col(f"`{c}`") for c in keep], whole.alias("text__"), whole.rlike(r"\p{L}").alias("worded__")).mapInArrow(run, schema)
+    return docs.select(*[F.col(f"`{c}`") for c in keep], whole.alias("text__"), whole.rlike(r"\p{L}").alias("worded__")).mapInArrow(lean(run), schema)

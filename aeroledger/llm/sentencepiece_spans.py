@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeroledger.llm.common import whole_text
+from aeroledger.llm.common import lean, whole_text
 
 MARK = "▁"
 MARK_BYTES = MARK.encode()
 UNKNOWN_BYTES = "�".encode()
-CHUNK_CHARACTERS = 2_000_000
+CHUNK_CHARACTERS = 500_000
 
 
 class CharacterMap:
@@ -190,7 +190,7 @@ class SpanEncoder:
         return sizes
 
 
-def chunks(texts: list[str]) -> Iterator[list[str]]:
+def chunks(texts: Iterable[str]) -> Iterator[list[str]]:
     """Runs of texts of about ``CHUNK_CHARACTERS`` together; a longer text is a run of its own."""
     run, size = [], 0
     for text in texts:
@@ -212,11 +212,11 @@ def _map(docs: DataFrame, key: str, text: str, fields: list, build) -> DataFrame
     def run(batches):
         step = build()
         for batch in batches:
-            rows = [r for some in chunks(batch.column(1).to_pylist()) for r in step(some)]
+            rows = [r for some in chunks(v.as_py() for v in batch.column(1)) for r in step(some)]
             columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(arrow)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], [batch.schema.names[0], *[f.name for f in arrow]])
 
-    return docs.select(F.col(key), whole_text(text).alias("text__")).mapInArrow(run, schema)
+    return docs.select(F.col(key), whole_text(text).alias("text__")).mapInArrow(lean(run), schema)
 
 
 def _arrow(kind: T.DataType) -> pa.DataType:
@@ -250,7 +250,7 @@ def decode(encoded: DataFrame, model_path: str, key: str = "doc_id", ids: str =
             texts = [model.decode(v) if v else "" for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], schema.names)
 
-    return encoded.select(key, ids).mapInArrow(run, schema)
+    return encoded.select(key, ids).mapInArrow(lean(run), schema)
 
 
 def encoding_digests(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
