@@ -97,6 +97,52 @@ class Tables:
         return (self.raw("events").filter(F.col("event_type") == "purchase")
                 .select(F.col("user_id").alias("booking_id"), F.col("ts").alias("booking_time")))
 
+    def baggage(self) -> DataFrame:
+        return self.raw("lineitem").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("bag_id"), (F.col("l_orderkey") * 10 + 1).alias("booking_id"),
+            F.col("l_shipdate").alias("scan_time"), F.nullif("l_returnflag", F.lit("N")).alias("airport"),
+            F.when(F.col("l_discount") >= 0.08, F.lit("DELAYED")).otherwise(F.lit("DELIVERED")).alias("status"))
+
+    def routes(self) -> DataFrame:
+        place = F.col("o_custkey") % 25
+        return self.raw("orders").groupBy(F.col("o_orderpriority").alias("route_id")).agg(
+            F.min(place).alias("origin_airport_id"), F.max(place).alias("dest_airport_id"),
+            F.count(F.lit(1)).cast("double").alias("popularity"))
+
+    def airports(self) -> DataFrame:
+        return self.raw("nation").join(self.raw("region"), F.col("r_regionkey") == F.col("n_regionkey")).select(
+            F.col("n_nationkey").alias("airport_id"), F.col("n_name").alias("city"), F.col("r_name").alias("region"),
+            ((F.col("n_nationkey") + 1) * 100).alias("capacity"))
+
+    def fleet(self) -> DataFrame:
+        return self.raw("customer").select(F.col("c_custkey").alias("aircraft_id"), F.col("c_mktsegment").alias("type"),
+                                           (F.col("c_nationkey") + 1).alias("seat_capacity"))
+
+    def entities(self) -> dict[str, DataFrame]:
+        """Every entity of the warehouse with the columns of its table; line items repeat keys, the least row of a key counts."""
+        def least(rows: DataFrame, key: str) -> DataFrame:
+            own = F.min(F.struct(*[c for c in rows.columns if c != key]))
+            return rows.groupBy(key).agg(own.alias("_row")).select(key, "_row.*")
+
+        date = F.to_date("o_orderdate")
+        return {
+            "airports": self.airports(), "aircraft": self.fleet(), "routes": self.routes(),
+            "customers": self.raw("customer").select(
+                F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("tier"),
+                F.col("c_nationkey").alias("home_region")),
+            "dim_date": self.raw("orders").select(date.alias("date")).distinct().select(
+                day_of("date").alias("date_id"), "date", F.year("date").alias("year"), F.month("date").alias("month"),
+                F.day("date").alias("day"), F.date_format("date", "EEEE").alias("day_of_week"),
+                (F.weekday("date") >= 5).alias("is_weekend")),
+            "flights": self.order_flights().withColumn("actual_departure", F.lit(None).cast("timestamp")),
+            "cancellations": self.cancellations(), "bookings": least(self.bookings(), "booking_id"),
+            "baggage": least(self.baggage(), "bag_id"),
+            "support_tickets": self.tickets(),
+            "fares": self.raw("part").select(
+                F.col("p_brand").alias("route_id"), F.col("p_partkey").alias("cabin"), F.lit(NOW).cast("timestamp").alias("timestamp"),
+                F.col("p_retailprice").alias("price")),
+        }
+
     # Raw bookings with natural defects: repeated and missing keys, missing status, negative fares.
     def raw_bookings(self) -> DataFrame:
         key = F.when(F.col("value") >= 2, F.col("user_id") * 1000 + F.floor("value"))

@@ -117,6 +117,30 @@ query("complaint_rate", f"""
 query("staging_flights", """SELECT flight_id, route_id, aircraft_id, scheduled_date_id, scheduled_departure, status,
     delay_minutes FROM flights_ord""")(lambda t: marts.staging("stg_flights", t.order_flights()))
 
+# The other views: their table and SQL.
+STAGED = {
+    "stg_bookings": (Tables.bookings, """
+        SELECT l_orderkey * 10 + l_linenumber AS booking_id, l_suppkey AS customer_id, l_orderkey AS flight_id,
+               l_extendedprice AS fare, l_shipdate AS booking_time,
+               CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE 'CONFIRMED' END AS status FROM lineitem"""),
+    "stg_baggage": (Tables.baggage, """
+        SELECT l_orderkey * 10 + l_linenumber AS bag_id, l_orderkey * 10 + 1 AS booking_id, l_shipdate AS scan_time,
+               nullif(l_returnflag, 'N') AS airport,
+               CASE WHEN l_discount >= 0.08 THEN 'DELAYED' ELSE 'DELIVERED' END AS status FROM lineitem"""),
+    "stg_cancellations": (Tables.cancellations, "SELECT flight_id, cancelled_at, reason_code FROM cancels"),
+    "stg_support_tickets": (Tables.tickets, """
+        SELECT event_id AS ticket_id, user_id AS booking_id, event_type AS issue_type, ts AS created_at FROM events"""),
+    "stg_routes": (Tables.routes, """
+        SELECT o_orderpriority AS route_id, min(o_custkey % 25) AS origin_airport_id, max(o_custkey % 25) AS dest_airport_id,
+               CAST(count(*) AS DOUBLE) AS popularity FROM orders GROUP BY 1"""),
+    "stg_airports": (Tables.airports, """
+        SELECT n_nationkey AS airport_id, n_name AS city, r_name AS region, (n_nationkey + 1) * 100 AS capacity
+        FROM nation JOIN region ON r_regionkey = n_regionkey"""),
+    "stg_aircraft": (Tables.fleet, "SELECT c_custkey AS aircraft_id, c_mktsegment AS type, c_nationkey + 1 AS seat_capacity FROM customer"),
+}
+for _name, (_table, _sql) in STAGED.items():
+    query(_name.replace("stg_", "staging_"), _sql)(lambda t, n=_name, f=_table: marts.staging(n, f(t)))
+
 
 # --- validation and quality ---------------------------------------------------------------------
 
@@ -261,6 +285,15 @@ query("load_freshness", """
     FROM (SELECT date_diff('hour', max(o_orderdate), TIMESTAMP '2001-08-02 10:30:00') AS h FROM orders)""")(
     lambda t: quality.load_freshness(t.warehouse()["fact_flight"], F.lit(CLOCK).cast("timestamp")))
 
+# The whole gate: the suite and the freshness check.
+query("dq_gate_fresh", "SELECT count(*) FILTER (WHERE violations <= 0) AS passed, count(*) AS total FROM ("
+      + " UNION ALL ".join(f"SELECT {q} AS violations" for _, _, q in SUITE_SQL)
+      + """ UNION ALL SELECT CASE WHEN date_diff('hour', max(o_orderdate), TIMESTAMP '2001-08-02 10:30:00') < 24
+            THEN 0 ELSE 1 END FROM orders)""")(
+    lambda t: (lambda house: quality.dq_gate(quality.dq_suite(house).select("check_name", "status").unionByName(
+        quality.load_freshness(house["fact_flight"], F.lit(CLOCK).cast("timestamp")).select("check_name", "status")))
+        .select("passed", "total"))(t.warehouse()))
+
 query("test_not_null", "SELECT * FROM raw_bookings WHERE status IS NULL")(
     lambda t: quality.null_violations(t.raw_bookings(), "status"))
 query("test_unique", """SELECT booking_id, count(*) AS n FROM raw_bookings WHERE booking_id IS NOT NULL
@@ -294,6 +327,39 @@ query("model_tests", """
     lambda t: quality.model_tests({"stg_flights": t.warehouse()["fact_flight"], "stg_bookings": t.warehouse()["fact_booking"]}))
 
 
+# All models: marts and rotation by the SQL of their own queries.
+MODEL_QUERIES = {"mart_load_factor": "load_factor", "mart_delay_minutes": "delay_minutes", "mart_cancellation_rate": "cancellation_rate",
+                 "mart_baggage_sla": "baggage_sla_daily", "mart_route_revenue": "route_revenue",
+                 "mart_revenue_per_flight": "revenue_per_flight", "mart_customer_complaint_rate": "complaint_rate",
+                 "stg_rotation_delay": "rotation_delay", "mart_rotation_delay": "mart_rotation_delay",
+                 **{n: n.replace("stg_", "staging_") for n in ("stg_flights", *STAGED)}}
+
+
+def _model_tests_sql() -> str:
+    found = []
+    for model, tests in quality.MODEL_TESTS.items():
+        rows = f"({QUERIES[MODEL_QUERIES[model]].sql})"
+        checks = {f"not_null_{model}_{c}": f"count(*) FROM {rows} WHERE {c} IS NULL" for c in tests.get("not_null", [])}
+        checks |= {f"unique_{model}_{c}": f"count(*) FROM (SELECT {c} FROM {rows} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+                   for c in tests.get("unique", [])}
+        checks |= {f"accepted_values_{model}_{c}": f"count(DISTINCT {c}) FROM {rows} WHERE {c} NOT IN {tuple(values)}"
+                   for c, values in tests.get("accepted", {}).items()}
+        checks |= {f"relationships_{model}_{c}": f"""count(DISTINCT {c}) FROM {rows} WHERE {c} NOT IN (
+                       SELECT {key} FROM ({QUERIES[MODEL_QUERIES[other]].sql}) WHERE {key} IS NOT NULL)"""
+                   for c, other, key in tests.get("relations", [])}
+        found += [f"SELECT '{n}' AS check_name, '{model}' AS table_name, (SELECT {q}) AS violations" for n, q in checks.items()]
+    return ("SELECT *, CAST(0 AS BIGINT) AS threshold, CASE WHEN violations = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM ("
+            + " UNION ALL ".join(found) + ")")
+
+
+@query("model_tests_all")
+def _(t: Tables) -> DataFrame:
+    return quality.model_tests({model: QUERIES[name].build(t) for model, name in MODEL_QUERIES.items()})
+
+
+QUERIES["model_tests_all"] = Query(QUERIES["model_tests_all"].build, _model_tests_sql())
+
+
 def _loose(t: Tables) -> DataFrame:
     return t.raw("lineitem").select("l_returnflag", F.nullif("l_discount", F.lit(0.0)).alias("discount"), "l_tax")
 
@@ -314,6 +380,23 @@ query("dataset_quality", f"""
     UNION ALL SELECT 'audit', false, 0, NULL, NULL, 'MISSING'""")(
     lambda t: quality.dataset_quality(t.spark, {"lineitem": _loose(t), "orders": t.raw("orders"), "audit": None}))
 
+LINEITEM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+NULLS = " + ".join(f"({c} IS NULL)::BIGINT" for c in LINEITEM)
+
+query("profile_all_columns", f"""
+    SELECT 'lineitem' AS dataset, {big('sum(n)')} AS rows, CAST({len(LINEITEM)} AS BIGINT) AS columns,
+           {big('coalesce(sum(n) FILTER (WHERE nulls > 0), 0)')} AS null_rows, {big('sum(n - 1)')} AS duplicate_rows
+    FROM (SELECT *, {NULLS} AS nulls, count(*) AS n FROM lineitem GROUP BY ALL)""")(
+    lambda t: quality.profile(t.raw("lineitem"), "lineitem"))
+
+query("dataset_quality_all_columns", f"""
+    SELECT 'lineitem' AS dataset, true AS dataset_exists, {big('sum(n)')} AS rows, {big('sum(n * nulls)')} AS null_values,
+           {big('sum(n - 1)')} AS duplicate_rows, CASE WHEN sum(n - 1) > 0 THEN 'CHECK' ELSE 'PASS' END AS status
+    FROM (SELECT *, {NULLS} AS nulls, count(*) AS n FROM lineitem GROUP BY ALL)
+    UNION ALL SELECT 'orders', true, count(*), 0, 0, 'PASS' FROM orders
+    UNION ALL SELECT 'audit', false, 0, NULL, NULL, 'MISSING'""")(
+    lambda t: quality.dataset_quality(t.spark, {"lineitem": t.raw("lineitem"), "orders": t.raw("orders"), "audit": None}))
+
 query("row_counts", "SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem "
       "UNION ALL SELECT 'customer', count(*) FROM customer")(
     lambda t: sources.row_counts({n: t.raw(n) for n in ("orders", "lineitem", "customer")}))
@@ -334,6 +417,11 @@ query("passenger_experience", """
     SELECT event_id AS ticket_id, user_id AS booking_id, event_type AS issue_type, ts AS created_at,
            CAST(ts AS DATE) AS ticket_date FROM events""")(
     lambda t: analytics.passenger_experience(t.tickets(), t.event_bookings()))
+query("passenger_bookings", """
+    SELECT event_id AS ticket_id, user_id AS booking_id, event_type AS issue_type, ts AS created_at, CAST(ts AS DATE) AS ticket_date,
+           booking_time FROM events LEFT JOIN (SELECT user_id, min(ts) AS booking_time FROM events WHERE event_type = 'purchase'
+           GROUP BY 1) USING (user_id)""")(
+    lambda t: analytics.passenger_experience(t.tickets(), t.event_bookings(), ["booking_time"]))
 query("issue_summary", "SELECT * FROM issues")(lambda t: analytics.issue_summary(t.tickets()))
 query("route_demand_daily", "SELECT * FROM demand")(lambda t: t.demand())
 query("cancellation_anomalies", "SELECT * FROM anomalies")(lambda t: t.anomalies())
@@ -434,6 +522,22 @@ def _(t: Tables) -> DataFrame:
     return snapshots.read_current(t.spark, f"{root}/dim_customer").select("customer_id", "name", "tier", "home_region")
 
 
+@query("warehouse_load_all", """
+    SELECT 'dim_airport' AS table_name, count(*) AS n_rows FROM nation UNION ALL SELECT 'dim_aircraft', count(*) FROM customer
+    UNION ALL SELECT 'dim_customer', count(*) FROM customer UNION ALL SELECT 'dim_date', count(DISTINCT o_orderdate) FROM orders
+    UNION ALL SELECT 'dim_route', count(DISTINCT o_orderpriority) FROM orders UNION ALL SELECT 'fact_flight', count(*) FROM orders
+    UNION ALL SELECT 'fact_cancellation', count(*) FROM cancels UNION ALL SELECT 'fact_booking', count(DISTINCT l_orderkey * 10 + l_linenumber) FROM lineitem
+    UNION ALL SELECT 'fact_baggage', count(DISTINCT l_orderkey * 10 + l_linenumber) FROM lineitem UNION ALL SELECT 'fact_support_ticket', count(*) FROM events
+    UNION ALL SELECT 'fact_fare_snapshot', count(*) FROM part""")
+def _(t: Tables) -> DataFrame:
+    """All tables of the warehouse, loaded and then loaded again, which must change nothing."""
+    root = scratch_path(t.spark, "warehouse")
+    for run in ("first", "second"):
+        warehouse.load_warehouse(t.spark, root, {
+            entity: quality.add_audit_columns(rows, f"{entity}.csv", run, NOW) for entity, rows in t.entities().items()}, run)
+    return sources.row_counts(warehouse.warehouse_tables(t.spark, root))
+
+
 # --- models -------------------------------------------------------------------------------------
 
 query("delay_features", "SELECT * FROM features")(lambda t: t.features())
@@ -454,13 +558,10 @@ query("stratified_split", f"""
                .groupBy("future_delay").agg(F.count(F.lit(1)).alias("size"), F.sum("part").cast("long").alias("train_rows")))(
         ml.stratified_split(t.features().select("flight_id", "future_delay"))))
 
-TREES = 10
-
-
 def _delay_scored(t: Tables) -> tuple[DataFrame, DataFrame, object]:
     rows = t.published("features")
     train, test = ml.stratified_split(rows)
-    model = ml.train_delay_model(train, trees=TREES, depth=5)
+    model = ml.train_delay_model(train)
     return rows, test, model
 
 
@@ -482,10 +583,10 @@ def _(t: Tables) -> DataFrame:
     return ml.feature_importance(t.spark, _delay_scored(t)[2])
 
 
-query("demand_forecast")(lambda t: ml.demand_forecast(t.published("demand"), trees=TREES, depth=5)[0])
-query("forecast_metrics")(lambda t: ml.demand_forecast(t.published("demand"), trees=TREES, depth=5)[1])
+query("demand_forecast")(lambda t: ml.demand_forecast(t.published("demand"))[0])
+query("forecast_metrics")(lambda t: ml.demand_forecast(t.published("demand"))[1])
 query("analytics_metrics")(lambda t: analytics.analytics_metrics(
-    t.spark, ml.demand_forecast(t.published("demand"), trees=TREES, depth=5)[1],
+    t.spark, ml.demand_forecast(t.published("demand"))[1],
     {"sla_minutes": 45, "anomaly_z": 2, "severe_z": 3, "healthy_margin_pct": 20}))
 
 

@@ -63,3 +63,19 @@ def test_plans_stay_in_the_engine(spark, name):
 def test_scans_read_only_what_they_need(spark):
     plan = QUERIES["route_revenue"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "l_comment" not in plan and "l_tax" not in plan.split("ReadSchema", 1)[1]
+
+
+def test_registered_jobs_are_whole(spark):
+    from aeroledger.plans import registry
+    from aeroledger.plans.bindings import Tables
+
+    t = Tables(spark, FOLDER)
+    forest = registry._delay_scored(t)[2].stages[-1]
+    assert forest.getNumTrees == 300 and forest.getOrDefault("maxDepth") == 10
+    assert QUERIES["model_tests_all"](spark, FOLDER).select("table_name").distinct().count() == 17
+    assert QUERIES["warehouse_load_all"](spark, FOLDER).where("n_rows > 0").count() == 11
+    assert QUERIES["dq_gate_fresh"](spark, FOLDER).first().total == 14
+    assert QUERIES["profile_all_columns"](spark, FOLDER).first().columns == len(t.raw("lineitem").columns)
+    assert sum(name.startswith("staging_") for name in QUERIES) >= 8
+    plan = QUERIES["passenger_bookings"](spark, FOLDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join LeftOuter" in plan
