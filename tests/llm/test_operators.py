@@ -163,3 +163,7 @@ def test_lines_of_many_sites_go(spark):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
     got = {r.doc_id: (r.n_lines, r.n_removed, r.kept) for r in line_dedup.without_shared_lines(docs, sites=5).collect()}
     assert got[0] == (3, 1, "own 0\nof four") and got[4] == (2, 1, "\nlast") and got[5] == got[6] == (0, 0, "")
+
+
+def test_language_model_has_all_leaves():
+    assert lm_score.LEAVES == 1024 and lm_score.FREQUENT == 512
