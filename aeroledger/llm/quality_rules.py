@@ -1,13 +1,18 @@
 """Quality rules whose cutoffs carry a proven limit on false rejections.
 
-A rule rejects a document when one of its measures exceeds a cutoff.  Labelled documents of good quality serve as holdout:
-for a rule, a stratum and a cutoff, ``k`` of ``n`` good ones are rejected, and the cutoff is certified when the exact
-binomial probability of at most ``k`` rejections at rate ``alpha / rules`` is no more than ``delta / (rules * strata)``.
-Cutoffs are tried from the most lenient down and the first that fails ends the sequence (fixed-sequence testing), so only
-rules and strata need the Bonferroni correction.  With probability ``1 - delta`` no stratum then loses more than the
-share ``alpha`` of its good documents to all rules together.  Among certified cutoffs the one is taken that rejects most
-documents labelled bad, each rejected good one counting ``GOOD_WEIGHS`` times as much; ties go to the most lenient.  A
-stratum with too few labels gets no cutoff and loses nothing but what fails the base rules.
+A rule rejects a document when one of its measures exceeds a cutoff.  Labelled documents of good quality that pass the base
+rules serve as holdout: for a rule, a stratum and a cutoff, ``k`` of ``n`` good ones are rejected, and the cutoff is certified
+when the exact binomial probability of at most ``k`` rejections at the rate ``alpha`` times the rule's share is no more than
+``delta`` times that share, over the number of strata.  ``SHARES`` states the shares beforehand; they add up to one.  Cutoffs
+are tried from the most lenient down and the first that fails ends the sequence (fixed-sequence testing), so only rules and
+strata need the Bonferroni correction.  Among certified cutoffs the one is taken that rejects most documents labelled bad,
+each rejected good one counting ``GOOD_WEIGHS`` times as much; ties go to the most lenient.
+
+All strata together form one more, pooled stratum.  Where a stratum has too few good labels to certify a rule even without a
+false rejection, or no labels, the pooled cutoff of that rule holds; labels of enough size that certify nothing leave the rule
+off.  With probability ``1 - delta`` no stratum with cutoffs of its own, and not the corpus as a whole under the pooled ones,
+loses more than the share ``alpha`` of its good documents that pass the base rules to all rules together.  What a small
+stratum loses by itself under a pooled cutoff is not bounded.
 
 All steps are DataFrame functions.  Null counts as an empty text (it fails the base rules); a null stratum is a stratum;
 labels without a document, of other values or null are ignored; a label given twice counts twice.
@@ -23,6 +28,8 @@ from aeroledger.llm.common import SPACES, stored, whole_text, words_of
 
 ALPHA, DELTA = 0.03, 0.05
 GOOD_WEIGHS = 10
+# Each rule's share of alpha and delta; chosen beforehand, like the cutoffs.
+SHARES = {"symbols": 0.5, "repeats": 0.2, "lines": 0.1, "marks": 0.1, "capitals": 0.05, "length": 0.05}
 SYMBOLS = "#*$%&|<>"
 # Measures and their cutoffs, the most lenient first; chosen beforehand, not from data.
 CUTOFFS = {
@@ -119,11 +126,18 @@ def binomial_tail(k: Column, n: Column, rate: Column) -> Column:
     return F.when(k < n * rate, F.least(total, F.lit(1.0))).otherwise(F.lit(1.0))
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
 def certified_cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id", alpha: float = ALPHA,
                       delta: float = DELTA, cutoffs: dict[str, list[float]] | None = None) -> DataFrame:
-    """The chosen cutoffs: stratum, rule, cutoff, n_good, k_good, k_bad, p_value."""
+    """The cutoffs that hold: pooled, stratum, rule, cutoff (null: certified none), n_good, k_good, k_bad, p_value.
+
+    Strata without enough good labels for a rule have no row for it.
+    """
     cutoffs = cutoffs or CUTOFFS
-    labelled = measured.join(labels.where("quality IN (0, 1)").select(key, "quality"), key)
+    labelled = measured.where(~base_failed()).join(labels.where("quality IN (0, 1)").select(key, "quality"), key)
     values = scores(measured)
 
     def passed(value: Column, tries: list[float]) -> Column:
@@ -131,42 +145,54 @@ def certified_cutoffs(measured: DataFrame, labels: DataFrame, key: str = "doc_id
 
     steps = F.explode(F.array(*[F.struct(F.lit(rule).alias("rule"), passed(values[rule], tries).alias("passed"))
                                 for rule, tries in cutoffs.items()]))
+    group = ("pooled", "stratum", "rule")
     # passed: how many of the cutoffs, a prefix of the sequence, let the document through
     counted = (labelled.select("stratum", "quality", steps.alias("s")).groupBy("stratum", F.col("s.rule").alias("rule"),
                                                                               F.col("s.passed").alias("passed"))
                .agg(F.count_if(F.col("quality") == 1).alias("good"), F.count_if(F.col("quality") == 0).alias("bad")))
-    tries = counted.groupBy("stratum", "rule").agg(
+    both = F.explode(F.array(F.struct(F.lit(False).alias("pooled"), F.col("stratum")),
+                             F.struct(F.lit(True).alias("pooled"), F.lit(None).cast("string").alias("stratum"))))
+    counted = counted.select(both.alias("of"), "rule", "passed", "good", "bad").select("of.*", "rule", "passed", "good", "bad")
+    tries = counted.groupBy(*group).agg(
         F.sum("good").alias("n_good"), F.collect_list(F.struct("passed", "good", "bad")).alias("by"))
     table = F.create_map(*[x for rule, c in cutoffs.items() for x in (F.lit(rule), F.array(*map(F.lit, c)))])
-    ranked = tries.select("stratum", "rule", "n_good", "by", F.posexplode(table[F.col("rule")]).alias("place", "cutoff"))
+    shares = F.create_map(*[x for rule in cutoffs for x in (F.lit(rule), F.lit(SHARES[rule]))])
+    ranked = tries.select(*group, "n_good", "by", shares[F.col("rule")].alias("share"),
+                          F.posexplode(table[F.col("rule")]).alias("place", "cutoff"))
 
     def rejected(which: str) -> Column:
         return F.aggregate(F.filter("by", lambda x: x["passed"] <= F.col("place")), F.lit(0).cast("long"),
                            lambda total, x: total + x[which])
 
-    strata = F.dense_rank().over(W.orderBy("stratum"))
+    strata = F.dense_rank().over(W.orderBy("pooled", "stratum"))
     n_strata = F.max("s").over(W.partitionBy())
+    rate, bound = alpha * F.col("share"), delta * F.col("share") / F.col("n_strata")
     tested = (ranked.withColumn("k_good", rejected("good")).withColumn("k_bad", rejected("bad"))
               .withColumn("s", strata).withColumn("n_strata", n_strata)
-              .withColumn("p_value", binomial_tail(F.col("k_good"), F.col("n_good"), F.lit(alpha / len(cutoffs)))))
-    certain = F.col("p_value") <= delta / (len(cutoffs) * F.col("n_strata"))
-    unbroken = F.min(certain.cast("int")).over(W.partitionBy("stratum", "rule").orderBy("place")) == 1
+              .withColumn("p_value", binomial_tail(F.col("k_good"), F.col("n_good"), rate)))
+    certain = F.col("p_value") <= bound
+    unbroken = F.min(certain.cast("int")).over(W.partitionBy(*group).orderBy("place")) == 1
     gain = F.col("k_bad") - GOOD_WEIGHS * F.col("k_good")
-    best = F.row_number().over(W.partitionBy("stratum", "rule").orderBy(gain.desc(), "place"))
-    return (tested.withColumn("unbroken", unbroken).where("unbroken").withColumn("best", best).where("best = 1")
-            .select("stratum", "rule", "cutoff", "n_good", "k_good", "k_bad", "p_value"))
+    best = F.row_number().over(W.partitionBy(*group).orderBy(F.desc("unbroken"), gain.desc(), "place"))
+    reached = F.col("n_good") * F.log1p(-rate) <= F.log(bound)
+    return (tested.withColumn("unbroken", unbroken).withColumn("best", best).where("best = 1").where(reached | F.col("pooled"))
+            .select(*group, F.when(F.col("unbroken"), F.col("cutoff")).alias("cutoff"), "n_good", "k_good", "k_bad", "p_value"))
 
 
 def judge(measured: DataFrame, chosen: DataFrame, key: str = "doc_id") -> DataFrame:
     """Each document's counts with base_failed, failed_rules and kept."""
-    base = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    limits = chosen.groupBy(F.col("stratum").alias("of")).agg(
-        F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("limits"))
-    joined = measured.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left")
-    failed = F.filter(F.array(*[F.when(v > F.col("limits")[rule], F.lit(rule)) for rule, v in scores(measured).items()]),
+    entries = F.map_from_entries(F.collect_list(F.struct("rule", "cutoff")))
+    limits = chosen.where("NOT pooled").groupBy(F.col("stratum").alias("of")).agg(entries.alias("limits"))
+    shared = chosen.where("pooled").agg(entries).scalar()
+    joined = measured.join(limits, F.col("stratum").eqNullSafe(F.col("of")), "left").withColumn("shared", shared)
+
+    def limit(rule: str) -> Column:
+        return F.when(F.map_contains_key("limits", F.lit(rule)), F.col("limits")[rule]).otherwise(F.col("shared")[rule])
+
+    failed = F.filter(F.array(*[F.when(v > limit(rule), F.lit(rule)) for rule, v in scores(measured).items()]),
                       lambda x: x.isNotNull())
-    return joined.withColumn("base_failed", base).withColumn("failed_rules", failed).withColumn(
-        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("of", "limits")
+    return joined.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed).withColumn(
+        "kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("of", "limits", "shared")
 
 
 def quality_verdicts(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", stratum: str = "lang",

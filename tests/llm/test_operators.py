@@ -165,5 +165,23 @@ def test_lines_of_many_sites_go(spark):
     assert got[0] == (3, 1, "own 0\nof four") and got[4] == (2, 1, "\nlast") and got[5] == got[6] == (0, 0, "")
 
 
+def test_quality_cutoffs_reach_small_strata(spark):
+    rows_, labels = [], []
+    for lang, n in (("en", 900), ("de", 60), (None, 1)):
+        for i in range(n):
+            bad = i % 6 == 5 or lang is None
+            rows_.append((len(rows_), (prose(len(rows_), 60) + (" ####" * 40 if bad else "")).replace("####", f"#{i}###" * 3), lang))
+            if lang:
+                labels.append((rows_[-1][0], 0 if bad else 1))
+    for i in range(300):  # good by label, but the base rules drop them: they say nothing about the cutoffs
+        rows_.append((len(rows_), "#### " * 20, "en"))
+        labels.append((rows_[-1][0], 1))
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string, lang string").repartition(3)
+    verdicts = quality_rules.quality_verdicts(docs, spark.createDataFrame(labels, "doc_id bigint, quality int"))
+    got = {r.doc_id: r for r in verdicts.where("NOT base_failed").collect()}
+    quality = dict(labels)
+    assert len(got) == 961 and all(got[i].kept == (quality.get(i) == 1) for i in got)
+
+
 def test_language_model_has_all_leaves():
     assert lm_score.LEAVES == 1024 and lm_score.FREQUENT == 512
