@@ -212,9 +212,14 @@ def forecast_metrics(scored: DataFrame, train: DataFrame) -> DataFrame:
 
 def demand_forecast(demand: DataFrame, horizon: int = 7, trees: int = 200, depth: int = 8,
                     seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """(forecast, per-route metrics) from daily route demand."""
+    """(forecast, per-route metrics) from daily route demand; both empty when no route has enough history."""
     rows = with_route_level(forecast_features(demand))
     train, test = rows.filter("is_train"), rows.filter("NOT is_train")
+    if train.isEmpty():
+        spark = demand.sparkSession
+        route = demand.schema["route_id"].dataType.simpleString()
+        return (spark.createDataFrame([], f"route_id {route}, forecast_date date, predicted_bookings double, model string"),
+                spark.createDataFrame([], f"route_id {route}, mae double, rmse double, mape_pct double, test_rows long, train_rows long"))
     model = train_demand_model(train, trees, depth, seed)
     return (recursive_forecast(model, route_states(rows), horizon),
             forecast_metrics(model.transform(test), train))

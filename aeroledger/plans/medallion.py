@@ -14,9 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.operators import analytics, marts, ml, quality, rotation, rules, warehouse
-from aeroledger.schemas import ROTATION
+from aeroledger.schemas import BRONZE, ROTATION
 from aeroledger.sources import sinks, tables
 
+# What a batch must leave behind, and the limits its metrics file states.
+OUTPUTS = ("mart_load_factor", "mart_delay_minutes", "mart_cancellation_rate", "mart_baggage_sla", "mart_route_revenue",
+           "mart_revenue_per_flight", "mart_customer_complaint_rate", "mart_rotation_delay_propagation", "mart_rotation_delay",
+           "route_profitability", "baggage_sla", "passenger_experience", "passenger_issue_summary", "route_demand_daily",
+           "cancellation_anomalies", "delay_features", "delay_model", "delay_model_report", "delay_predictions", "demand_forecast",
+           "demand_forecast_metrics", "analytics_metrics", "delay_actions", "alerts")
+THRESHOLDS = {"sla_minutes": 45, "anomaly_z": 2, "severe_z": 3, "healthy_margin_pct": 20}
 AUDIT_SCHEMA = "run_id string, stage string, status string, started_at timestamp, ended_at timestamp, error string"
 
 
@@ -139,6 +146,21 @@ def score_flights(rotation_table: DataFrame, out: str, trees: int = 300, depth:
     return tables.read_table(spark, f"{out}/delay_predictions")
 
 
+def forecast_demand(spark: SparkSession, out: str, trees: int = 200, depth: int = 8) -> DataFrame:
+    """Write the demand forecast, its metrics and the metrics file of all analyses; returns the forecast."""
+    forecast, metrics = ml.demand_forecast(tables.read_table(spark, f"{out}/route_demand_daily"), trees=trees, depth=depth)
+    sinks.write_table(forecast, f"{out}/demand_forecast")
+    sinks.write_table(metrics, f"{out}/demand_forecast_metrics")
+    sinks.write_json(analytics.analytics_metrics(spark, tables.read_table(spark, f"{out}/demand_forecast_metrics"), THRESHOLDS),
+                     f"{out}/analytics_metrics")
+    return tables.read_table(spark, f"{out}/demand_forecast")
+
+
+def validate_outputs(spark: SparkSession, out: str) -> None:
+    """Fail when an output of the batch is missing."""
+    tables.require_datasets(spark, {name: f"{out}/{name}" for name in OUTPUTS})
+
+
 def raise_alerts(spark: SparkSession, predictions: DataFrame, out: str, now: datetime,
                  forecast: DataFrame | None = None) -> DataFrame:
     """Write actions and the unified alert table from the outputs at hand."""
@@ -174,8 +196,12 @@ def run_stages(spark: SparkSession, stages: dict[str, Callable[[], object]], aud
     return run_id
 
 
-def run_batch(spark: SparkSession, bronze: str, root: str, now: datetime | None = None, trees: int = 300) -> str:
-    """The whole batch: raw files, warehouse, checks, marts, rotation, analytics, model, alerts."""
+def run_batch(spark: SparkSession, bronze: str, root: str, now: datetime | None = None, trees: int = 300,
+              demand_trees: int = 200) -> str:
+    """The whole batch: raw files, warehouse, checks, marts, rotation, analytics, models with the metrics file, alerts.
+
+    The last stage also fails when an output is missing.
+    """
     now = now or datetime.now(timezone.utc)
     run_id = uuid.uuid4().hex[:8]
     silver, house, out = f"{root}/silver", f"{root}/warehouse", f"{root}/outputs"
@@ -184,14 +210,21 @@ def run_batch(spark: SparkSession, bronze: str, root: str, now: datetime | None
     def current() -> dict[str, DataFrame]:
         return warehouse.warehouse_tables(spark, house)
 
+    def models() -> None:
+        state.update(scored=score_flights(state["rotation"], out, trees), forecast=forecast_demand(spark, out, demand_trees))
+
+    def alerts() -> None:
+        raise_alerts(spark, state["scored"], out, now, state["forecast"])
+        validate_outputs(spark, out)
+
     return run_stages(spark, {
-        "source_check": lambda: tables.require_datasets(spark, {e: f"{bronze}/{e}.csv" for e in ("flights", "bookings")}),
+        "source_check": lambda: tables.require_datasets(spark, {e: f"{bronze}/{e}.csv" for e in BRONZE}),
         "silver": lambda: state.update(silver=ingest(spark, bronze, silver, run_id, now)),
         "warehouse": lambda: warehouse.load_warehouse(spark, house, state["silver"], run_id),
         "quality": lambda: check_warehouse(spark, house, run_id, now),
         "marts": lambda: build_marts(current(), out),
         "rotation": lambda: state.update(rotation=build_rotation(spark, current()["fact_flight"], out)),
         "analytics": lambda: build_analytics(spark, current(), out),
-        "model": lambda: state.update(scored=score_flights(state["rotation"], out, trees)),
-        "alerts": lambda: raise_alerts(spark, state["scored"], out, now),
+        "model": models,
+        "alerts": alerts,
     }, f"{root}/run_audit", run_id)

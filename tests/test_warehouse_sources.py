@@ -193,3 +193,26 @@ def test_stages_stop_at_the_first_failure(spark, tmp_path):
         medallion.run_stages(spark, {"a": lambda: done.append(1), "b": fail, "c": lambda: done.append(2)}, f"{tmp_path}/audit", "r")
     got = {r.stage: (r.status, r.error) for r in tables.read_table(spark, f"{tmp_path}/audit").collect()}
     assert done == [1] and got == {"a": ("SUCCESS", None), "b": ("FAILED", "no input")}
+
+
+def test_batch_forecasts_demand(spark, tmp_path):
+    raw = tmp_path / "bronze"
+    raw.mkdir()
+    bronze(raw)
+    with open(raw / "flights.csv", "a", newline="") as f:
+        csv.writer(f).writerows((f"x{i}", "r1", "a1", f"2024-{2 + i // 28:02d}-{1 + i % 28:02d} 01:00:00", "", "COMPLETED", 0.0)
+                                for i in range(50))
+    with open(raw / "bookings.csv", "a", newline="") as f:
+        csv.writer(f).writerows((f"y{i}-{k}", "c1", f"x{i}", 10.0, "2024-01-01 01:00:00", "CONFIRMED")
+                                for i in range(50) for k in range(1 + i % 7))
+    root = str(tmp_path / "run")
+    medallion.run_batch(spark, str(raw), root, now=NOW, trees=3, demand_trees=3)
+    out = f"{root}/outputs"
+    assert tables.read_table(spark, f"{out}/demand_forecast").count() == 7
+    assert tables.read_table(spark, f"{out}/alerts").filter("alert_type = 'DEMAND_SURGE'").count() > 0
+    assert spark.read.json(f"{out}/analytics_metrics").filter("route_id = 'r1'").count() == 1
+    medallion.validate_outputs(spark, out)
+    with pytest.raises(Exception, match="demand_forecast"):
+        medallion.validate_outputs(spark, f"{root}/silver")
+    with pytest.raises(Exception, match="fares"):
+        medallion.run_batch(spark, str(tmp_path / "none"), f"{root}2", now=NOW)
