@@ -1,10 +1,13 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree of elements.  Elements that are never part of an article (menus, footers, forms, adverts and the
-like, told by tag, role or the words of class and id) are cut out.  Every paragraph then passes points to its ancestors:
+like, told by tag, role or the words of class and id) are cut out.  Words of class and id, and a form, only suggest it: such
+an element stays when the page's only article or main element is in it, or more than half of the page's text outside links
+(which a discussion, told by a name that begins with such a word, may well have and is cut all the same), and all of them
+stay when nothing is left without them.  Every paragraph then passes points to its ancestors:
 1, one per comma and up to 3 for its length, in full to the parent, half to its parent and ever less above.  A container's
 points are discounted by the share of its text that lies in links.  The best container is kept, with siblings that
-score at least a fifth of it or are plain paragraphs, headings and lists with few links.
+score at least a fifth of it, are plain paragraphs, headings and lists with few links, or hold paragraphs with few links.
 
 Within a block white space becomes one space; blocks are trimmed and joined by line feeds in page order.  Null or empty
 html, or a page without text, gives an empty text.  Pages are independent of each other; copies give equal texts.
@@ -34,13 +37,14 @@ SAME_LEVEL = {"li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "td": ("td"
 HOLDS = {"li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",),
          "tbody": ("table",), "option": ("select",)}
 
-APART_TAGS = frozenset("nav footer aside form button select textarea input dialog menu search".split())
+APART_TAGS = frozenset("nav footer aside button select textarea input dialog menu search".split())
 APART_ROLES = frozenset("navigation banner complementary contentinfo search alert alertdialog dialog form menu menubar".split())
 APART_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments
     commentlist consent cookie cookies disclaimer discussion disqus footer footnav gdpr login masthead menu modal nav navbar
     navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion recommended
     related replies reply respond responses share sharing sidebar signup skyscraper social sponsor sponsored subscribe
     subscription syndication teaser toolbar widget widgets""".split())
+TALK_WORDS = frozenset("comment comments commentlist discussion disqus replies reply respond responses".split())
 HEADER_WORDS = frozenset("header topbar top".split())
 PARAGRAPHS = frozenset("p pre blockquote td dd li figcaption".split())
 PLAIN = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
@@ -49,26 +53,32 @@ MAIN_BONUS = 25.0
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "main", "score", "letters", "linked")
+    __slots__ = ("tag", "parent", "children", "apart", "soft", "talk", "main", "mains", "score", "letters", "linked")
 
-    def __init__(self, tag: str, parent: "Node | None", apart: bool = False, main: bool = False):
-        self.tag, self.parent, self.apart, self.main = tag, parent, apart, main
+    def __init__(self, tag: str, parent: "Node | None", apart: bool = False, main: bool = False, soft: bool = False,
+                 talk: bool = False):
+        self.tag, self.parent, self.apart, self.main, self.soft, self.talk = tag, parent, apart or soft, main, soft and not apart, talk
+        self.mains = 0
         self.children: list[Node | str] = []
         self.score, self.letters, self.linked = 0.0, 0, 0
 
 
-def is_apart(tag: str, attrs: dict[str, str], inside_main: bool) -> bool:
+def is_apart(tag: str, attrs: dict[str, str]) -> bool:
     role = (attrs.get("role") or "").lower()
-    if tag in APART_TAGS or role in APART_ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
-        return True
-    if re.search(r"(display\s*:\s*none|visibility\s*:\s*hidden)", attrs.get("style") or "", re.I):
+    if tag in APART_TAGS or role in APART_ROLES - {"form"} or "hidden" in attrs or (attrs.get("aria-hidden") or "").lower() == "true":
         return True
+    return bool(re.search(r"(display\s*:\s*none|visibility\s*:\s*hidden)", attrs.get("style") or "", re.I))
+
+
+def seems_apart(tag: str, attrs: dict[str, str], inside_main: bool) -> tuple[bool, bool]:
+    """Whether form or names suggest boilerplate, and whether a name begins with a word of discussions."""
     if tag in ("html", "body") or tag in MAIN_TAGS:
-        return False
-    words = set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()))
-    if words & APART_WORDS:
-        return True
-    return not inside_main and (tag == "header" or bool(words & HEADER_WORDS))
+        return False, False
+    names = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{attrs.get('class') or ''} {attrs.get('id') or ''}").lower()
+    words = set(re.split(r"[^a-z]+", names))
+    soft = tag == "form" or (attrs.get("role") or "").lower() == "form" or bool(words & APART_WORDS)
+    soft = soft or (not inside_main and (tag == "header" or bool(words & HEADER_WORDS)))
+    return soft, bool(words & TALK_WORDS) and any(re.split(r"[^a-z]+", n)[0] in TALK_WORDS for n in names.split())
 
 
 class TreeBuilder(HTMLParser):
@@ -107,7 +117,8 @@ class TreeBuilder(HTMLParser):
             return
         values, inside = dict(attrs), self.at.main
         main = tag in MAIN_TAGS or (values.get("role") or "").lower() in ("main", "article")
-        node = Node(tag, self.at, tag in UNSEEN or is_apart(tag, values, inside), main or inside)
+        soft, talk = seems_apart(tag, values, inside)
+        node = Node(tag, self.at, tag in UNSEEN or is_apart(tag, values), main or inside, soft, talk)
         self.at.children.append(node)
         self.at = node
 
@@ -148,6 +159,38 @@ def in_order(root: Node) -> list[Node]:
     return out
 
 
+def release(root: Node, everything: bool = False) -> None:
+    """Take back the cut of elements that only seem boilerplate, where the article or most of the text is in them."""
+    def below(node: Node) -> list[Node]:
+        return [c for c in node.children if isinstance(c, Node) and (c.soft or not c.apart)]
+
+    nodes, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        nodes.append(node)
+        stack.extend(below(node))
+    if everything:
+        for node in nodes:
+            node.apart = False
+        return
+    if not any(node.soft for node in nodes):
+        return
+    for node in reversed(nodes):
+        node.mains = int(node.main and not (node.parent and node.parent.main)) + sum(c.mains for c in below(node))
+        node.letters = 0 if node.tag == "a" else (sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+                                                 + sum(c.letters for c in below(node)))
+    shown = any(node.main for node in in_order(root))
+    stack = [root]
+    while stack:
+        node = stack.pop()
+        if node.apart:
+            if not ((node.mains and not shown) or (2 * node.letters > root.letters and not node.talk)):
+                continue
+            node.apart = False
+            shown = shown or any(n.main for n in in_order(node))
+        stack.extend(below(node))
+
+
 def measure(nodes: list[Node]) -> None:
     """Letters of each element's text and of the links in it."""
     for node in reversed(nodes):
@@ -260,7 +303,7 @@ def kept_parts(root: Node) -> list[Node]:
             return False
         if best.main:
             return node.main and value(node) >= least
-        return value(node) >= least or (node.tag in PLAIN and link_density(node) < 0.25)
+        return value(node) >= least or ((node.tag in PLAIN or node.score > 0) and link_density(node) < 0.25)
 
     return [c for c in best.parent.children if stays(c)]
 
@@ -268,7 +311,14 @@ def kept_parts(root: Node) -> list[Node]:
 def main_text(html: str) -> str:
     if not html or not html.strip():
         return ""
-    return "\n".join(b for part in kept_parts(parse(html)) for b in blocks(part))
+    root = parse(html)
+    release(root)
+    text = "\n".join(b for part in kept_parts(root) for b in blocks(part))
+    if not text:
+        root = parse(html)
+        release(root, everything=True)
+        text = "\n".join(b for part in kept_parts(root) for b in blocks(part))
+    return text
 
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

@@ -183,5 +183,17 @@ def test_quality_cutoffs_reach_small_strata(spark):
     assert len(got) == 961 and all(got[i].kept == (quality.get(i) == 1) for i in got)
 
 
+def test_main_text_survives_names_and_wrappers():
+    article = "<p>The first paragraph of the story, with commas, and words.</p><p>The second one, a bit longer, ends it.</p>"
+    want = "The first paragraph of the story, with commas, and words.\nThe second one, a bit longer, ends it."
+    for name in ("content has-sidebar", "with-comments", "no-nav", "main-widget"):
+        assert html_text.main_text(f'<body><nav><a href=/>x</a></nav><div class="{name}">{article}</div><p>z</p></body>').startswith(want)
+        assert html_text.main_text(f'<body><div id="{name}"><article>{article}</article><div class=sidebar><p>Ad</div></div></body>') == want
+    assert html_text.main_text(f"<body><form><div>{article}</div></form></body>") == want
+    assert html_text.main_text(f"<body><div class=widget>{article}</div></body>") == want
+    page = f"<body><div>{article * 4}</div><div><p>In short.</p></div><div class=comments><p>{'Me too, yes. ' * 90}</p></div></body>"
+    assert html_text.main_text(page) == "\n".join([want] * 4 + ["In short."])
+
+
 def test_language_model_has_all_leaves():
     assert lm_score.LEAVES == 1024 and lm_score.FREQUENT == 512
