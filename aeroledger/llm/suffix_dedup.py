@@ -1,7 +1,7 @@
 """Removal of every byte that a string of ``LENGTH`` bytes covers which also starts elsewhere.
 
-Prefix doubling ranks all suffixes by a short prefix and doubles its length until ranks are unique or long enough.  Here
-a rank is a 64-bit name of the prefix (only equality matters), and positions are dropped as early as possible:
+This is not prefix doubling: no pairs of ranks are sorted and no offset doubles.  Minimiser anchors with cell refinement take
+its place.  A rank is a 64-bit name of a string (only equality matters), and positions are dropped as early as possible:
 
 1. *Anchors.*  Each window of 200 bytes names its least 50-byte string (by scrambled name, the leftmost of ties).  Equal
    windows have the same anchor at the same place, and neighbouring windows mostly share one, so one position in about 75
