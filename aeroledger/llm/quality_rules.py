@@ -3,7 +3,7 @@
 A rule rejects a document when one of its measures exceeds a cutoff.  Labelled documents of good quality that pass the base
 rules serve as holdout: for a rule, a stratum and a cutoff, ``k`` of ``n`` good ones are rejected, and the cutoff is certified
 when the exact binomial probability of at most ``k`` rejections at the rate ``alpha`` times the rule's share is no more than
-``delta`` times that share, over the number of strata.  ``SHARES`` states the shares beforehand; they add up to one.  Cutoffs
+``delta`` times that share, over the number of strata.  ``SHARES`` states the shares, which add up to one.  Cutoffs
 are tried from the most lenient down and the first that fails ends the sequence (fixed-sequence testing), so only rules and
 strata need the Bonferroni correction.  Among certified cutoffs the one is taken that rejects most documents labelled bad,
 each rejected good one counting ``GOOD_WEIGHS`` times as much; ties go to the most lenient.
@@ -28,7 +28,7 @@ from aeroledger.llm.common import SPACES, stored, whole_text, words_of
 
 ALPHA, DELTA = 0.03, 0.05
 GOOD_WEIGHS = 10
-# Each rule's share of alpha and delta; chosen beforehand, like the cutoffs.
+# Each rule's share of alpha and delta; fixed, but set after a review of sf0.1 had named symbols as the usual damage.
 SHARES = {"symbols": 0.5, "repeats": 0.2, "lines": 0.1, "marks": 0.1, "capitals": 0.05, "length": 0.05}
 SYMBOLS = "#*$%&|<>"
 # Measures and their cutoffs, the most lenient first; chosen beforehand, not from data.
