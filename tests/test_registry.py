@@ -1,6 +1,9 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import numpy as np
@@ -27,7 +30,8 @@ def plain(df):
     for c in df.columns:
         s = df[c]
         if pd.api.types.is_datetime64_any_dtype(s):
-            df[c] = s.dt.tz_localize(None).astype("datetime64[us]").astype(str)
+            text = s.dt.tz_localize(None).astype("datetime64[us]").astype(str)
+            df[c] = text.astype(object).where(s.notna(), None)  # the null of every other column without numbers
         elif pd.api.types.is_numeric_dtype(s) and not pd.api.types.is_bool_dtype(s):
             df[c] = s.astype(float)
         else:
@@ -48,6 +52,24 @@ def test_model_queries_return_rows(spark, name):
     assert QUERIES[name](spark, FOLDER).count() > 0
 
 
+def test_entry_without_text_operators(tmp_path):
+    """The rest of the library imports and keeps its queries where the text operators are not there."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    shutil.copytree(f"{root}/aeroledger", tmp_path / "aeroledger", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(f"{root}/__spark_entry__.py", tmp_path)
+    for with_pipeline in (True, False):
+        folder = tmp_path / str(with_pipeline)
+        shutil.copytree(tmp_path / "aeroledger", folder / "aeroledger")
+        shutil.copy(f"{root}/__spark_entry__.py", folder)
+        if with_pipeline and os.path.exists(f"{root}/corpus_pipeline.py"):
+            shutil.copy(f"{root}/corpus_pipeline.py", folder)
+        told = subprocess.run(
+            [sys.executable, "-c", "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"], cwd=folder,
+            env={**os.environ, "PYTHONPATH": ""}, capture_output=True, text=True, check=True).stdout.split()
+        own = [name for name in QUERIES if name in entry.registry.QUERIES]
+        assert told == [str(len(own)), str(sum(name in SQL for name in own))]
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
