@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.llm import (
-    balanced_mix, exact_dedup, html_text, jaccard_join, language_id, line_dedup, lm_score, quality_rules,
+    balanced_mix, exact_dedup, fill_in_middle, html_text, jaccard_join, language_id, line_dedup, lm_score, quality_rules,
     sentencepiece_spans, suffix_dedup)
 from aeroledger.llm.common import documents, id_class
 
@@ -106,3 +106,26 @@ def op9_lm_score(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_sentencepiece_spans(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_spans.encoding_digests(documents(spark, folder), piece_model())
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_in_middle.transform(documents(spark, folder))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(back.cast("binary"), 256).alias("restored_sha256"))
+
+
+SQL["op13_fill_in_middle"] = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256(concat('1:', doc_id)) AS h FROM documents),
+    c AS (SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST(concat('0x', h[1:8]) AS BIGINT) AS h1,
+                 CAST(concat('0x', h[9:16]) AS BIGINT) AS h2, CAST(concat('0x', h[17:24]) AS BIGINT) AS h3,
+                 CAST(concat('0x', h[25:32]) AS BIGINT) AS h4 FROM d),
+    f AS (SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+                 CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM c),
+    p AS (SELECT *, substring(t, 1, a) AS pre, substring(t, a + 1, b - a) AS mid, substring(t, b + 1, n - b) AS suf FROM f)
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN concat('<P>', pre, '<S>', suf, '<M>', mid)
+                  ELSE concat('<S>', suf, '<P>', pre, '<M>', mid) END) AS output_sha256, sha256(t) AS restored_sha256 FROM p"""
