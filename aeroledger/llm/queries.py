@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aeroledger.llm import (
     balanced_mix, exact_dedup, fill_in_middle, html_text, jaccard_join, language_id, line_dedup, lm_score, quality_rules,
-    sentencepiece_spans, suffix_dedup)
+    sentencepiece_spans, suffix_dedup, token_alignment)
 from aeroledger.llm.common import documents, id_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,17 @@ def op10_sentencepiece_spans(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_spans.encoding_digests(documents(spark, folder), piece_model())
 
 
+def byte_model() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return token_alignment.alignment(documents(spark, folder), byte_model(), piece_model())
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     made = fill_in_middle.transform(documents(spark, folder))
