@@ -36,6 +36,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 MARK = "▁"
 
 CHUNK_BYTES = 4 << 20
+ALIGN_CHARACTERS = 1 << 19
 MOST_WORK = 1 << 22
 
 
@@ -69,16 +70,19 @@ def spread(first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 def product(left: Rows, right: Rows) -> Rows:
     """left · right by rows, in blocks of rows whose work is bounded; columns of a row ascend."""
     picked = right.sizes()[left.columns]
-    work = begins(picked)[left.starts]
+    single = bool((picked == 1).all())
+    work = left.starts if single else begins(picked)[left.starts]
     counts, columns, values = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     row = 0
     while row < len(left):
         stop = max(row + 1, int(np.searchsorted(work, work[row] + MOST_WORK, side="right")) - 1)
         here = slice(left.starts[row], left.starts[stop])
-        taken = spread(right.starts[left.columns[here]], picked[here])
-        of_row = np.repeat(np.repeat(np.arange(stop - row), np.diff(left.starts[row:stop + 1])), picked[here])
+        taken, of_row, value = right.starts[left.columns[here]], np.arange(stop - row), left.values[here]
+        of_row = np.repeat(of_row, np.diff(left.starts[row:stop + 1]))
+        if not single:
+            taken, of_row, value = spread(taken, picked[here]), np.repeat(of_row, picked[here]), np.repeat(value, picked[here])
         cell = of_row * right.width + right.columns[taken]
-        value = np.repeat(left.values[here], picked[here]) * right.values[taken]
+        value = value * right.values[taken]
         if len(cell) and (cell[1:] < cell[:-1]).any():
             order = np.argsort(cell, kind="stable")
             cell, value = cell[order], value[order]
@@ -204,6 +208,27 @@ class Aligned:
     group_b: np.ndarray
 
 
+def joined(parts: list[Aligned]) -> Aligned:
+    """Runs of texts one after the other."""
+    if len(parts) == 1:
+        return parts[0]
+
+    def end_to_end(arrays: list[np.ndarray], steps: list[int]) -> np.ndarray:
+        return np.concatenate([a + s for a, s in zip(arrays, begins(np.array(steps)).tolist())])
+
+    n_a, n_b = [len(p.ids_a) for p in parts], [len(p.ids_b) for p in parts]
+    groups = [int(p.group_a[-1]) + 1 if len(p.group_a) else 0 for p in parts]
+    links = [p.links for p in parts]
+    starts = end_to_end([x.starts[:-1] for x in links], [len(x.columns) for x in links])
+    return Aligned(
+        np.concatenate([p.ids_a for p in parts]), np.concatenate([p.ids_b for p in parts]),
+        np.append(end_to_end([p.bounds_a[:-1] for p in parts], n_a), sum(n_a)),
+        np.append(end_to_end([p.bounds_b[:-1] for p in parts], n_b), sum(n_b)),
+        Rows(np.append(starts, sum(len(x.columns) for x in links)), end_to_end([x.columns for x in links], n_b),
+             np.concatenate([x.values for x in links]), max(sum(n_b), 1)),
+        end_to_end([p.group_a for p in parts], groups), end_to_end([p.group_b for p in parts], groups))
+
+
 class Aligner:
     """Aligns runs of texts; one per task."""
 
@@ -211,6 +236,12 @@ class Aligner:
         self.a, self.b = ByteTokens(byte_path), PieceTokens(piece_path)
 
     def __call__(self, texts: list[str]) -> Aligned:
+        """Aligns about ``ALIGN_CHARACTERS`` at a time, so that the byte arrays stay in the processor's cache."""
+        ends = begins(np.array([len(t) for t in texts]))
+        edges = np.flatnonzero(np.diff(ends[:-1] // ALIGN_CHARACTERS, prepend=-1, append=-1)).tolist()
+        return joined([self.align(texts[i:j]) for i, j in zip(edges, edges[1:])])
+
+    def align(self, texts: list[str]) -> Aligned:
         none = np.empty(0, np.int64)
         whole = [b" " + t.encode() for t in texts]
         found_a, found_b = ([f if t else none for t, f in zip(texts, tokens(texts))] for tokens in (self.a, self.b))

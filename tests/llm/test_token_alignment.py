@@ -120,3 +120,15 @@ def test_vocabulary_file_encodes_as_its_library(spark):
     points = [chr(c) for c in range(0x3000) if not 0xD800 <= c < 0xE000]
     texts = [t or "" for t in ODD] + [f"a{c}b {c}1{c} {c}{c}.{c} '{c}s" for c in points]
     assert [x.tolist() for x in own(texts)] == [e.ids for e in library.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+
+
+def test_runs_join_to_what_one_run_gives(monkeypatch):
+    aligner, texts = ta.Aligner(byte_model(), piece_model()), [t or "" for t in ODD]
+    whole = aligner.align(texts)
+    for most in (1, 7, 50, 10_000):
+        monkeypatch.setattr(ta, "ALIGN_CHARACTERS", most)
+        parts = aligner(texts)
+        for name in ("ids_a", "ids_b", "bounds_a", "bounds_b", "group_a", "group_b"):
+            assert getattr(parts, name).tolist() == getattr(whole, name).tolist()
+        for name in ("starts", "columns", "values"):
+            assert getattr(parts.links, name).tolist() == getattr(whole.links, name).tolist()
