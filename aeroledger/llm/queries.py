@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.llm import (
-    balanced_mix, exact_dedup, fill_in_middle, html_text, jaccard_join, language_id, line_dedup, lm_score, quality_rules,
-    sentencepiece_spans, suffix_dedup, token_alignment)
+    balanced_mix, exact_dedup, fill_in_middle, html_text, jaccard_join, language_id, line_dedup, lm_score, nearest_neighbours,
+    quality_rules, sentencepiece_spans, suffix_dedup, token_alignment)
 from aeroledger.llm.common import documents, id_class
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,6 +119,11 @@ def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return token_alignment.alignment(documents(spark, folder), byte_model(), piece_model())
 
 
+@query
+def op12_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_neighbours.nearest(spark.read.parquet(f"{folder}/embeddings.parquet"))
+
+
 @query
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     made = fill_in_middle.transform(documents(spark, folder))
