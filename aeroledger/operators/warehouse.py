@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aeroledger.functions.columns import day_of
 from aeroledger.operators.quality import repeated_keys
 from aeroledger.schemas import LOGS, WAREHOUSE, WAREHOUSE_KEYS
-from aeroledger.sources import sinks, snapshots, tables
+from aeroledger.sources import partitions, sinks, tables
 
 # Warehouse table per validated entity, dimensions first.
 LOAD_ORDER = {
@@ -21,6 +21,21 @@ LOAD_ORDER = {
     "fares": "fact_fare_snapshot",
 }
 
+# Facts lie in a partition per day (or month, where days hold few rows) of this column; dimensions in one partition.
+PARTITION_TIME = {
+    "fact_flight": "scheduled_departure", "fact_cancellation": "cancelled_at", "fact_booking": "booking_time",
+    "fact_baggage": "scan_time", "fact_support_ticket": "created_at", "fact_fare_snapshot": "timestamp",
+}
+WHOLE, NO_TIME = "all", "none"
+GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+
+
+def partition_of(table: str, grain: str = "day") -> Column:
+    """Name of the partition a row of the table belongs to."""
+    if table not in PARTITION_TIME:
+        return F.lit(WHOLE)
+    return F.coalesce(F.date_format(PARTITION_TIME[table], GRAINS[grain]), F.lit(NO_TIME))
+
 
 def upsert(target: DataFrame, source: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Target after replacing rows by key and adding new keys; source NULLs overwrite, nothing is deleted."""
@@ -56,19 +71,24 @@ def run_log_row(run_id: str, task: str, started: datetime, rows: int = 0, error:
 
 
 def load_table(spark: SparkSession, root: str, table: str, source: DataFrame, run_id: str,
-               pk: Sequence[str] | None = None) -> int:
-    """Upsert ``source`` into the warehouse table below ``root`` and log the run; returns the input rows."""
+               pk: Sequence[str] | None = None, grain: str = "day") -> int:
+    """Upsert ``source`` into the warehouse table below ``root`` and log the run; returns the input rows.
+
+    Only partitions that hold a key of the source, or receive one, are read whole and rewritten; a row whose time moves
+    leaves its old partition, whatever grain that was written in.
+    """
     pk = list(pk or WAREHOUSE_KEYS[table])
-    columns = WAREHOUSE[table].fieldNames()
+    path, schema = f"{root}/{table}", WAREHOUSE[table]
     task, started, log = f"load_{table}", datetime.now(timezone.utc), f"{root}/pipeline_run_log"
     try:
         source = source.select(*[F.col(f.name).cast(f.dataType) for f in WAREHOUSE[table].fields])
         rows = source.count()
         if rows:
             check_unique_key(source, pk)
-            target = snapshots.read_current(spark, f"{root}/{table}")
-            state = source if target is None else upsert(target.select(*columns), source, pk)
-            snapshots.write_next(state, f"{root}/{table}")
+            partitions.settle(spark, path, schema)
+            source = source.withColumn(partitions.PART, partition_of(table, grain))
+            touched = partitions.holding(partitions.read(spark, path, schema), source, pk)
+            partitions.replace(upsert(partitions.read(spark, path, schema, touched), source, pk), path, touched)
         row = run_log_row(run_id, task, started, rows, note=None if rows else "no rows")
         sinks.append_log(spark, "pipeline_run_log", [row], log)
         return rows
@@ -78,10 +98,10 @@ def load_table(spark: SparkSession, root: str, table: str, source: DataFrame, ru
 
 
 def create_schema(spark: SparkSession, root: str, rebuild: bool = False) -> None:
-    """Write an empty first state of every declared table that has none; ``rebuild`` empties all."""
+    """Create every declared table that is not there, empty; ``rebuild`` empties all."""
     for table, schema in WAREHOUSE.items():
-        if rebuild or snapshots.current_path(spark, f"{root}/{table}") is None:
-            snapshots.write_next(tables.empty_table(spark, schema), f"{root}/{table}")
+        if rebuild or not tables.path_exists(spark, f"{root}/{table}"):
+            partitions.create(spark, f"{root}/{table}", schema)
     for log in ("dq_check_log", "pipeline_run_log"):
         if not tables.path_exists(spark, f"{root}/{log}"):
             sinks.write_table(tables.empty_table(spark, LOGS[log]), f"{root}/{log}", "append")
@@ -93,21 +113,21 @@ def prepare_flights(flights: DataFrame) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, root: str, silver: dict[str, DataFrame], run_id: str,
-                   rebuild: bool = False) -> dict[str, int]:
+                   rebuild: bool = False, grain: str = "day") -> dict[str, int]:
     """Load every entity at hand, dimensions first; returns the input rows per table."""
     create_schema(spark, root, rebuild)
     loaded = {}
     for entity, table in LOAD_ORDER.items():
         if entity in silver:
             source = prepare_flights(silver[entity]) if entity == "flights" else silver[entity]
-            loaded[table] = load_table(spark, root, table, source, run_id)
+            loaded[table] = load_table(spark, root, table, source, run_id, grain=grain)
     return loaded
 
 
 def warehouse_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """Current state of every warehouse table that has been written."""
-    found = {t: snapshots.read_current(spark, f"{root}/{t}") for t in WAREHOUSE}
-    return {t: df for t, df in found.items() if df is not None}
+    """Every warehouse table that has been created."""
+    return {t: partitions.read(spark, f"{root}/{t}", schema).drop(partitions.PART)
+            for t, schema in WAREHOUSE.items() if tables.path_exists(spark, f"{root}/{t}")}
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
@@ -130,7 +150,8 @@ def failed_checks(check_log: DataFrame) -> DataFrame:
 
 def load_rotation_mart(spark: SparkSession, rotation_path: str, root: str) -> int:
     """Copy the day-partitioned rotation output into the warehouse; returns its rows."""
-    path = snapshots.write_next(tables.read_table(spark, rotation_path), f"{root}/mart_rotation_delay_propagation")
+    path = f"{root}/mart_rotation_delay_propagation"
+    sinks.write_partitioned(tables.read_table(spark, rotation_path), path, "flight_date")
     return tables.read_table(spark, path).count()
 
 

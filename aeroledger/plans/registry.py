@@ -18,7 +18,7 @@ from aeroledger.plans.bindings import BAG_MINUTES, NOW, Tables
 from aeroledger.plans.oracles import big, dbl, r, s, with_ctes
 from aeroledger.session import scratch_path
 from aeroledger.schemas import ROTATION
-from aeroledger.sources import sinks, snapshots
+from aeroledger.sources import sinks
 from aeroledger.sources import tables as sources
 from aeroledger.streaming import envelope, live
 
@@ -519,7 +519,7 @@ def _(t: Tables) -> DataFrame:
         t.raw("supplier").select(F.concat(F.lit("S"), "s_suppkey").alias("customer_id"), F.col("s_name").alias("name")))
     for run, rows in (("first", people), ("second", gold.withColumns({"tier": F.lit("GOLD"), "home_region": F.lit(None)}))):
         warehouse.load_table(t.spark, root, "dim_customer", quality.add_audit_columns(rows, "customers.csv", run, NOW), run)
-    return snapshots.read_current(t.spark, f"{root}/dim_customer").select("customer_id", "name", "tier", "home_region")
+    return warehouse.warehouse_tables(t.spark, root)["dim_customer"].select("customer_id", "name", "tier", "home_region")
 
 
 @query("warehouse_load_all", """
@@ -534,9 +534,93 @@ def _(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "warehouse")
     for run in ("first", "second"):
         warehouse.load_warehouse(t.spark, root, {
-            entity: quality.add_audit_columns(rows, f"{entity}.csv", run, NOW) for entity, rows in t.entities().items()}, run)
+            entity: quality.add_audit_columns(rows, f"{entity}.csv", run, NOW) for entity, rows in t.entities().items()}, run, grain="month")
     return sources.row_counts(warehouse.warehouse_tables(t.spark, root))
 
+# Each warehouse table over its values: (entity, table, key that tells the loads apart, columns of the SQL, source of the SQL).
+# The first load leaves out keys that end in 3 or T; the second brings these, and keys that end in 7 or H with a change.
+LOADED = [
+    ("airports", "dim_airport", "airport_id", {
+        "airport_id": "n_nationkey", "city": "n_name", "region": "r_name", "capacity": "CAST((n_nationkey + 1) * 100 AS INTEGER)"},
+     "nation JOIN region ON r_regionkey = n_regionkey", "capacity"),
+    ("aircraft", "dim_aircraft", "aircraft_id", {
+        "aircraft_id": "c_custkey", "type": "c_mktsegment", "seat_capacity": "CAST(c_nationkey + 1 AS INTEGER)"}, "customer", "type"),
+    ("customers", "dim_customer", "customer_id", {
+        "customer_id": "c_custkey", "name": "c_name", "tier": "c_mktsegment", "home_region": "CAST(c_nationkey AS VARCHAR)"},
+     "customer", "tier"),
+    ("dim_date", "dim_date", "date_id", {
+        "date_id": "strftime(day, '%Y-%m-%d')", "date": "day", "year": "CAST(year(day) AS INTEGER)",
+        "month": "CAST(month(day) AS INTEGER)", "day": "CAST(day(day) AS INTEGER)", "day_of_week": "dayname(day)",
+        "is_weekend": "isodow(day) >= 6"}, "(SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)", "year"),
+    ("routes", "dim_route", "route_id", {
+        "route_id": "o_orderpriority", "origin_airport_id": "CAST(min(o_custkey % 25) AS VARCHAR)",
+        "dest_airport_id": "CAST(max(o_custkey % 25) AS VARCHAR)", "popularity": "CAST(count(*) AS DOUBLE)"},
+     "orders GROUP BY o_orderpriority", "popularity"),
+    ("flights", "fact_flight", "flight_id", {
+        "flight_id": "flight_id", "route_id": "route_id", "aircraft_id": "CAST(aircraft_id AS VARCHAR)",
+        "scheduled_date_id": "scheduled_date_id", "scheduled_departure": "scheduled_departure", "status": "status",
+        "delay_minutes": "delay_minutes"}, "flights_ord", "scheduled_departure"),
+    ("cancellations", "fact_cancellation", "flight_id", {
+        "flight_id": "flight_id", "cancelled_at": "cancelled_at", "reason_code": "reason_code"}, "cancels", "cancelled_at"),
+    ("bookings", "fact_booking", "booking_id", {
+        "booking_id": "booking_id", "customer_id": "CAST(b.customer_id AS VARCHAR)", "flight_id": "CAST(b.flight_id AS VARCHAR)",
+        "fare": "b.fare", "booking_time": "b.booking_time", "status": "b.status"},
+     """(SELECT l_orderkey * 10 + l_linenumber AS booking_id, min({'customer_id': l_suppkey, 'flight_id': l_orderkey,
+             'fare': l_extendedprice, 'booking_time': l_shipdate,
+             'status': CASE WHEN l_returnflag = 'R' THEN 'REFUNDED' ELSE 'CONFIRMED' END}) AS b FROM lineitem GROUP BY 1)""", "booking_time"),
+    ("baggage", "fact_baggage", "bag_id", {
+        "bag_id": "bag_id", "booking_id": "CAST(b.booking_id AS VARCHAR)", "scan_time": "b.scan_time", "airport": "b.airport",
+        "status": "b.status"},
+     """(SELECT l_orderkey * 10 + l_linenumber AS bag_id, arg_min({'booking_id': l_orderkey * 10 + 1, 'scan_time': l_shipdate,
+             'airport': nullif(l_returnflag, 'N'), 'status': CASE WHEN l_discount >= 0.08 THEN 'DELAYED' ELSE 'DELIVERED' END},
+             (l_shipdate, coalesce(nullif(l_returnflag, 'N'), ''), CASE WHEN l_discount >= 0.08 THEN 'DELAYED' ELSE 'DELIVERED' END)) AS b
+         FROM lineitem GROUP BY 1)""", "scan_time"),
+    ("support_tickets", "fact_support_ticket", "ticket_id", {
+        "ticket_id": "event_id", "booking_id": "CAST(user_id AS VARCHAR)", "issue_type": "event_type", "created_at": "ts"},
+     "events", "created_at"),
+    ("fares", "fact_fare_snapshot", "cabin", {
+        "route_id": "p_brand", "cabin": "p_partkey", "timestamp": "TIMESTAMP '2024-02-01 06:00:00'", "price": "p_retailprice"},
+     "part", "price"),
+]
+
+
+def _loaded_twice(t: Tables, entity: str, table: str, key: str, changed: str) -> DataFrame:
+    """The table after a first load and one that changes some of its rows and brings others."""
+    root, end = scratch_path(t.spark, "warehouse"), F.right(F.col(key).cast("string"), F.lit(1))
+    rows = t.entities()[entity]
+    kind = rows.schema[changed].dataType.typeName()
+    change = {"timestamp_ntz": F.col(changed) + F.make_dt_interval(F.lit(1)), "string": F.lit(None).cast("string")}.get(
+        kind, F.col(changed) + 1)
+    loads = {"first": rows.filter(~end.isin("3", "T")),
+             "second": rows.filter(end.isin("3", "T", "7", "H")).withColumn(
+                 changed, F.when(end.isin("7", "H"), change).otherwise(F.col(changed)))}
+    for run_id, part in loads.items():
+        part = part if entity != "flights" else warehouse.prepare_flights(part)
+        warehouse.load_table(t.spark, root, table, quality.add_audit_columns(part, f"{entity}.csv", run_id, NOW), run_id,
+                             grain="month")
+    return warehouse.warehouse_tables(t.spark, root)[table]
+
+
+def _register_loads() -> None:
+    for entity, table, key, columns, source, changed in LOADED:
+        def build(t: Tables, entity=entity, table=table, key=key, columns=columns, changed=changed) -> DataFrame:
+            return _loaded_twice(t, entity, table, key, changed).select(*columns, "_batch_id")
+
+        time = columns[changed] if changed in warehouse.PARTITION_TIME.values() else None
+        text = {"type", "tier"}
+        shown = {c: f"CAST({e} AS VARCHAR)" if c == key else e for c, e in columns.items()}
+        is_new, is_changed = (f"right(CAST({columns[key]} AS VARCHAR), 1) IN ('{a}', '{b}')" for a, b in ("3T", "7H"))
+        other = "NULL" if changed in text else f"{time} + INTERVAL 1 DAY" if time else f"{columns[changed]} + 1"
+        shown[changed] = f"CASE WHEN {is_changed} THEN {other} ELSE {columns[changed]} END"
+        if table == "fact_flight":
+            shown["scheduled_date_id"] = f"strftime({shown[changed]}, '%Y-%m-%d')"
+        picked = ", ".join(f"{e} AS {c}" for c, e in shown.items())
+        query(f"warehouse_{table}", f"""
+            SELECT {picked}, CASE WHEN {is_new} OR {is_changed} THEN 'second' ELSE 'first' END AS _batch_id FROM {source}""")(build)
+
+
+_register_loads()
+
 
 # --- models -------------------------------------------------------------------------------------
 

@@ -2,9 +2,11 @@
 
 The set of seen event ids is the state of ``dropDuplicates`` (kept by the state
 store, no watermark: ids never expire), so a batch costs as much as its own
-events.  Every output of a micro-batch goes to its own ``batch_id=`` folder and
-is overwritten on replay.  Live tables are stored as per-batch partial states;
-merging them is associative, so readers combine partials and never rewrite state.
+events.  The logs of a micro-batch (ledger, dead letters, monitoring) go to its own
+``batch_id=`` folder and are overwritten on replay.  A live table holds one row per
+key in buckets of the key's hash; a batch merges its part into the buckets it has
+keys of and leaves the others alone.  Merging is associative and takes a batch twice
+without harm, so a replay changes nothing.
 """
 
 from __future__ import annotations
@@ -16,11 +18,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from aeroledger.schemas import EVENT_TYPES
 from aeroledger.session import ENGINE_CONF
-from aeroledger.sources import snapshots, tables
+from aeroledger.sources import partitions, tables
 from aeroledger.streaming.envelope import parse_events, typed_events
 
 LEDGER, DEAD_LETTERS, MONITORING = "stream_seen_events", "events_deadletter", "stream_monitoring"
@@ -69,6 +72,41 @@ def merge_states(partials: DataFrame, event_type: str) -> DataFrame:
                     "_new.event_time", "_new._updated_at", "_old._first_batch", "_new._last_batch"))
 
 
+def state_schema(event_type: str) -> T.StructType:
+    """Columns of a stored live table."""
+    key, fixed, mutable = _columns(event_type)
+    payload = EVENT_TYPES[event_type]["payload"]
+    stamps = [T.StructField(c, T.TimestampType()) for c in ("event_time", "_updated_at")]
+    return T.StructType([*[payload[c] for c in (key, *fixed, *mutable)], *stamps,
+                         *[T.StructField(c, T.LongType()) for c in ("_first_batch", "_last_batch")]])
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """Name of a key's bucket; it carries the number of buckets, which a table keeps for life."""
+    return F.concat(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("string"), F.lit(f"of{buckets}"))
+
+
+def bucket_count(spark: SparkSession, path: str, default: int) -> int:
+    names = [n for n in tables.list_names(spark, path) if n.startswith(f"{partitions.PART}=")]
+    return int(names[0].rsplit("of", 1)[1]) if names else default
+
+
+def merge_partial(partial: DataFrame, event_type: str, root: str, buckets: int) -> list[str]:
+    """Merge a batch's part into the live table; returns the buckets it rewrote."""
+    spark, spec, schema = partial.sparkSession, EVENT_TYPES[event_type], state_schema(event_type)
+    path = f"{root}/{spec['live']}"
+    partitions.settle(spark, path, schema)
+    if not tables.path_exists(spark, path):
+        partitions.create(spark, path, schema)
+    bucket = bucket_of(spec["key"], bucket_count(spark, path, buckets))
+    touched = partitions.parts_of(partial.select(bucket.alias(partitions.PART)))
+    if touched:
+        stored = partitions.read(spark, path, schema, touched).drop(partitions.PART)
+        merged = merge_states(stored.unionByName(partial), event_type)
+        partitions.replace(merged.withColumn(partitions.PART, bucket), path, touched)
+    return touched
+
+
 def monitoring_rows(events: DataFrame, fresh: DataFrame, duplicates: DataFrame, run_id: str, start: datetime,
                     end: datetime) -> DataFrame:
     """One row per topic: applied, repeated and unusable events of the batch."""
@@ -91,8 +129,11 @@ def monitoring_rows(events: DataFrame, fresh: DataFrame, duplicates: DataFrame,
                        F.lit(None).cast("long").alias("consumer_lag"))
 
 
-def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` body that writes ledger, live partials, dead letters and monitoring below ``root``."""
+def apply_batch(root: str, run_id: str, buckets: int = 8) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body that writes live tables, ledger, dead letters and monitoring below ``root``.
+
+    ``buckets`` sizes a live table at its first batch: as many as make a bucket one task's work when the table is full.
+    """
 
     def write(df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{root}/{name}/batch_id={batch_id}")
@@ -102,21 +143,23 @@ def apply_batch(root: str, run_id: str) -> Callable[[DataFrame, int], None]:
         # Text files carry no record position; rows of one file block stay together and in order.
         place = F.coalesce("arrival.pos", F.monotonically_increasing_id())
         batch = batch.withColumn("arrival", F.struct("arrival.part", "arrival.block", place.alias("pos"))).persist()
+        kept = [batch]
         try:
             events = batch.filter(F.col("kind") == "event").drop("kind")
             fresh_ids = batch.filter(F.col("kind") == "fresh").select("event_id")
             fresh, repeated = dedup(events.filter(F.col("problem").isNull()), fresh_ids)
             fresh = fresh.persist()
+            kept.append(fresh)
             now = F.lit(start).cast("timestamp")
-            for event_type, spec in EVENT_TYPES.items():
-                write(partial_state(typed_events(fresh, event_type), event_type, batch_id, start), spec["live"], batch_id)
+            for event_type in EVENT_TYPES:
+                merge_partial(partial_state(typed_events(fresh, event_type), event_type, batch_id, start), event_type, root, buckets)
             write(fresh.select("event_id", "event_type", "topic", now.alias("consumed_at")), LEDGER, batch_id)
             write(events.filter(F.col("problem").isNotNull()).select("topic", "value", "problem"), DEAD_LETTERS, batch_id)
             write(monitoring_rows(events, fresh, repeated, run_id, start, datetime.now(timezone.utc)),
                   MONITORING, batch_id)
-            fresh.unpersist()
         finally:
-            batch.unpersist()
+            for df in kept:
+                df.unpersist()
 
     return body
 
@@ -155,11 +198,12 @@ def tagged_stream(raw: DataFrame) -> DataFrame:
 
 
 def start_live_tables(raw: DataFrame, root: str, checkpoint: str, run_id: str, available_now: bool = False,
-                      interval: str = "10 seconds") -> StreamingQuery:
+                      interval: str = "10 seconds", buckets: int | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it stops once the present input is used up."""
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
+    buckets = buckets or int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (tagged_stream(raw).writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-            .foreachBatch(apply_batch(root, run_id)).trigger(**trigger).start())
+            .foreachBatch(apply_batch(root, run_id, buckets)).trigger(**trigger).start())
 
 
 def run_available(raw: DataFrame, root: str, checkpoint: str, run_id: str) -> None:
@@ -176,45 +220,11 @@ def publish_dead_letters(dead: DataFrame, bootstrap: str, topic: str = "events.d
 
 # --- reading ------------------------------------------------------------------------------------
 
-def live_partials(spark: SparkSession, root: str, event_type: str) -> DataFrame:
-    """Compacted state, if any, together with the partials written after it."""
-    name = EVENT_TYPES[event_type]["live"]
-    partials = tables.read_table(spark, f"{root}/{name}")
-    compacted = snapshots.read_current(spark, f"{root}/{name}_compacted")
-    if compacted is None:
-        return partials.drop("batch_id")
-    through = compacted.agg(F.max("_through")).scalar()
-    return (partials.filter(F.col("batch_id") > F.coalesce(through, F.lit(-1))).drop("batch_id")
-            .unionByName(compacted.drop("_through")))
-
-
 def live_table(spark: SparkSession, root: str, event_type: str) -> DataFrame:
     """Latest state per key."""
-    merged = merge_states(live_partials(spark, root, event_type), event_type)
-    return merged.select(*EVENT_TYPES[event_type]["payload"].fieldNames(), "event_time", "_updated_at")
-
-
-def compact(spark: SparkSession, root: str, event_type: str) -> str:
-    """Fold all partials written so far into one state, so that reads stay short."""
-    name = EVENT_TYPES[event_type]["live"]
-    through = tables.read_table(spark, f"{root}/{name}").agg(F.max("batch_id")).first()[0]
-    merged = merge_states(live_partials(spark, root, event_type), event_type)
-    return snapshots.write_next(merged.withColumn("_through", F.lit(through).cast("long")), f"{root}/{name}_compacted")
-
-
-def drop_compacted(spark: SparkSession, root: str, event_type: str) -> list[int]:
-    """Delete the batch folders that a finished compaction covers; run it when no reader lists them."""
-    name = EVENT_TYPES[event_type]["live"]
-    compacted = snapshots.read_current(spark, f"{root}/{name}_compacted")
-    through = compacted.agg(F.max("_through")).first()[0] if compacted is not None else None
-    if through is None:
-        return []
-    # The newest covered folder stays, so that the table never loses its last file and schema.
-    folders = [int(n.split("=")[1]) for n in tables.list_names(spark, f"{root}/{name}") if n.startswith("batch_id=")]
-    covered = sorted(b for b in folders if b < through)
-    for batch_id in covered:
-        tables.delete_folder(spark, f"{root}/{name}/batch_id={batch_id}")
-    return covered
+    spec = EVENT_TYPES[event_type]
+    stored = partitions.read(spark, f"{root}/{spec['live']}", state_schema(event_type))
+    return stored.select(*spec["payload"].fieldNames(), "event_time", "_updated_at")
 
 
 def ledger(spark: SparkSession, root: str) -> DataFrame:

@@ -1,5 +1,6 @@
 import json
 import os
+import pathlib
 import random
 
 import pytest
@@ -102,20 +103,34 @@ def test_copies_of_one_event_shrink_before_the_state(stream):
     assert stream.state("flight_status", "status") == {"f1": ("B",)}
 
 
-def test_compaction_keeps_the_state(stream):
-    stream.send(event("e1", "f1", "10:00:00", "A", route="one"), event("e2", "f2", "10:00:00", "A"))
-    stream.run()
-    stream.send(event("e3", "f1", "11:00:00", "B", route="two"))
+def bucket_files(stream, name):
+    root = pathlib.Path(stream.root, name)
+    return {p.name: {(f.name, f.stat().st_mtime_ns) for f in p.glob("*.parquet")} for p in root.iterdir() if p.name.startswith("_part=")}
+
+
+def test_live_table_has_a_row_per_key_and_changes_by_bucket(stream):
+    stream.send(*[event(f"e{i}", f"f{i}", "10:00:00", "A", route="one") for i in range(12)])
     stream.run()
-    before = stream.state("flight_status", "status", "route_id", "event_time")
-    live.compact(stream.spark, stream.root, "flight_status")
-    assert stream.state("flight_status", "status", "route_id", "event_time") == before
-    stream.send(event("e4", "f2", "09:00:00", "Z"), event("e5", "f1", "12:00:00", "C", route="three"))
+    before = bucket_files(stream, "fact_flight_status_live")
+    assert len(before) > 1 and {p.rsplit("of", 1)[1] for p in before} == {"3"}
+    stream.send(event("x1", "f1", "11:00:00", "B", route="two"), event("x2", "f1", "09:00:00", "OLD"))
     stream.run()
-    live.compact(stream.spark, stream.root, "flight_status")
-    assert live.drop_compacted(stream.spark, stream.root, "flight_status") == [0, 1]
-    assert live.drop_compacted(stream.spark, stream.root, "booking") == []
-    assert stream.state("flight_status", "status", "route_id") == {"f1": ("C", "one"), "f2": ("A", "r")}
+    after = bucket_files(stream, "fact_flight_status_live")
+    assert sum(after[p] != before[p] for p in before) == 1 and set(after) == set(before)
+    assert stream.state("flight_status", "status", "route_id")["f1"] == ("B", "one")
+    stored = stream.spark.read.parquet(f"{stream.root}/fact_flight_status_live")
+    assert stored.count() == stored.select("flight_id").distinct().count() == 12
+    files = live.live_table(stream.spark, stream.root, "flight_status").inputFiles()
+    assert files and not any("batch_id" in f for f in files) and len(files) <= 3
+
+
+def test_bucket_count_of_a_table_never_changes(stream):
+    for n, buckets in enumerate((4, 9)):
+        part = stream.spark.sql(f"SELECT 'f{n}' AS flight_id, 'r' AS route_id, 'a' AS aircraft_id, timestamp '2024-01-01' AS scheduled_departure, "
+                                "'S' AS status, CAST(NULL AS timestamp) AS actual_departure, 1D AS delay_minutes, timestamp '2024-01-01' AS event_time, "
+                                f"timestamp '2024-01-01' AS _updated_at, {n}L AS _first_batch, {n}L AS _last_batch")
+        assert all(p.endswith("of4") for p in live.merge_partial(part, "flight_status", stream.root, buckets))
+    assert set(stream.state("flight_status", "status")) == {"f0", "f1"}
 
 
 def test_replayed_batch_overwrites_its_own_output(stream):
@@ -126,7 +141,9 @@ def test_replayed_batch_overwrites_its_own_output(stream):
         raw.select("event_id").withColumn("kind", F.lit("fresh")), allowMissingColumns=True)
     body = live.apply_batch(stream.root, "r")
     body(batch, 7)
+    once = stream.state("flight_status", "status", "event_time", "route_id")
     body(batch, 7)
+    assert stream.state("flight_status", "status", "event_time", "route_id") == once and len(once) == 1
     assert live.ledger(stream.spark, stream.root).count() == 1 and stream.counts()["flights.status"] == (1, 0, 0)
 
 

@@ -10,7 +10,7 @@ from aeroledger.operators import quality, warehouse
 from aeroledger.plans import medallion
 from aeroledger.schemas import BRONZE, LOGS, ROTATION
 from aeroledger.session import checkpointed, scratch_path, shared_dir
-from aeroledger.sources import sinks, snapshots, tables
+from aeroledger.sources import partitions, sinks, tables
 
 NOW = datetime(2024, 3, 1, 12, 0, tzinfo=timezone.utc)
 SLOW = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -40,7 +40,7 @@ def test_load_table_logs_rebuilds_and_refuses_repeated_keys(spark, tmp_path):
     assert warehouse.load_table(spark, root, "dim_aircraft", first, "r1") == 1
     assert warehouse.load_table(spark, root, "dim_aircraft", second, "r2") == 2
     assert warehouse.load_table(spark, root, "dim_aircraft", second.limit(0), "r3") == 0
-    now = {r.aircraft_id: (r.type, r.seat_capacity) for r in snapshots.read_current(spark, f"{root}/dim_aircraft").collect()}
+    now = {r.aircraft_id: (r.type, r.seat_capacity) for r in warehouse.warehouse_tables(spark, root)["dim_aircraft"].collect()}
     assert now == {"a1": (None, 120), "a2": ("prop", 50)}
     with pytest.raises(ValueError, match="repeats key"):
         warehouse.load_table(spark, root, "dim_aircraft", first.union(first), "r4")
@@ -48,18 +48,65 @@ def test_load_table_logs_rebuilds_and_refuses_repeated_keys(spark, tmp_path):
     assert log["r2"] == ("SUCCESS", 2, None) and log["r3"] == ("SUCCESS", 0, "no rows") and log["r4"][0] == "FAILED"
     assert [r.run_id for r in warehouse.failed_runs(tables.read_table(spark, f"{root}/pipeline_run_log")).collect()] == ["r4"]
     warehouse.create_schema(spark, root, rebuild=True)
-    assert snapshots.read_current(spark, f"{root}/dim_aircraft").count() == 0
+    assert warehouse.warehouse_tables(spark, root)["dim_aircraft"].count() == 0
     assert "dim_aircraft" in warehouse.register_views(spark, root)
 
 
-def test_unfinished_write_is_not_visible(spark, tmp_path):
-    root = str(tmp_path / "t")
-    snapshots.write_next(kv(spark, {1: 1}), root)
-    (tmp_path / "t" / "version_0000000002").mkdir()
-    assert snapshots.read_current(spark, root).count() == 1
-    assert snapshots.write_next(kv(spark, {1: 1, 2: 2}), root).endswith("3")
-    assert snapshots.read_current(spark, root).count() == 2
-    assert snapshots.read_current(spark, str(tmp_path / "none")) is None
+BOOKED = "booking_id string, customer_id string, flight_id string, fare double, booking_time timestamp, status string"
+
+
+def booked(spark, rows_):
+    """Bookings from (id, fare, day of January or None)."""
+    made = [(i, "c", "f", fare, datetime(2024, 1, day, 10) if day else None, "CONFIRMED") for i, fare, day in rows_]
+    return quality.add_audit_columns(spark.createDataFrame(made, BOOKED), "f", "b", NOW)
+
+
+def file_times(folder):
+    return {p.name: {(f.name, f.stat().st_mtime_ns) for f in p.glob("*.parquet")} for p in folder.iterdir() if p.name.startswith("_part=")}
+
+
+def fares(spark, root):
+    return {r.booking_id: (r.fare, r.booking_time.day if r.booking_time else None)
+            for r in warehouse.warehouse_tables(spark, root)["fact_booking"].collect()}
+
+
+def test_second_load_rewrites_only_touched_days(spark, tmp_path):
+    root, folder = str(tmp_path), tmp_path / "fact_booking"
+    warehouse.create_schema(spark, root)
+    warehouse.load_table(spark, root, "fact_booking", booked(spark, [(f"b{i}", 1.0, 1 + i % 5) for i in range(20)] + [("n", 1.0, None), ("lone", 1.0, 20)]), "r1")
+    first = file_times(folder)
+    assert sorted(first) == [*[f"_part=2024-01-0{d}" for d in range(1, 6)], "_part=2024-01-20", "_part=none"]
+    # b0 changes in its day, b1 moves from day 2 to day 9, "lone" leaves a day that is empty then, "new" comes to day 3.
+    assert warehouse.load_table(spark, root, "fact_booking", booked(spark, [("b0", 2.0, 1), ("b1", 3.0, 9), ("lone", 4.0, None), ("new", 5.0, 3)]), "r2") == 4
+    second = file_times(folder)
+    assert {p for p in first if second.get(p) != first[p]} == {"_part=2024-01-01", "_part=2024-01-02", "_part=2024-01-03", "_part=2024-01-20", "_part=none"}
+    assert "_part=2024-01-20" not in second and "_part=2024-01-09" in second
+    want = {f"b{i}": (1.0, 1 + i % 5) for i in range(20)} | {"n": (1.0, None), "b0": (2.0, 1), "b1": (3.0, 9), "lone": (4.0, None), "new": (5.0, 3)}
+    assert fares(spark, root) == want
+    plan = partitions.read(spark, str(folder), warehouse.WAREHOUSE["fact_booking"], ["2024-01-01"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [_part" in plan.replace("isnotnull(_part#", "_part#") or "_part" in plan.split("PartitionFilters")[1].split("]")[0]
+
+
+def test_interrupted_load_is_made_good(spark, tmp_path, monkeypatch):
+    root, path = str(tmp_path), str(tmp_path / "fact_booking")
+    warehouse.load_table(spark, root, "fact_booking", booked(spark, [("a", 1.0, 1), ("b", 1.0, 2)]), "r1")
+    real = partitions._overwrite
+
+    def dies(rows_, where):  # the driver ends after a partition is gone and before its new state is there
+        tables.delete_folder(spark, f"{where}/_part=2024-01-01")
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(partitions, "_overwrite", dies)
+    with pytest.raises(KeyboardInterrupt):
+        warehouse.load_table(spark, root, "fact_booking", booked(spark, [("a", 2.0, 1)]), "r2")
+    monkeypatch.setattr(partitions, "_overwrite", real)
+    assert partitions.settle(spark, path, warehouse.WAREHOUSE["fact_booking"]) is True
+    assert fares(spark, root) == {"a": (2.0, 1), "b": (1.0, 2)}
+    # One that ends before its new state is complete leaves the table as it was.
+    sinks.write_table(spark.range(3), f"{path}_pending/rows")
+    assert partitions.settle(spark, path, warehouse.WAREHOUSE["fact_booking"]) is False
+    warehouse.load_table(spark, root, "fact_booking", booked(spark, [("c", 3.0, 2)]), "r3")
+    assert fares(spark, root) == {"a": (2.0, 1), "b": (1.0, 2), "c": (3.0, 2)}
 
 
 def test_lookup_helpers(spark, tmp_path):
