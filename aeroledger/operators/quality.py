@@ -7,12 +7,16 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aeroledger.functions.columns import boundaries_crossed, count_when, ratio
 from aeroledger.operators.skew import HEAVY_ROWS, with_sequence
 from aeroledger.schemas import FLIGHT_STATUSES
+from aeroledger.sources.tables import path_exists
 
 REASON = "_reject_reason"
 REF_MISSING = "ref_missing;"
@@ -412,22 +416,32 @@ def model_tests(models: dict[str, DataFrame], spec: dict = MODEL_TESTS) -> DataF
 
 # --- profiling ----------------------------------------------------------------------------------
 
-def _profiled(df: DataFrame) -> DataFrame:
+def row_digest(columns: Sequence[Column]) -> Column:
+    """128 bits of a row: two 64-bit hashes with different seeds; equal rows have equal digests."""
+    return F.struct(F.xxhash64(*columns).alias("a"), F.xxhash64(F.lit(1), *columns).alias("b"))
+
+
+def _profiled(df: DataFrame, digest: Callable[[Sequence[Column]], Column] = row_digest) -> DataFrame:
     """One row: rows, null cells, rows with a NULL, rows beyond the first of identical ones.
 
-    Identical rows meet as one counted group, so heavy repetition combines on
-    the map side.
+    Digests are counted first, combined on the map side.  A digest met once is a row of its own; whole rows are compared
+    only where a digest was met twice, so a table without repetitions shuffles nothing but digests, and equal digests of
+    different rows do no harm.
     """
-    names = [f"`{c}`" for c in df.columns]
-    nulls = reduce(Column.__add__, [F.col(c).isNull().cast("long") for c in names])
-    grouped = df.groupBy(*[F.col(c) for c in names]).agg(F.count(F.lit(1)).alias("_copies"))
-    grouped = grouped.withColumn("_nulls", nulls)
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    nulls = reduce(Column.__add__, [c.isNull().cast("long") for c in columns])
+    met = df.select(digest(columns).alias("_digest"), nulls.alias("_nulls")).groupBy("_digest").agg(
+        F.count(F.lit(1)).alias("_copies"), F.sum("_nulls").alias("_nulls"), count_when(F.col("_nulls") > 0).alias("_null_rows"))
     zero = F.lit(0)
-    return grouped.agg(
-        F.coalesce(F.sum("_copies"), zero).cast("long").alias("rows"),
-        F.coalesce(F.sum(F.col("_copies") * F.col("_nulls")), zero).cast("long").alias("null_values"),
-        F.coalesce(F.sum(F.when(F.col("_nulls") > 0, F.col("_copies"))), zero).cast("long").alias("null_rows"),
-        F.coalesce(F.sum(F.col("_copies") - 1), zero).cast("long").alias("duplicate_rows"))
+    again = F.col("_copies") > 1
+    totals = met.agg(F.coalesce(F.sum("_copies"), zero).cast("long").alias("rows"),
+                     F.coalesce(F.sum("_nulls"), zero).cast("long").alias("null_values"),
+                     F.coalesce(F.sum("_null_rows"), zero).cast("long").alias("null_rows"),
+                     F.coalesce(F.sum(F.when(again, F.col("_copies"))), zero).cast("long").alias("_repeated"))
+    suspects = met.filter(again).select("_digest")
+    compared = (df.select(digest(columns).alias("_digest"), F.struct(*columns).alias("_row")).join(suspects, "_digest", "left_semi")
+                .groupBy("_row").agg(F.count(F.lit(1)).alias("_n")).agg(F.count(F.lit(1)).alias("_distinct")))
+    return totals.select("rows", "null_values", "null_rows", (F.col("_repeated") - compared.scalar()).alias("duplicate_rows"))
 
 
 def profile(df: DataFrame, name: str) -> DataFrame:
@@ -453,6 +467,31 @@ def dataset_quality(spark: SparkSession, datasets: dict[str, DataFrame | None])
     return union_all(parts)
 
 
+QUALITY_STATE = T.StructType([
+    T.StructField("dataset", T.StringType()), T.StructField("dataset_exists", T.BooleanType()),
+    *[T.StructField(c, T.LongType()) for c in ("rows", "null_values", "duplicate_rows")],
+    T.StructField("status", T.StringType()), T.StructField("error", T.StringType())])
+
+
+def dataset_states(spark: SparkSession, paths: dict[str, str], error_length: int = 500) -> DataFrame:
+    """``dataset_quality`` of stored datasets with the state ERROR and the error's text for those that cannot be read.
+
+    Each dataset is measured by a job of its own, so a broken file leaves the others' rows alone.
+    """
+    rows = []
+    for name, path in paths.items():
+        if not path_exists(spark, path):
+            rows.append((name, False, 0, None, None, "MISSING", None))
+            continue
+        try:
+            got = _profiled(spark.read.parquet(path)).first()
+            rows.append((name, True, got["rows"], got["null_values"], got["duplicate_rows"],
+                         "CHECK" if got["duplicate_rows"] else "PASS", None))
+        except (PySparkException, Py4JError) as error:
+            rows.append((name, True, 0, None, None, "ERROR", str(error)[:error_length]))
+    return spark.createDataFrame(rows, QUALITY_STATE)
+
+
 def overall_quality(quality: DataFrame) -> DataFrame:
     """PASS only when every dataset passes."""
     return quality.agg(F.when(F.coalesce(F.sum((F.col("status") != "PASS").cast("int")), F.lit(0)) == 0,

@@ -76,45 +76,72 @@ def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], carr
     return plain.unionByName(sliced.select(*plain.columns))
 
 
-def exact_quantile(df: DataFrame, column: str, q: float, bits: int = 12) -> DataFrame:
-    """One row, column ``quantile``: the linearly interpolated quantile of the non-NULL values.
+# The sketch answers this grid of ranks; its rank error is a tenth of a step, and brackets leave a step on both sides.
+QUANTILE_STEPS = 1000
+QUANTILE_ACCURACY = 10 * QUANTILE_STEPS
 
-    Exact, yet no task sees all values: equal-width buckets on two levels (2**bits
-    coarse ones, each split as often again) lead to the one or two fine buckets
-    that hold the ranks needed, and only their distinct values are ranked.
+
+def exact_quantiles(df: DataFrame, column: str, qs: Sequence[float], levels: int = 2) -> DataFrame:
+    """One row (q, quantile) per q: the linearly interpolated quantile of the non-NULL values, NULL without any.
+
+    A quantile sketch brackets the ranks of every q by two values of the data; a sketch of what lies in the bracket narrows
+    it again.  What is left, a few millionths of the values, is counted by value and ranked.  All q share a scan per level
+    and one for the end.  Brackets follow ranks, not values, so outliers do not matter, and a value that repeats is one
+    counted row before it is shuffled.  Brackets only decide what is ranked; a rank outside of its bracket is an error, never a wrong value.
     """
-    values = (df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-              .groupBy("v").agg(F.count(F.lit(1)).alias("n")))
-    pos = (F.sum("n") - 1) * F.lit(float(q))
-    stats = values.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"), F.floor(pos).alias("k"),
-                                (pos - F.floor(pos)).alias("frac")).alias("s")).scalar()
-    span = F.col("_s.hi") - F.col("_s.lo")
-    top = (1 << 2 * bits) - 1
-    fine = F.when(span > 0, F.least(F.floor((F.col("v") - F.col("_s.lo")) / span * top), F.lit(top))).otherwise(F.lit(0))
-    placed = values.withColumn("_s", stats).select("v", "n", F.col("_s.k").alias("k"), F.col("_s.frac").alias("frac"),
-                                                   fine.alias("fine"))
-
-    def holding(sizes: DataFrame, bucket: str, base: Column, *within: str) -> DataFrame:
-        """Buckets that hold rank k or k+1, with the number of values below them."""
-        run = Window.partitionBy(*within).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-        return (sizes.withColumn("_start", base + F.coalesce(F.sum("n").over(run), F.lit(0)))
-                .filter((F.col("k") + 1 >= F.col("_start")) & (F.col("k") < F.col("_start") + F.col("n"))))
-
-    by_fine = (placed.groupBy("fine").agg(F.sum("n").alias("n"), F.first("k").alias("k"))
-               .withColumn("coarse", F.shiftright("fine", bits)))
-    by_coarse = by_fine.groupBy("coarse").agg(F.sum("n").alias("n"), F.first("k").alias("k"))
-    coarse = holding(by_coarse, "coarse", F.lit(0)).select("coarse", F.col("_start").alias("below"))
-    # Two coarse buckets at most, hence at most 2 * 2**bits fine ones, of which at most two hold a rank.
-    kept = holding(by_fine.join(F.broadcast(coarse), "coarse"), "fine", F.col("below"), "coarse")
-    final = placed.join(F.broadcast(kept.select("fine", F.col("_start").alias("below"))), "fine")
-    ranked = holding(final, "v", F.col("below"), "fine")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_start") + F.col("n")), F.col("v")))
-
-    found = ranked.agg(at(F.col("k")).alias("a"), at(F.col("k") + 1).alias("b"), F.max("frac").alias("frac"))
-    return found.select(F.when(F.col("frac") == 0, F.col("a"))
-                        .otherwise(F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("quantile"))
+    qs = [float(q) for q in qs]
+    values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    v, places = F.col("v"), range(len(qs))
+    grid = F.array(*[F.lit(i / QUANTILE_STEPS) for i in range(QUANTILE_STEPS + 1)])
+
+    def rank(q: float) -> Column:
+        return F.floor((F.col("s.count") - 1) * F.lit(q)).cast("long")
+
+    # State of the search, one row: the number of values, and the bracket of each q.
+    state = values.agg(F.struct(
+        F.count(F.lit(1)).alias("count"),
+        *[F.lit(float(f"{sign}inf")).alias(f"{end}{i}") for i in places for sign, end in (("-", "low"), ("", "high"))]).alias("s"))
+    for _ in range(levels):
+        placed = values.withColumn("s", state.scalar())
+        below, inside = ([test(F.col(f"s.low{i}"), F.col(f"s.high{i}")) for i in places] for test in (
+            lambda lo, hi: v < lo, lambda lo, hi: (v >= lo) & (v <= hi)))
+        met = placed.agg(F.max("s").alias("s"), *[part for i in places for part in (
+            F.count(F.when(below[i], 1)).alias(f"below{i}"), F.count(F.when(inside[i], 1)).alias(f"n{i}"),
+            F.percentile_approx(F.when(inside[i], v), grid, QUANTILE_ACCURACY).alias(f"grid{i}"))])
+        ends = []
+        for i, q in enumerate(qs):
+            step = (rank(q) - F.col(f"below{i}")) * QUANTILE_STEPS / F.greatest(F.col(f"n{i}") - 1, F.lit(1))
+            after = (rank(q) + 1 - F.col(f"below{i}")) * QUANTILE_STEPS / F.greatest(F.col(f"n{i}") - 1, F.lit(1))
+            for name, place in (("low", F.floor(step) - 1), ("high", F.ceil(after) + 1)):
+                # The first and last point of the grid are the least and greatest value of the bracket.
+                point = F.least(F.greatest(place, F.lit(0)), F.lit(QUANTILE_STEPS)).cast("int")
+                ends.append(F.get(F.col(f"grid{i}"), point).alias(f"{name}{i}"))
+        state = met.select(F.struct(F.col("s.count").alias("count"), *ends).alias("s"))
+    marked = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("i"), F.when(v >= F.col(f"s.low{i}"), v).alias("v"), (v <= F.col(f"s.high{i}")).alias("kept"),
+                 rank(q).alias("k"), F.col("s.count").alias("count")) for i, q in enumerate(qs)]))
+    # What lies below a bracket is one counted row, first in order.
+    counted = (values.withColumn("s", state.scalar()).select(marked.alias("m")).filter("m.kept")
+               .groupBy("m.i", "m.v", "m.k", "m.count").agg(F.count(F.lit(1)).alias("n")))
+    run = Window.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    ranked = counted.withColumn("start", F.coalesce(F.sum("n").over(run), F.lit(0)))
+
+    def value_at(k: Column) -> Column:
+        return F.max(F.when((F.col("start") <= k) & (k < F.col("start") + F.col("n")), F.col("v")))
+
+    ends = ranked.groupBy("i").agg(value_at(F.col("k")).alias("a"), value_at(F.col("k") + 1).alias("b"), F.max("count").alias("count"))
+    asked = df.sparkSession.createDataFrame(list(enumerate(qs)), "i int, q double")
+    position = (F.col("count") - 1) * F.col("q")
+    frac = position - F.floor(position)
+    missed = F.raise_error(F.lit("a quantile's rank lies outside of its bracket")).cast("double")
+    exact = (F.when(F.col("count").isNull(), F.lit(None).cast("double")).when(F.col("a").isNull(), missed).when(frac == 0, F.col("a"))
+             .when(F.col("b").isNull(), missed).otherwise(F.col("a") + (F.col("b") - F.col("a")) * frac))
+    return asked.join(F.broadcast(ends), "i", "left").select("q", exact.alias("quantile"))  # a row per q
+
+
+def exact_quantile(df: DataFrame, column: str, q: float) -> DataFrame:
+    """One row, column ``quantile``."""
+    return exact_quantiles(df, column, [q]).select("quantile")
 
 
 def stratified_rank(df: DataFrame, label: str, identity: str, seed: int, buckets: int = 1 << 16) -> DataFrame:

@@ -397,6 +397,14 @@ query("dataset_quality_all_columns", f"""
     UNION ALL SELECT 'audit', false, 0, NULL, NULL, 'MISSING'""")(
     lambda t: quality.dataset_quality(t.spark, {"lineitem": t.raw("lineitem"), "orders": t.raw("orders"), "audit": None}))
 
+query("dataset_states", f"""
+    SELECT 'lineitem' AS dataset, true AS dataset_exists, {big('sum(n)')} AS rows, {big('sum(n * nulls)')} AS null_values,
+           {big('sum(n - 1)')} AS duplicate_rows, CASE WHEN sum(n - 1) > 0 THEN 'CHECK' ELSE 'PASS' END AS status, CAST(NULL AS VARCHAR) AS error
+    FROM (SELECT *, {NULLS} AS nulls, count(*) AS n FROM lineitem GROUP BY ALL)
+    UNION ALL SELECT 'orders', true, count(*), 0, 0, 'PASS', NULL FROM orders
+    UNION ALL SELECT 'audit', false, 0, NULL, NULL, 'MISSING', NULL""")(
+    lambda t: quality.dataset_states(t.spark, {n: f"{t.folder}/{n}.parquet" for n in ("lineitem", "orders", "audit")}))
+
 query("row_counts", "SELECT 'orders' AS table_name, count(*) AS n_rows FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem "
       "UNION ALL SELECT 'customer', count(*) FROM customer")(
     lambda t: sources.row_counts({n: t.raw(n) for n in ("orders", "lineitem", "customer")}))
@@ -428,8 +436,7 @@ query("cancellation_anomalies", "SELECT * FROM anomalies")(lambda t: t.anomalies
 
 query("quantile", " UNION ALL ".join(
     f"SELECT {q}e0 AS q, quantile_cont(value, {q}) AS quantile FROM events" for q in (0.25, 0.5, 0.75, 0.99)))(
-    lambda t: quality.union_all([skew.exact_quantile(t.raw("events"), "value", q).select(F.lit(q).alias("q"), "quantile")
-                                 for q in (0.25, 0.5, 0.75, 0.99)]))
+    lambda t: skew.exact_quantiles(t.raw("events"), "value", (0.25, 0.5, 0.75, 0.99)))
 
 query("number_columns", f"""
     SELECT o_orderkey, o_totalprice AS cleaned, {r('o_totalprice', 0)} AS whole,

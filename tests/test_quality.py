@@ -152,6 +152,41 @@ def test_profile_and_dataset_quality(spark):
     assert q.overall_quality(got).first()[0] == "CHECK"
 
 
+@pytest.mark.parametrize("digest", [q.row_digest, lambda columns: F.struct((F.length(columns[1]) % 2).alias("weak"))])
+def test_profile_with_digests_that_collide(spark, digest):
+    rows_ = [(i % 40 if i % 40 != 7 else None, "x" * (i % 4) if i % 9 else None, float("nan") if i % 5 == 0 else -0.0 if i % 5 == 1 else 0.0)
+             for i in range(300)]
+    df = spark.createDataFrame(rows_, "a int, b string, `c d` double").repartition(5)
+    seen = {tuple("nan" if v != v else v for v in r) for r in rows_}
+    got = q._profiled(df, digest).first()
+    nulls = [sum(v is None for v in r) for r in rows_]
+    assert tuple(got) == (300, sum(nulls), sum(n > 0 for n in nulls), 300 - len(seen))
+    assert tuple(q._profiled(df.limit(0), digest).first()) == (0, 0, 0, 0)
+
+
+def test_profile_of_distinct_rows_shuffles_digests_only(spark):
+    df = spark.range(20_000).select("id", F.repeat(F.sha2(F.col("id").cast("string"), 256), 20).alias("wide"))
+    assert tuple(q._profiled(df).first()) == (20_000, 0, 0, 0)
+    plan = q._profiled(df)._jdf.queryExecution().executedPlan().toString()
+    exchanged = [line for line in plan.splitlines() if "Exchange hashpartitioning(_digest" in line]
+    assert exchanged and "wide" not in plan.split("Subquery")[0].split("Exchange hashpartitioning(_digest")[0]
+
+
+def test_unreadable_dataset_is_an_error_of_its_own(spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("good", "broken", "twice", "gone")}
+    spark.range(3).write.parquet(paths["good"])
+    spark.range(2).union(spark.range(2)).write.parquet(paths["twice"])
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"PAR1 this is no table PAR1")
+    got = q.dataset_states(spark, paths)
+    rows_ = {r.dataset: r for r in got.collect()}
+    assert {n: (r.dataset_exists, r.rows, r.null_values, r.duplicate_rows, r.status) for n, r in rows_.items()} == {
+        "good": (True, 3, 0, 0, "PASS"), "broken": (True, 0, None, None, "ERROR"), "twice": (True, 4, 0, 2, "CHECK"),
+        "gone": (False, 0, None, None, "MISSING")}
+    assert rows_["broken"].error and all(r.error is None for n, r in rows_.items() if n != "broken")
+    assert q.overall_quality(got).first()[0] == "CHECK"
+
+
 def test_model_tests_cover_marts(spark):
     mart = spark.createDataFrame([("r", None)], "route_id string, load_factor double")
     got = {r.check_name: r.status for r in q.model_tests({"mart_load_factor": mart}).collect()}

@@ -61,10 +61,47 @@ def test_heavy_keys_are_bounded_and_thinned(spark):
 def test_quantile_matches_numpy(spark, values, q):
     df = spark.createDataFrame([(None if v is None else float(v),) for v in values], "v double")
     known = [v for v in values if v is not None and v == v]
-    got = skew.exact_quantile(df, "v", q, bits=4).first()[0]
+    got = skew.exact_quantile(df, "v", q).first()[0]
     assert got == pytest.approx(np.quantile(known, q), rel=1e-12)
 
 
+def test_quantiles_share_scans_and_survive_outliers(spark):
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.normal(size=30_000), np.full(9_000, 0.25), [1e300, -1e300, 1e300]])
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(4).cache()
+    qs = (0.0, 0.25, 0.5, 0.61, 0.75, 0.99, 1.0)
+    asked = skew.exact_quantiles(df, "v", qs)
+    got = {r.q: r.quantile for r in asked.collect()}
+    for q in qs:
+        assert got[q] == pytest.approx(np.quantile(values, q), rel=1e-12)
+    # Only what lies in the narrowed brackets is counted by value: far fewer rows than values.
+    ranked = [n for n in metric_rows(asked, "HashAggregate") if n > 0]
+    assert ranked and max(ranked) < 5_000
+    # With the count, a scan for each level and one for the end, however many q there are.
+    scans = [skew.exact_quantiles(df, "v", some)._jdf.queryExecution().optimizedPlan().toString().count("InMemoryRelation")
+             for some in (qs[:1], qs)]
+    assert scans[0] == scans[1]
+    df.unpersist()
+
+
+def metric_rows(df, node):
+    """Output rows of the plan's nodes of a kind, as the plan ran."""
+    df.collect()
+    out, stack = [], [df._jdf.queryExecution().executedPlan()]
+    while stack:
+        plan = stack.pop()
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            stack.append(plan.executedPlan())
+            continue
+        if node in plan.nodeName() and plan.metrics().contains("numOutputRows"):
+            out.append(plan.metrics().apply("numOutputRows").value())
+        children = plan.children()
+        stack += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in plan.nodeName():
+            stack.append(plan.plan())
+    return out
+
+
 def test_quantile_of_nothing(spark):
     assert skew.exact_quantile(spark.createDataFrame([], "v double"), "v", 0.5).first()[0] is None
 
