@@ -183,7 +183,8 @@ def repeated_windows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     todo = contexts.withColumn("first", F.lit(0)).withColumn("last", F.lit(length))
     hits = []
     for width in CELLS:
-        verdicts = stored(settle(cells(todo, width, length)), "cells")
+        made = stored(cells(todo, width, length), "cells")  # read three times
+        verdicts = stored(settle(made), "verdicts")
         hits.append(verdicts.where("single AND repeats").select("rank", "context", "first", "last"))
         todo = contexts.join(verdicts.where("goes_on").select("rank", "context", "first", "last"), ["rank", "context"])
     cells_hit = hits[0].unionByName(hits[1]).unionByName(hits[2])
@@ -203,12 +204,14 @@ def merged(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """Per document: key, n_bytes, n_removed, n_spans and the bytes that stay (``kept``)."""
-    texts = docs.select(F.col(key).alias("doc"), F.encode(whole_text(text), "UTF-8").alias("text")).withColumn(
-        "digest", F.xxhash64("text"))
+    # A row is known by 128 bits of its id and text, never null: rows that agree in both have one outcome.
+    texts = docs.select(F.col(key).alias("key"), F.encode(whole_text(text), "UTF-8").alias("text")).withColumns({
+        "doc": F.xxhash64("key", "text"), "digest": F.xxhash64(F.lit(1), "key", "text")})
+    # Copies within one id count as places of their own, so every row takes part.
     runs = stored(repeated_windows(texts.select("doc", "digest", "text"), length), "runs")
     spans = runs.groupBy("doc", "digest").agg(F.collect_list("lo").alias("lo"), F.collect_list(F.col("lo") + F.col("n")).alias("hi"))
     spans = spans.select(F.col("doc").alias("of"), F.col("digest").alias("of_digest"), "lo", "hi")
-    cut = texts.join(spans, F.col("doc").eqNullSafe(F.col("of")) & (F.col("digest") == F.col("of_digest")), "left")
+    cut = texts.join(spans, (F.col("doc") == F.col("of")) & (F.col("digest") == F.col("of_digest")), "left")
     schema = T.StructType([T.StructField(key, docs.schema[key].dataType), T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()),
                            T.StructField("kept", T.BinaryType())])
@@ -230,4 +233,4 @@ def cut_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", length
                 [batch.column(0), *[pa.array(c, pa.int64()) for c in out[:3]], pa.array(out[3], pa.binary())],
                 [f.name for f in schema])
 
-    return cut.select("doc", "lo", "hi", "text").mapInArrow(run, schema)
+    return cut.select("key", "lo", "hi", "text").mapInArrow(run, schema)
