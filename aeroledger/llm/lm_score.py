@@ -8,24 +8,28 @@ words share the rest by hash.
 
 The corpus is encoded once, chunk by chunk, against each chunk's own vocabulary; Spark sums the counts of all words and
 hands every chunk those of its own.  Training takes ``ROUNDS`` rounds over disjoint parts of all training documents: in a
-round each task walks its chunks with stochastic gradient steps from the same weights, and its changes of the rows it
-touched (half precision is ample for steps that are averaged) are averaged, weighted by how often they were touched, in
-blocks that Spark groups.  The weights have a fixed size
+round chunks are dealt by their names to walks of about ``WALK_CHUNKS``, which take them in order with stochastic gradient
+steps from the same weights; a walk's changes of the rows it touched (half precision is ample for steps that are averaged)
+are averaged, weighted by how often they were touched, in blocks that Spark groups.  The weights have a fixed size
 (2 x 65,536 x 32 numbers), so they may be broadcast.
 
+A chunk is named by its place in the input, and sums of half-precision numbers times counts are exact in double precision,
+in whatever order they arrive: runs over the same files give the same scores.  Another division of the input into
+partitions makes other chunks, hence other walks and slightly other scores.
+
 Null counts as an empty text, which still has its end token.  Without training text every word is unseen.  Copies get
 equal scores as long as they are all training or all held out, which does not enter the score at all.
 """
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +47,7 @@ ROUNDS = 2
 BATCH = 8192
 RATE = 0.25
 BLOCKS = 64
+WALK_CHUNKS = 4
 END = b"\n"  # cannot occur in a word
 
 
@@ -52,7 +57,7 @@ def encode(docs: DataFrame) -> DataFrame:
     schema = (f"chunk bigint, docs array<{kind}>, held array<boolean>, size array<int>, ids binary, "
               "words array<binary>, hashes binary, counts array<bigint>")
 
-    def chunk_row(doc_type, docs_, held, texts):
+    def chunk_row(name, doc_type, docs_, held, texts):
         known: defaultdict[bytes, int] = defaultdict()
         known.default_factory = known.__len__
         ids, size = [], []
@@ -68,7 +73,7 @@ def encode(docs: DataFrame) -> DataFrame:
         hashes = np.array([zlib.crc32(w) for w in words], np.uint32)
         narrow = np.uint16 if len(words) <= 65536 else np.uint32
         return pa.RecordBatch.from_arrays(
-            [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([docs_], pa.list_(doc_type)), pa.array([held], pa.list_(pa.bool_())),
+            [pa.array([name], pa.int64()), pa.array([docs_], pa.list_(doc_type)), pa.array([held], pa.list_(pa.bool_())),
              pa.array([size], pa.list_(pa.int32())), pa.array([ids.astype(narrow).tobytes()], pa.binary()),
              pa.array([words], pa.list_(pa.binary())), pa.array([hashes.tobytes()], pa.binary()),
              pa.array([counts.tolist()], pa.list_(pa.int64()))], schema_names)
@@ -76,6 +81,7 @@ def encode(docs: DataFrame) -> DataFrame:
     schema_names = ["chunk", "docs", "held", "size", "ids", "words", "hashes", "counts"]
 
     def run(batches):
+        name = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, held, texts, total = [], [], [], 0
             for i in range(batch.num_rows):
@@ -85,7 +91,8 @@ def encode(docs: DataFrame) -> DataFrame:
                 texts.append(buffer.to_pybytes() if buffer is not None else b"")
                 total += len(texts[-1])
                 if total >= CHUNK_BYTES or i + 1 == batch.num_rows:
-                    yield chunk_row(batch.column(0).type, ids, held, texts)
+                    yield chunk_row(name, batch.column(0).type, ids, held, texts)
+                    name += 1
                     ids, held, texts, total = [], [], [], 0
 
     return docs.select("doc", "held", "text").mapInArrow(run, schema)
@@ -234,7 +241,9 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
                                           pa.array([touched.tobytes()], pa.binary())], ["block", "moved", "touched"])
 
     schema = "block int, moved binary, touched binary"
-    sums = chunks.select("size", "ids", "hashes", "c", "leaf", "held").mapInArrow(run, schema).groupBy("block").applyInArrow(add, schema)
+    walks = max(1, chunks.count() // WALK_CHUNKS)
+    dealt = chunks.repartition(walks, "chunk").sortWithinPartitions("chunk")
+    sums = dealt.select("size", "ids", "hashes", "c", "leaf", "held").mapInArrow(run, schema).groupBy("block").applyInArrow(add, schema)
     out = Model(model.first.copy(), model.second.copy(), model.bias_first, model.bias_second)
     for row in sums.collect():  # at most 2 x BLOCKS rows, the size of the model
         weights = (out.first, out.second)[row.block // BLOCKS]

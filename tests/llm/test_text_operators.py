@@ -195,5 +195,38 @@ def test_main_text_survives_names_and_wrappers():
     assert html_text.main_text(page) == "\n".join([want] * 4 + ["In short."])
 
 
+def test_scores_are_the_same_in_every_run(spark):
+    rows_ = [(i, prose(i, 40 + i % 50)) for i in range(400)]
+    docs = spark.createDataFrame(rows_, "doc_id bigint, text string").repartition(6, "doc_id")
+    held = F.col("doc_id") % 7 == 2
+    first, again = ({r.doc_id: r for r in lm_score.score_texts(docs, held).collect()} for _ in range(2))
+    assert first == again
+    counts = Counter(w for i, t in rows_ if i % 7 != 2 for w in [*t.split(), "\n"])
+    n, v = sum(counts.values()), len(counts)
+    for i, t in rows_:
+        tokens = [*t.split(), "\n"]
+        assert (first[i].held_out, first[i].n_tokens, first[i].n_known, first[i].train_tokens) == (i % 7 == 2, len(tokens), sum(counts[w] > 0 for w in tokens), n)
+        assert first[i].base_score == pytest.approx(sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in tokens), abs=1e-9)
+
+
+def test_repeated_bytes_with_null_and_repeated_ids(spark):
+    shared = prose(7, 80)
+    texts = [(None, "a " + shared), (None, shared + " b"), (None, "own words only, " * 3), (7, "c " + shared), (7, prose(9, 70)), (8, prose(9, 70) + " d"),
+             (None, None), (9, "c " + shared), (9, "c " + shared)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3)
+    length, raw = 40, [(i, (t or "").encode()) for i, t in texts]
+    seen = Counter(t[k:k + length] for _, t in raw for k in range(len(t) - length + 1))
+    want = []
+    for i, t in raw:
+        hit = np.zeros(len(t), bool)
+        for k in range(len(t) - length + 1):
+            if seen[t[k:k + length]] > 1:
+                hit[k:k + length] = True
+        want.append((i is None, i or 0, len(t), int(hit.sum()), bytes(np.frombuffer(t, np.uint8)[~hit])))
+    got = [(r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_removed, bytes(r.kept)) for r in suffix_dedup.cut_repeats(docs, length=length).collect()]
+    assert sorted(got) == sorted(want)
+    assert suffix_dedup.cut_repeats(docs.limit(0)).count() == 0
+
+
 def test_language_model_has_all_leaves():
     assert lm_score.LEAVES == 1024 and lm_score.FREQUENT == 512
