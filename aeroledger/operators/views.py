@@ -20,6 +20,7 @@ FLIGHT_PAGE = ("flight_id", "entity_id", "aircraft_id", "route_id", "delay_proba
 PROBABILITIES = ("delay_probability", "future_delay_probability", "model_probability")
 LIVE_COLUMNS = ("risk_level", "priority", "automation_action", "model_probability", "delay_probability")
 PROFIT_NAMES = ("profit", "route_profit", "profit_amount", "net_profit", "estimated_profit", "total_profit")
+ROUTE_PROFIT_NAMES = ("profit", "estimated_profit", "route_profit", "profitability")  # in the order the route page looks for them
 REVENUE_NAMES = ("revenue", "route_revenue", "total_revenue")
 COST_NAMES = ("operating_cost", "estimated_cost", "estimated_operating_cost", "cost", "total_cost")
 MAX_PAGE = 5000
@@ -146,7 +147,7 @@ def notifications_view(audit: DataFrame, limit: int = 1000) -> DataFrame:
 
 
 def route_profitability_view(routes: DataFrame, limit: int = 100) -> DataFrame:
-    profit = resolve_column(routes.columns, PROFIT_NAMES)
+    profit = resolve_column(routes.columns, ROUTE_PROFIT_NAMES)
     return page(routes, ([F.desc_nulls_last(profit)] if profit else []) + [F.asc("route_id")], limit)
 
 

@@ -18,7 +18,7 @@ from aeroledger.session import build_session  # noqa: E402
 HEADLINE = [
     "rotation_delay", "mart_rotation_delay", "load_factor", "delay_minutes", "cancellation_rate", "baggage_sla_daily",
     "route_revenue", "revenue_per_flight", "complaint_rate", "validate_rejects", "bronze_to_silver", "upsert_orders",
-    "dq_suite", "dup_keys", "profile", "route_profitability", "bag_cycle_sla", "route_demand_daily",
+    "dq_suite", "dup_keys", "profile_all_columns", "route_profitability", "bag_cycle_sla", "route_demand_daily",
     "cancellation_anomalies", "forecast_features", "delay_actions", "demand_alerts", "quantile", "stream_latest_state",
 ]
 

@@ -163,3 +163,11 @@ def test_alerts_of_one_route_get_messages_of_their_own(spark):
     done = n.acknowledge(n.notification_audit(outbox, outbox.select("message_id", F.lit(True).alias("delivered"),
                                                                     F.lit(None).cast("string").alias("error"))), "r", "Duty", NOW)
     assert done.filter("status = 'ACKNOWLEDGED'").count() == 1
+
+
+def test_route_page_sorts_by_the_first_profit_spelling(spark):
+    routes = spark.createDataFrame([("a", 1.0, 9.0, 5.0), ("b", 2.0, 8.0, 6.0), ("c", None, 7.0, 7.0)],
+                                   "route_id string, estimated_profit double, route_profit double, net_profit double")
+    assert [r.route_id for r in v.route_profitability_view(routes).collect()] == ["b", "a", "c"]
+    assert [r.route_id for r in v.route_profitability_view(routes.drop("estimated_profit"), 2).collect()] == ["a", "b"]
+    assert [r.route_id for r in v.route_profitability_view(routes.select("route_id", "net_profit")).collect()] == ["a", "b", "c"]
