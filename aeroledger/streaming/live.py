@@ -11,15 +11,16 @@ without harm, so a replay changes nothing.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Iterator
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from aeroledger.schemas import EVENT_TYPES
 from aeroledger.session import ENGINE_CONF
@@ -27,6 +28,8 @@ from aeroledger.sources import partitions, tables
 from aeroledger.streaming.envelope import parse_events, typed_events
 
 LEDGER, DEAD_LETTERS, MONITORING = "stream_seen_events", "events_deadletter", "stream_monitoring"
+PROGRESS = "stream_progress"
+PROGRESS_ROW = "topic string, progress_start timestamp, progress_end timestamp, lag bigint"
 
 
 def dedup(events: DataFrame, fresh_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -206,10 +209,61 @@ def start_live_tables(raw: DataFrame, root: str, checkpoint: str, run_id: str, a
             .foreachBatch(apply_batch(root, run_id, buckets)).trigger(**trigger).start())
 
 
+def lag_by_topic(progress: dict) -> dict[str, int]:
+    """Records of each topic that lay at the source beyond the end of a batch, from its progress report.
+
+    Kafka reports offsets by topic and partition; a partition without an end offset has not been read at all.  Other
+    sources know no topics and report no lag.
+    """
+    lags: dict[str, int] = {}
+    for source in progress["sources"]:
+        end, latest = ({} if v is None else json.loads(v) if isinstance(v, str) else v for v in (
+            source.get("endOffset"), source.get("latestOffset")))
+        for topic, offsets in latest.items() if isinstance(latest, dict) else ():
+            if isinstance(offsets, dict):
+                read = end.get(topic, {}) if isinstance(end, dict) else {}
+                lags[topic] = lags.get(topic, 0) + sum(max(0, last - read.get(part, 0)) for part, last in offsets.items())
+    return lags
+
+
+def record_progress(spark: SparkSession, root: str, progress: dict) -> None:
+    """Keep a batch's times and lags beside its logs; a row without a topic carries the times."""
+    start = datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00"))
+    end = start + timedelta(milliseconds=progress["durationMs"].get("triggerExecution", 0))
+    rows = [(topic, start, end, lag) for topic, lag in [(None, None), *lag_by_topic(progress).items()]]
+    spark.createDataFrame(rows, PROGRESS_ROW).coalesce(1).write.mode("overwrite").parquet(
+        f"{root}/{PROGRESS}/batch_id={progress['batchId']}")
+
+
+class ProgressLog(StreamingQueryListener):
+    """Records the progress of one running query; add it to the session's ``streams`` before or after the start."""
+
+    def __init__(self, spark: SparkSession, root: str, query: StreamingQuery):
+        self.spark, self.root, self.id = spark, root, str(query.id)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        if str(event.progress.id) == self.id:
+            record_progress(self.spark, self.root, json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def run_available(raw: DataFrame, root: str, checkpoint: str, run_id: str) -> None:
     """Process everything at the source, then stop."""
     query = start_live_tables(raw, root, checkpoint, run_id, available_now=True)
     query.awaitTermination()
+    # Spark keeps as many reports as spark.sql.streaming.numRecentProgressUpdates says; earlier batches stay without.
+    for progress in query.recentProgress:
+        told = json.loads(progress.json)
+        if tables.path_exists(raw.sparkSession, f"{root}/{MONITORING}/batch_id={told['batchId']}"):
+            record_progress(raw.sparkSession, root, told)
 
 
 def publish_dead_letters(dead: DataFrame, bootstrap: str, topic: str = "events.deadletter") -> None:
@@ -236,4 +290,14 @@ def dead_letters(spark: SparkSession, root: str) -> DataFrame:
 
 
 def monitoring(spark: SparkSession, root: str) -> DataFrame:
-    return tables.read_table(spark, f"{root}/{MONITORING}").drop("batch_id")
+    """One row per batch and topic; window times and lag are those of the stream's own reports where a batch has one."""
+    rows = tables.read_table(spark, f"{root}/{MONITORING}")
+    if not tables.path_exists(spark, f"{root}/{PROGRESS}"):
+        return rows.drop("batch_id")
+    told = tables.read_table(spark, f"{root}/{PROGRESS}")
+    times = told.filter(F.col("topic").isNull()).select("batch_id", "progress_start", "progress_end")
+    lags = told.filter(F.col("topic").isNotNull()).select("batch_id", "topic", "lag")
+    merged = rows.join(times, "batch_id", "left").join(lags, ["batch_id", "topic"], "left")
+    renewed = {"window_start": "progress_start", "window_end": "progress_end", "consumer_lag": "lag"}
+    return merged.withColumns({c: F.coalesce(new, c) for c, new in renewed.items()}).select(
+        *[c for c in rows.columns if c != "batch_id"])

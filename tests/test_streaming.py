@@ -2,11 +2,13 @@ import json
 import os
 import pathlib
 import random
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from aeroledger.operators import views
+from aeroledger.schemas import LOGS
 from aeroledger.sources import sinks, tables
 from aeroledger.streaming import envelope, live
 
@@ -147,6 +149,29 @@ def test_replayed_batch_overwrites_its_own_output(stream):
     assert live.ledger(stream.spark, stream.root).count() == 1 and stream.counts()["flights.status"] == (1, 0, 0)
 
 
+def test_lag_and_windows_come_from_the_stream(stream):
+    kafka = {"batchId": 0, "timestamp": "2024-01-01T10:00:00.000Z", "durationMs": {"triggerExecution": 1500}, "sources": [
+        {"endOffset": {"flights.status": {"0": 7, "1": 5}, "baggage.scans": {"0": 3}},
+         "latestOffset": {"flights.status": {"0": 10, "1": 5, "2": 4}, "baggage.scans": {"0": 3}}}]}
+    assert live.lag_by_topic(kafka) == {"flights.status": 7, "baggage.scans": 0}
+    as_text = {"sources": [{k: json.dumps(v) for k, v in kafka["sources"][0].items()}]}
+    assert live.lag_by_topic(as_text) == live.lag_by_topic(kafka)
+    assert live.lag_by_topic({"sources": [{"endOffset": {"logOffset": 3}, "latestOffset": None}, {"endOffset": None, "latestOffset": "4"}]}) == {}
+    stream.send(event("e1", "f1", "10:00:00", "A"))
+    query = live.start_live_tables(envelope.read_events(stream.spark, "files", stream.inbox), stream.root, stream.checkpoint, "r", available_now=True)
+    query.awaitTermination()
+    own = json.loads(query.recentProgress[0].json)
+    live.record_progress(stream.spark, stream.root, own)
+    rows = live.monitoring(stream.spark, stream.root)
+    assert rows.columns == LOGS["stream_monitoring"].fieldNames() and {r.consumer_lag for r in rows.collect()} == {None}
+    start = rows.agg(F.max(F.unix_millis("window_start"))).first()[0]
+    assert start == int(datetime.fromisoformat(own["timestamp"].replace("Z", "+00:00")).timestamp() * 1000)
+    live.record_progress(stream.spark, stream.root, kafka)   # the same batch reported by a source with topics
+    again = {r.topic: (r.consumer_lag, r.seconds) for r in live.monitoring(stream.spark, stream.root).selectExpr(
+        "topic", "consumer_lag", "unix_millis(window_end) - unix_millis(window_start) AS seconds").collect()}
+    assert again == {"flights.status": (7, 1500), "baggage.scans": (0, 1500), "bookings.events": (None, 1500)}
+
+
 def test_envelopes_round_trip_and_ids_are_stable(spark, tmp_path):
     flights = spark.sql("SELECT 'f1' AS flight_id, 'r' AS route_id, 'a' AS aircraft_id, 'BOARDING' AS status, "
                         "timestamp '2024-01-01 06:00:00.123456' AS scheduled_departure, CAST(NULL AS timestamp) AS actual_departure, 1.5D AS delay_minutes")
