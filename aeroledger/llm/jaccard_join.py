@@ -12,11 +12,15 @@ with some member of a group must share ``m`` with the group's union, so groups b
    In a few rounds, classes that agree on a min-hash are compared with the most central of them; links found so far join classes
    to groups of similar documents, and later rounds compare only across groups.
 4. Second bound: the matrix of tokens and groups, for tokens of several groups.  Each class looks up its rarest tokens
-   in other groups and opens those that have one and members of a fitting size: these are compared exactly.  Groups are connected already, so no pairs within a group are made.
+   in other groups; for groups that have one and members of a fitting size, its overlap with the union of the group's tokens
+   is counted, and those at 0.75 of its own set are opened: their fitting members are compared exactly.  Groups are
+   connected already, so no pairs within a group are made.
 5. Links of steps 3 and 4 give the components.
 
-Null and empty texts have no shingles and are linked with nothing; fewer than five words are one shingle.  Rows that
-repeat an id count as one node.  The similarity is that of hashed shingles (64 bits).
+Null and empty texts have no shingles and are linked with nothing; fewer than five words are one shingle.  Every row is a
+document of its own, known by 128 bits of id and text: rows that repeat an id with another text are linked by their own texts,
+rows that agree in both have one outcome.  Null ids are linked like others; a component's id is the least that is not null, or
+null if all are.  The similarity is that of hashed shingles (64 bits).
 """
 
 from __future__ import annotations
@@ -43,6 +47,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[[ord(c) for c in UPPER]] += 32
 IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[32, 9, 10, 11, 12, 13]] = True
+CHUNK = ("docs array<bigint>, digests array<bigint>, n array<int>, s1 array<bigint>, s2 array<bigint>, "
+         "size array<int>, tokens binary")
 
 
 def needed(n):
@@ -115,27 +121,32 @@ def in_chunks(batch: pa.RecordBatch, text: int):
         yield rows, texts
 
 
+def known_by(key: str | Column, text: str | Column) -> list[Column]:
+    """The two halves (doc, digest) of what a row is known by; never null."""
+    return [F.xxhash64(key, text).alias("doc"), F.xxhash64(F.lit(1), key, text).alias("digest")]
+
+
 def chunk_sets(docs: DataFrame) -> DataFrame:
-    """A row per chunk: documents, set sizes and digests, prefix tokens in one piece and their numbers."""
-    kind = docs.schema["doc"].dataType.simpleString()
-    schema = f"chunk string, docs array<{kind}>, n array<int>, s1 array<bigint>, s2 array<bigint>, size array<int>, tokens binary"
+    """A row per chunk: ids and what rows are known by, set sizes and digests, prefix tokens in one piece and their numbers."""
+    kind = docs.schema["key"].dataType.simpleString()
+    schema = f"chunk string, keys array<{kind}>, {CHUNK}"
 
     def run(batches):
         for batch in batches:
-            for rows, texts in in_chunks(batch, 1):
+            for rows, texts in in_chunks(batch, 3):
                 hashes, counts = shingle_sets(texts)
                 s1, s2 = sums_of(hashes, counts)
                 place = np.arange(len(hashes)) - np.repeat(np.cumsum(counts) - counts, counts)
                 taken = np.where(counts > 0, prefix_length(counts), 0)
                 prefix = hashes[place < np.repeat(taken, counts)]
-                ids = batch.column(0).take(pa.array(rows)).to_pylist()
+                known = [batch.column(c).take(pa.array(rows)) for c in range(3)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([uuid.uuid4().hex]), pa.array([ids], pa.list_(batch.column(0).type)),
+                    [pa.array([uuid.uuid4().hex]), *[pa.array([c.to_pylist()], pa.list_(c.type)) for c in known],
                      *[pa.array([list(x)], pa.list_(t)) for x, t in ((counts, pa.int32()), (s1, pa.int64()), (s2, pa.int64()),
                                                                      (taken, pa.int32()))],
-                     pa.array([prefix.tobytes()], pa.binary())], ["chunk", "docs", "n", "s1", "s2", "size", "tokens"])
+                     pa.array([prefix.tobytes()], pa.binary())], ["chunk", "keys", "docs", "digests", "n", "s1", "s2", "size", "tokens"])
 
-    return docs.select("doc", "text").mapInArrow(lean(run), schema)
+    return docs.select("key", "doc", "digest", "text").mapInArrow(lean(run), schema)
 
 
 def shared_tokens(chunks: DataFrame) -> DataFrame:
@@ -153,7 +164,7 @@ def shared_tokens(chunks: DataFrame) -> DataFrame:
                 cuts = np.flatnonzero(np.diff(bucket)) + 1
                 parts = np.split(tokens, cuts) if len(tokens) else []
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(bucket[c]) for c in (0, *cuts)][:len(parts)], pa.int32()), pa.array([chunk] * len(parts), pa.string()),
+                    [pa.array([int(bucket[c]) for c in ([0, *cuts] if len(tokens) else [])], pa.int32()), pa.array([chunk] * len(parts), pa.string()),
                      pa.array([p.tobytes() for p in parts], pa.binary())], ["bucket", "chunk", "tokens"])
 
     def meet(batches):
@@ -178,8 +189,7 @@ def shared_tokens(chunks: DataFrame) -> DataFrame:
 
 
 def survivors(chunks: DataFrame, shared: DataFrame, least) -> DataFrame:
-    """Documents with at least ``least(n)`` shared tokens: doc, n, s1, s2 and those tokens."""
-    kind = chunks.schema["docs"].dataType.elementType.simpleString()
+    """Documents with at least ``least(n)`` shared tokens: doc, digest, n, s1, s2 and those tokens."""
     told = shared.groupBy("chunk").agg(F.collect_list("tokens").alias("shared"))
 
     def run(batches):
@@ -194,19 +204,17 @@ def survivors(chunks: DataFrame, shared: DataFrame, least) -> DataFrame:
                 ends = np.cumsum(counts)
                 found = tokens[hit]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["docs"][i] for i in kept], batch.column(0).type.value_type),
-                     *[pa.array([row[c][i] for i in kept], t) for c, t in (("n", pa.int32()), ("s1", pa.int64()), ("s2", pa.int64()))],
+                    [*[pa.array([row[c][i] for i in kept], pa.int32() if c == "n" else pa.int64()) for c in ("docs", "digests", "n", "s1", "s2")],
                      pa.array([found[ends[i] - counts[i]:ends[i]].tobytes() for i in kept], pa.binary())],
-                    ["doc", "n", "s1", "s2", "tokens"])
+                    ["doc", "digest", "n", "s1", "s2", "tokens"])
 
-    joined = chunks.join(told, "chunk").select("docs", "n", "s1", "s2", "size", "tokens", "shared")
-    return joined.mapInArrow(lean(run), f"doc {kind}, n int, s1 bigint, s2 bigint, tokens binary")
+    joined = chunks.join(told, "chunk").select("docs", "digests", "n", "s1", "s2", "size", "tokens", "shared")
+    return joined.mapInArrow(lean(run), "doc bigint, digest bigint, n int, s1 bigint, s2 bigint, tokens binary")
 
 
 def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Whole sets and min-hashes of class representatives: doc, n, items (binary), keys."""
-    kind = docs.schema["doc"].dataType.simpleString()
-    wanted = docs.join(classes.select("doc", "n", "s1", "s2"), "doc").select("doc", "text", "n", "s1", "s2")
+    """Whole sets and min-hashes of classes (n, s1, s2, node; doc and digest of a member): doc (the node), n, items (binary), keys."""
+    wanted = docs.join(classes, ["doc", "digest"]).select("node", "text", "n", "s1", "s2")
 
     def run(batches):
         for batch in batches:
@@ -223,13 +231,11 @@ def full_sets(docs: DataFrame, classes: DataFrame) -> DataFrame:
                      pa.array([s.tobytes() for s in sets], pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
                     ["doc", "n", "items", "keys"])
 
-    return wanted.mapInArrow(lean(run), f"doc {kind}, n int, items binary, keys array<bigint>").dropDuplicates(["doc"])
+    return wanted.mapInArrow(lean(run), "doc bigint, n int, items binary, keys array<bigint>").dropDuplicates(["doc"])
 
 
 def set_chunks(sets: DataFrame) -> DataFrame:
-    """Whole sets in the form of ``chunk_sets``."""
-    kind = sets.schema["doc"].dataType.simpleString()
-    schema = f"chunk string, docs array<{kind}>, n array<int>, s1 array<bigint>, s2 array<bigint>, size array<int>, tokens binary"
+    """Whole sets in the form of ``chunk_sets``, without ids."""
 
     def run(batches):
         for batch in batches:
@@ -237,17 +243,16 @@ def set_chunks(sets: DataFrame) -> DataFrame:
                 at = pa.array(rows)
                 n, none = batch.column(1).take(at).to_pylist(), [0] * len(rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([uuid.uuid4().hex]), pa.array([batch.column(0).take(at).to_pylist()], pa.list_(batch.column(0).type)),
-                     pa.array([n], pa.list_(pa.int32())), *[pa.array([none], pa.list_(pa.int64()))] * 2,
+                    [pa.array([uuid.uuid4().hex]), pa.array([batch.column(0).take(at).to_pylist()], pa.list_(pa.int64())),
+                     pa.array([none], pa.list_(pa.int64())), pa.array([n], pa.list_(pa.int32())), *[pa.array([none], pa.list_(pa.int64()))] * 2,
                      pa.array([n], pa.list_(pa.int32())), pa.array([b"".join(blobs)], pa.binary())],
-                    ["chunk", "docs", "n", "s1", "s2", "size", "tokens"])
+                    ["chunk", "docs", "digests", "n", "s1", "s2", "size", "tokens"])
 
-    return sets.select("doc", "n", "items").mapInArrow(lean(run), schema)
+    return sets.select("doc", "n", "items").mapInArrow(lean(run), f"chunk string, {CHUNK}")
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b) whose sets have a similarity of at least 0.75."""
-    kind = sets.schema["doc"].dataType.simpleString()
 
     def side(name: str) -> DataFrame:
         return sets.select(F.col("doc").alias(name), F.col("items").alias(f"items_{name}"))
@@ -264,12 +269,11 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield some.filter(pa.array(keep, pa.bool_()))
 
     joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "items_a", "items_b")
-    return joined.mapInArrow(lean(run), f"a {kind}, b {kind}")
+    return joined.mapInArrow(lean(run), "a bigint, b bigint")
 
 
 def token_rows(classes: DataFrame) -> DataFrame:
     """(doc, token) of the shared prefix tokens."""
-    kind = classes.schema["doc"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
@@ -279,7 +283,7 @@ def token_rows(classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), batch.column(2).take(pa.array(rows)),
                                               pa.array(tokens)], ["doc", "n", "token"])
 
-    return classes.select("doc", "tokens", "n").mapInArrow(lean(run), f"doc {kind}, n int, token bigint")
+    return classes.select("doc", "tokens", "n").mapInArrow(lean(run), "doc bigint, n int, token bigint")
 
 
 def sql_share(n: Column, over: int, under: int) -> Column:
@@ -293,13 +297,15 @@ def across_groups(classes: DataFrame, groups: DataFrame) -> DataFrame:
     Only tokens of several groups count, those of the fewest documents first, as asking and held rows meet token by token.
     A pair of ``n`` and ``n_other`` tokens at 0.75 shares at least 3/7 of their sum, so its first shared token has that
     many left in both sets, itself included (``rest``).  The smaller set is held by the matrix where 6/7 of it are left, the larger asks
-    where 3/4 are left; a group opens where the sizes fit and enough tokens are left for its least fitting member.
+    where 3/4 are left; a group is looked at where the sizes fit and enough tokens are left for its least fitting member, and
+    opens if 3/4 of the asking set are in the union of the group's tokens.
     """
     rows = token_rows(classes).join(groups.withColumnRenamed("node", "doc"), "doc", "left").withColumn(
         "grp", F.coalesce("component", "doc")).select("doc", "n", "token", "grp")
     spread = rows.groupBy("token").agg(F.count("*").alias("df"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo != hi")
     crossing = rows.join(spread, "token").groupBy("doc", "n", "grp").agg(
         F.sort_array(F.collect_list(F.struct("df", "token"))).alias("ranked"))
+    crossing = stored(crossing, "crossing")
     n, rest = F.col("n"), F.col("rest")
     rare = crossing.select("doc", "n", "grp", F.size("ranked").alias("c"), F.posexplode("ranked").alias("place", "t")).select(
         "doc", "n", "grp", F.col("t.token").alias("token"), (F.col("c") - F.col("place")).alias("rest"))
@@ -315,11 +321,26 @@ def across_groups(classes: DataFrame, groups: DataFrame) -> DataFrame:
     fits = (F.col("other") != F.col("grp")) & (F.col("least") <= n) & (4 * F.col("most") >= 3 * n)
     opened = rare.join(matrix, "token").where(fits & enough(F.greatest(F.col("least"), sql_share(n, 3, 4))))
     opened = stored(opened.select("doc", "n", "rest", "token", "other").distinct(), "opened")
+    opened = opened.join(overlapping(opened.select("doc", "n", "other").distinct(), crossing), ["doc", "other"])
     pairs = opened.join(held, ["token", "other"]).where(
         (F.col("n_other") <= n) & (4 * F.col("n_other") >= 3 * n) & enough(F.col("n_other")))
     return pairs.select(F.greatest("doc", "b").alias("a"), F.least("doc", "b").alias("b")).distinct()
 
 
+def overlapping(asked: DataFrame, crossing: DataFrame) -> DataFrame:
+    """(doc, other) of ``asked`` (doc, n, other) where group ``other`` has three quarters of the tokens of ``doc``.
+
+    Every token that two groups share is in ``crossing``, so the overlap with a group's union of tokens is counted exactly.
+    """
+    wanted = asked.select("other").distinct()
+    union = crossing.join(wanted, F.col("grp") == F.col("other"), "left_semi").select(
+        F.col("grp").alias("other"), F.explode("ranked.token").alias("token")).distinct()
+    sought = asked.join(crossing.select("doc", F.col("ranked.token").alias("tokens")), "doc").select(
+        "doc", "n", "other", F.explode("tokens").alias("token"))
+    return sought.join(union, ["other", "token"]).groupBy("doc", "n", "other").count().where(
+        4 * F.col("count") >= 3 * F.col("n")).select("doc", "other")
+
+
 def central(near: DataFrame) -> DataFrame:
     """(doc, weight): how many documents have an average shingle of each; the original of many near copies stands out."""
     rows = token_rows(near)
@@ -329,28 +350,31 @@ def central(near: DataFrame) -> DataFrame:
 
 def alike(sets: DataFrame, groups: DataFrame | None, k: int) -> DataFrame:
     """Pairs of a document and the most central one with the same min-hash, for the ``k``-th hashes, across groups."""
-    rows = sets.select("doc", "weight", F.explode(F.slice("keys", KEYS_A_ROUND * k + 1, KEYS_A_ROUND)).alias("k"))
+    rows = sets.select("doc", "weight", "s1", "s2", F.explode(F.slice("keys", KEYS_A_ROUND * k + 1, KEYS_A_ROUND)).alias("k"))
     if groups is not None:
         rows = rows.join(groups.withColumnRenamed("node", "doc"), "doc", "left")
     else:
         rows = rows.withColumn("component", F.lit(None).cast(rows.schema["doc"].dataType))
     rows = rows.withColumn("grp", F.coalesce("component", "doc"))
-    lead = rows.groupBy("k").agg(F.max(F.struct("weight", "doc", "grp")).alias("l"), F.min("grp").alias("lo"),
+    lead = rows.groupBy("k").agg(F.max(F.struct("weight", "s1", "s2", "doc", "grp")).alias("l"), F.min("grp").alias("lo"),
                                  F.max("grp").alias("hi")).where("lo != hi").drop("lo", "hi")
     return rows.join(lead, "k").where("grp != l.grp").select(F.col("doc").alias("a"), F.col("l.doc").alias("b")).distinct()
 
 
-def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: key, n_shingles, component_id (least id reachable by links) and n_links of its class."""
-    texts = docs.select(F.col(key).alias("doc"), F.encode(whole_text(text), "UTF-8").alias("text"))
+def members(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Per row: key, doc, digest, n, links, and ``first``: (no_key, key, doc, digest) of the component's first row, null without shingles."""
+    texts = docs.select(F.col(key).alias("key"), F.encode(whole_text(text), "UTF-8").alias("text"))
+    texts = texts.select("key", *known_by("key", "text"), "text")
     chunks = stored(chunk_sets(texts), "chunks")
     shared = stored(shared_tokens(chunks), "shared")
     near = survivors(chunks, shared, least_shared)
-    classes = stored(near.groupBy("n", "s1", "s2").agg(F.min("doc").alias("doc")).where("doc IS NOT NULL"), "classes")
+    classes = near.groupBy("n", "s1", "s2").agg(F.min(F.struct("doc", "digest")).alias("m"))
+    classes = stored(classes.select("n", "s1", "s2", "m.*", F.monotonically_increasing_id().alias("node")), "classes")
     sets = stored(full_sets(texts, classes), "sets")
     whole = stored(set_chunks(sets), "whole")
     near = stored(survivors(whole, shared_tokens(whole), needed), "near")
-    sets = stored(sets.join(central(near), "doc"), "sets")
+    sums = classes.select(F.col("node").alias("doc"), "s1", "s2")
+    sets = stored(sets.join(central(near), "doc").join(sums, "doc"), "sets")
 
     links, groups = None, None
     for k in range(MIN_HASHES):
@@ -360,22 +384,36 @@ def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text")
     links = links.unionByName(stored(verified(across_groups(near, groups), sets), "links"))
     found = components(links)
     degree = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).groupBy("node").agg(
-        F.count("*").alias("n_links"))
+        F.count("*").alias("links"))
+    linked = classes.join(found, "node").join(degree, "node", "left").select("n", "s1", "s2", "component", "links")
+
+    everyone = chunks.select(F.explode(F.arrays_zip("keys", "docs", "digests", "n", "s1", "s2")).alias("d")).select(
+        F.col("d.keys").alias("key"), F.col("d.docs").alias("doc"), F.col("d.digests").alias("digest"), "d.n", "d.s1", "d.s2")
+    place = F.struct(F.col("key").isNull().alias("no_key"), "key", "doc", "digest")
+    of_class = everyone.where("n > 0").groupBy("n", "s1", "s2").agg(F.min(place).alias("own"))
+    of_class = stored(of_class.join(linked, ["n", "s1", "s2"], "left"), "components")
+    firsts = of_class.where("component IS NOT NULL").groupBy("component").agg(F.min("own").alias("first"))
+    of_class = of_class.join(firsts, "component", "left").select("n", "s1", "s2", F.coalesce("first", "own").alias("first"), "links")
+    return everyone.join(of_class, ["n", "s1", "s2"], "left").select("key", "doc", "digest", "n", "first", "links")
 
-    everyone = chunks.select(F.explode(F.arrays_zip("docs", "n", "s1", "s2")).alias("d")).select(
-        F.col("d.docs").alias("doc"), "d.n", "d.s1", "d.s2")
-    of_class = everyone.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("doc").alias("node"))
-    of_class = of_class.join(found, "node", "left").join(degree, "node", "left").select(
-        "n", "s1", "s2", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("links"))
-    of_class = stored(of_class, "components")
-    return everyone.join(of_class, ["n", "s1", "s2"], "left").select(
-        F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"),
-        F.coalesce("component", "doc").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+def similar_components(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: key, n_shingles, component_id (least id reachable by links) and n_links of its class."""
+    return members(docs, key, text).select(
+        F.col("key").alias(key), F.col("n").cast("long").alias("n_shingles"),
+        F.coalesce("first.key", "key").alias("component_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents of ``docs`` with the least id of their component, all columns."""
-    (ident,) = fresh(docs, "kept_id")
-    found = similar_components(docs, key, text).where(F.col("component_id").eqNullSafe(F.col(key))).select(
-        F.col(key).alias(ident)).distinct()
-    return docs.join(found, F.col(key).eqNullSafe(F.col(ident)), "left_semi")
+    """One document of each component, that with the least id, all columns; all documents without shingles.
+
+    Of several rows with the least id (or of rows that all lack one) one text stays; rows that agree in id and text are one document.
+    """
+    one, two = fresh(docs, "known", "known_digest")
+    stay = members(docs, key, text).where(
+        (F.col("n") == 0) | ((F.col("first.doc") == F.col("doc")) & (F.col("first.digest") == F.col("digest"))))
+    stay = stay.select(F.col("doc").alias(one), F.col("digest").alias(two))
+    first, second = known_by(F.col(key), F.encode(whole_text(text), "UTF-8"))
+    marked = docs.withColumns({f"{one}_of": first, f"{two}_of": second})
+    kept = marked.join(stay, (F.col(f"{one}_of") == F.col(one)) & (F.col(f"{two}_of") == F.col(two)), "left_semi")
+    return kept.drop(f"{one}_of", f"{two}_of")

@@ -230,3 +230,27 @@ def test_repeated_bytes_with_null_and_repeated_ids(spark):
 
 def test_language_model_has_all_leaves():
     assert lm_score.LEAVES == 1024 and lm_score.FREQUENT == 512
+
+
+def test_jaccard_with_null_and_repeated_ids(spark):
+    a, b, c, d = (prose(s, 60) for s in (21, 22, 23, 24))
+    texts = [(None, a), (None, a + " x"), (None, d), (8, prose(25, 50)), (8, b), (10, b + " y"), (12, a + " z"), (14, c), (None, c + " w"),
+             (None, d + " v"), (None, None), (16, None), (18, ""), (14, c), (20, "two words"), (21, "Two Words")]
+    docs = spark.createDataFrame([(i, t, "k") for i, t in texts], "doc_id bigint, text string, known string").repartition(3)
+    sets = [shingles(t) for _, t in texts]
+    label = list(range(len(texts)))
+    for _ in texts:
+        for i, x in enumerate(sets):
+            for j, y in enumerate(sets):
+                if x and 100 * len(x & y) >= 75 * len(x | y):
+                    label[i] = label[j] = min(label[i], label[j])
+    least = {m: min((texts[i][0] for i in range(len(texts)) if label[i] == m and texts[i][0] is not None), default=None) for m in set(label)}
+    want = Counter((i, len(s), least[m]) for (i, _), s, m in zip(texts, sets, label))
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.similar_components(docs).collect()) == want
+    kept = jaccard_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    groups = Counter(m for m, s in zip(label, sets) if s)
+    assert sum(bool(shingles(r.text)) for r in kept.dropDuplicates().collect()) == len(groups)
+    assert sum(not shingles(r.text) for r in kept.collect()) == 3
+    for odd in (docs.limit(0), docs.where("text IS NULL")):
+        assert jaccard_join.similar_components(odd).count() == jaccard_join.one_of_each(odd).count() == odd.count()
