@@ -254,3 +254,17 @@ def test_jaccard_with_null_and_repeated_ids(spark):
     assert sum(not shingles(r.text) for r in kept.collect()) == 3
     for odd in (docs.limit(0), docs.where("text IS NULL")):
         assert jaccard_join.similar_components(odd).count() == jaccard_join.one_of_each(odd).count() == odd.count()
+
+
+def test_token_group_matrix_alone_finds_every_link(docs, rows, monkeypatch):
+    by_min_hash = jaccard_join.alike
+    monkeypatch.setattr(jaccard_join, "alike", lambda *a: by_min_hash(*a).where(F.lit(False)))
+    sets = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
+    label = {i: i for i, _ in sets}
+    for _ in sets:
+        for i, a in sets:
+            for j, b in sets:
+                if a and 100 * len(a & b) >= 75 * len(a | b):
+                    label[i] = label[j] = min(label[i], label[j])
+    got = jaccard_join.similar_components(docs)
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted((i, len(s), label[i]) for i, s in sets)
