@@ -8,9 +8,12 @@ stay when nothing is left without them.  Every paragraph then passes points to i
 1, one per comma and up to 3 for its length, in full to the parent, half to its parent and ever less above.  A container's
 points are discounted by the share of its text that lies in links.  The best container is kept, with siblings that
 score at least a fifth of it, are plain paragraphs, headings and lists with few links, or hold paragraphs with few links.
+Further up, siblings of its ancestors join it where they score at least that fifth and hold few links: an article may be
+cut over several wrappers.  Lists and sections that are mostly links go, but not
+within an article or main element (its sources stay), and tables only where all of their text is linked.
 
 Within a block white space becomes one space; blocks are trimmed and joined by line feeds in page order.  Null or empty
-html, or a page without text, gives an empty text.  Pages are independent of each other; copies give equal texts.
+html, or a page without text, gives an empty text.  A comment that is never closed swallows the rest of the page.  Pages are independent of each other; copies give equal texts.
 """
 
 from __future__ import annotations
@@ -50,14 +53,16 @@ PARAGRAPHS = frozenset("p pre blockquote td dd li figcaption".split())
 PLAIN = frozenset("p pre blockquote h1 h2 h3 h4 h5 h6 ul ol dl table figure".split())
 MAIN_TAGS = frozenset("article main".split())
 MAIN_BONUS = 25.0
+REACH = 64  # ancestors that a paragraph passes points to; the last gets 1/192
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "apart", "soft", "talk", "main", "mains", "score", "letters", "linked")
+    __slots__ = ("tag", "parent", "depth", "children", "apart", "soft", "talk", "main", "mains", "score", "letters", "linked")
 
     def __init__(self, tag: str, parent: "Node | None", apart: bool = False, main: bool = False, soft: bool = False,
                  talk: bool = False):
         self.tag, self.parent, self.apart, self.main, self.soft, self.talk = tag, parent, apart or soft, main, soft and not apart, talk
+        self.depth = parent.depth + 1 if parent else 0
         self.mains = 0
         self.children: list[Node | str] = []
         self.score, self.letters, self.linked = 0.0, 0, 0
@@ -87,15 +92,25 @@ class TreeBuilder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.open: dict[str, list[Node]] = {}  # open elements of each tag; "" has all that start a block
+
+    def leave_for(self, node: Node) -> None:
+        """End open elements until ``node`` is the innermost."""
+        while self.at is not node:
+            self.open[self.at.tag].pop()
+            if self.at.tag in BLOCKS:
+                self.open[""].pop()
+            self.at = self.at.parent
+
+    def innermost(self, tags: tuple[str, ...]) -> Node:
+        """The innermost open element of ``tags``, else the root."""
+        return max((self.open[t][-1] for t in tags if self.open.get(t)), key=lambda n: n.depth, default=self.root)
 
     def close_to(self, tags: tuple[str, ...], stop: tuple[str, ...]) -> None:
         """End the innermost open element of ``tags``, if no element of ``stop`` lies between."""
-        node = self.at
-        while node.parent is not None and node.tag not in stop:
-            if node.tag in tags:
-                self.at = node.parent
-                return
-            node = node.parent
+        node = self.innermost(tags)
+        if node.depth > self.innermost(stop).depth:
+            self.leave_for(node.parent)
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body") and (tag == "html" or any(isinstance(c, Node) and c.tag == "body" for c in self.root.children)):
@@ -109,9 +124,9 @@ class TreeBuilder(HTMLParser):
                 if self.at is before:
                     break
         if tag[0] == "h" and tag[1:].isdigit() and self.at.tag[0] == "h" and self.at.tag[1:].isdigit():
-            self.at = self.at.parent
+            self.leave_for(self.at.parent)
         if tag == "body":
-            self.at = self.root
+            self.leave_for(self.root)
         if tag in VOID:
             self.at.children.append(Node(tag, self.at))
             return
@@ -121,6 +136,9 @@ class TreeBuilder(HTMLParser):
         node = Node(tag, self.at, tag in UNSEEN or is_apart(tag, values), main or inside, soft, talk)
         self.at.children.append(node)
         self.at = node
+        self.open.setdefault(tag, []).append(node)
+        if tag in BLOCKS:
+            self.open.setdefault("", []).append(node)
 
     def handle_endtag(self, tag):
         if tag in ("html", "body", "br"):
@@ -128,15 +146,9 @@ class TreeBuilder(HTMLParser):
         if tag == "p":
             self.close_to(("p",), ("td", "th", "table", "button"))
             return
-        node = self.at
-        inline = tag not in BLOCKS
-        while node.parent is not None:
-            if node.tag == tag:
-                self.at = node.parent
-                return
-            if inline and node.tag in BLOCKS:
-                return
-            node = node.parent
+        node = self.innermost((tag,))
+        if node is not self.root and (tag in BLOCKS or node.depth > self.innermost(("",)).depth):
+            self.leave_for(node.parent)
 
     def handle_data(self, data):
         self.at.children.append(data)
@@ -145,6 +157,8 @@ class TreeBuilder(HTMLParser):
 def parse(html: str) -> Node:
     builder = TreeBuilder()
     builder.feed(html)
+    if builder.rawdata.startswith("<!--"):  # a comment that never ends swallows the rest
+        builder.rawdata = ""
     builder.close()
     return builder.root
 
@@ -224,7 +238,7 @@ def score(nodes: list[Node]) -> dict[int, Node]:
         points = (1 + text.count(",") + min(len(text) / 100, 3.0)) * (1 - link_density(node))
         share, up = 1.0, start
         level = 0
-        while up is not None:
+        while up is not None and level < REACH:
             up.score += points * share
             scored[id(up)] = up
             level += 1
@@ -266,7 +280,10 @@ def blocks(node: Node) -> list[str]:
 
 
 def links_only(node: Node) -> bool:
-    return node.tag in ("ul", "ol", "div", "section", "table") and link_density(node) > 0.5
+    if node.main:
+        return False
+    return (node.tag in ("ul", "ol", "div", "section") and link_density(node) > 0.5) or (
+        node.tag == "table" and 0 < node.letters == node.linked)
 
 
 def kept_parts(root: Node) -> list[Node]:
@@ -305,7 +322,17 @@ def kept_parts(root: Node) -> list[Node]:
             return node.main and value(node) >= least
         return value(node) >= least or ((node.tag in PLAIN or node.score > 0) and link_density(node) < 0.25)
 
-    return [c for c in best.parent.children if stays(c)]
+    parts = [c for c in best.parent.children if stays(c)]
+    if best.main:
+        return parts
+    up = best.parent
+    while up.parent is not None and up.tag != "body":
+        kin = [c for c in up.parent.children if c is up or (
+            isinstance(c, Node) and not c.apart and value(c) >= least and link_density(c) < 0.25)]
+        at = next(i for i, c in enumerate(kin) if c is up)
+        parts = kin[:at] + parts + kin[at + 1:]
+        up = up.parent
+    return parts
 
 
 def main_text(html: str) -> str:
@@ -322,7 +349,7 @@ def main_text(html: str) -> str:
 
 
 def extract(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """Per page: key, text, n_chars, and the columns of ``pages`` but the html."""
+    """Per page: key, text, n_chars, and the columns of ``pages`` but the html and what is called text or n_chars."""
     keep = [c for c in pages.columns if c not in (html, "text", "n_chars")]
     schema = T.StructType([*[pages.schema[c] for c in keep], T.StructField("text", T.StringType()),
                            T.StructField("n_chars", T.LongType())])

@@ -268,3 +268,28 @@ def test_token_group_matrix_alone_finds_every_link(docs, rows, monkeypatch):
                     label[i] = label[j] = min(label[i], label[j])
     got = jaccard_join.similar_components(docs)
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted((i, len(s), label[i]) for i, s in sets)
+
+
+def test_main_text_keeps_sources_tables_and_far_sections():
+    story = "<p>The first paragraph of the story, with commas, and words.</p><p>The second one, a bit longer, ends it.</p>"
+    want = "The first paragraph of the story, with commas, and words.\nThe second one, a bit longer, ends it."
+    sources = "<ul><li><a href=a>Source one</a></li><li><a href=b>Source two</a></li></ul>"
+    assert html_text.main_text(f"<body><article>{story}{sources}</article></body>") == f"{want}\nSource one\nSource two"
+    table = "<table><tr><td><a href=a>A long linked name</a></td><td>12</td></tr><tr><td><a href=b>Another long name</a></td><td>7</td></tr></table>"
+    for box in ("article", "div"):
+        assert html_text.main_text(f"<body><{box}>{story}{table}</{box}></body>") == f"{want}\nA long linked name\n12\nAnother long name\n7"
+    menu = "<div><ul><li><a href=a>Home</a></li><li><a href=b>Away</a></li></ul></div>"
+    page = f"<body>{menu}<div><div>{story}</div><div>{story}</div></div><div><div>{story}</div></div>{menu}</body>"
+    assert html_text.main_text(page) == "\n".join([want] * 3)
+    assert html_text.main_text(f"<body><article>{story}</article><!-- never closed <p>more</body>") == want
+    assert html_text.main_text(f'<body><script>var a = "<!--"</script><article>{story}</article></body>') == want
+
+
+def test_main_text_of_deep_pages_takes_linear_time():
+    import time
+
+    start = time.perf_counter()
+    assert html_text.main_text("<div>" * 20000 + "<p>Deep text, here." + "</div>" * 20000) == "Deep text, here."
+    assert len(html_text.main_text("<div>word " * 20000)) == 5 * 20000 - 1
+    assert html_text.main_text("<p><button>" + "<div>" * 20000 + "x</p>") is not None
+    assert time.perf_counter() - start < 20
