@@ -254,15 +254,19 @@ def decode(encoded: DataFrame, model_path: str, key: str = "doc_id", ids: str =
 
 
 def encoding_digests(docs: DataFrame, model_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: n_tokens, digests of ids and of the decoded text, and whether the spans tile the text's bytes."""
+    """Per document: n_tokens, digests of ids, of the decoded text and of the spans, and whether these tile the text's bytes.
+
+    ``spans_sha256`` is over all first bytes, then all ends, as little-endian 64-bit integers.
+    """
     def build():
         encoder = SpanEncoder(model_path)
 
         def digests(value: str, e: Encoded, back: str):
             tiled = not len(e.ids) or bool(e.starts[0] == 0 and (e.starts[1:] == e.ends[:-1]).all()
                                            and e.ends[-1] == len(value.encode()))
+            spans = hashlib.sha256(e.starts.astype("<i8").tobytes() + e.ends.astype("<i8").tobytes()).hexdigest()
             return (len(e.ids), hashlib.sha256(e.joined.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(),
-                    tiled)
+                    spans, tiled)
 
         def step(texts: list[str]):
             found = encoder.encode_all(texts)
@@ -272,4 +276,5 @@ def encoding_digests(docs: DataFrame, model_path: str, key: str = "doc_id", text
 
     return _map(docs, key, text, [
         T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-        T.StructField("decoded_sha256", T.StringType()), T.StructField("spans_tile", T.BooleanType())], build)
+        T.StructField("decoded_sha256", T.StringType()), T.StructField("spans_sha256", T.StringType()),
+        T.StructField("spans_tile", T.BooleanType())], build)

@@ -293,3 +293,16 @@ def test_main_text_of_deep_pages_takes_linear_time():
     assert len(html_text.main_text("<div>word " * 20000)) == 5 * 20000 - 1
     assert html_text.main_text("<p><button>" + "<div>" * 20000 + "x</p>") is not None
     assert time.perf_counter() - start < 20
+
+
+def test_recorded_alignment_equals_the_running_sum(docs):
+    encoder = sentencepiece_spans.SpanEncoder(piece_model())
+    found = {(r.doc_id, r.spans_sha256) for r in sentencepiece_spans.encoding_digests(docs, piece_model()).collect()}
+    assert len(found) == 15
+    for doc_id, text in [(r.doc_id, r.text or "") for r in docs.collect()]:
+        e = encoder(text)
+        if len(e.ids):
+            recorded = encoder.aligned(text, e.ids, e.joined)
+            assert recorded.starts.tolist() == e.starts.tolist() and recorded.ends.tolist() == e.ends.tolist()
+        spans = b"".join(int(x).to_bytes(8, "little") for x in [*e.starts.tolist(), *e.ends.tolist()])
+        assert (doc_id, hashlib.sha256(spans).hexdigest()) in found
