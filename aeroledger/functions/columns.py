@@ -48,11 +48,6 @@ def prefer_columns(df: DataFrame, preferred: Sequence[str]) -> DataFrame:
     return df.select(*kept) if kept else df
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition on ``keys`` in which NULL equals NULL."""
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 # --- numbers ------------------------------------------------------------------------------------
 
 def numeric(c: ColumnLike, default: float | None = 0.0) -> Column:

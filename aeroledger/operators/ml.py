@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from aeroledger.functions.columns import (
     flag, numeric, ratio, require_columns, right_closed_bins, round_to)
 from aeroledger.operators.analytics import chronological_rows
-from aeroledger.operators.skew import HEAVY_ROWS, stratified_rank, with_sequence
+from aeroledger.operators.skew import SLICE_ROWS, stratified_rank, with_sequence
 from aeroledger.session import checkpointed
 
 DELAY_FEATURES = ("previous_flight_delay", "previous_flight_delayed", "previous_departure_hour",
@@ -27,7 +27,7 @@ HISTORY = 14
 
 # --- delay risk ---------------------------------------------------------------------------------
 
-def delay_features(rotation: DataFrame, leak_free: bool = True, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def delay_features(rotation: DataFrame, leak_free: bool = True, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Rotation rows that have an earlier leg, with target ``future_delay`` and the eight features.
 
     ``previous_cascade_indicator`` is the cascade flag of the earlier leg, taken
@@ -44,7 +44,7 @@ def delay_features(rotation: DataFrame, leak_free: bool = True, heavy_rows: int
         cascade = F.col("prev_is_cascade_delay")
     else:
         rows = with_sequence(rotation, ["aircraft_id", "flight_date"], ["scheduled_departure", "flight_id"],
-                             ["is_cascade_delay"], prevs=["_before"], heavy_rows=heavy_rows).drop("_seq")
+                             ["is_cascade_delay"], prevs=["_before"], slice_rows=slice_rows).drop("_seq")
         cascade = F.col("_before.is_cascade_delay")
     earlier = numeric("prev_delay_minutes")
     return (rows.filter(F.col("prev_flight_id").isNotNull()).withColumns({

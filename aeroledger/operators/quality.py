@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from aeroledger.functions.columns import boundaries_crossed, count_when, ratio
-from aeroledger.operators.skew import HEAVY_ROWS, with_sequence
+from aeroledger.operators.skew import SLICE_ROWS, with_sequence
 from aeroledger.schemas import FLIGHT_STATUSES
 from aeroledger.sources.tables import path_exists
 
@@ -32,7 +32,7 @@ def add_audit_columns(df: DataFrame, source_file: str, batch_id: str, ingested_a
 
 
 def flag_rejects(df: DataFrame, pk: Sequence[str], not_null: Sequence[str], order: Sequence[str],
-                 heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                 slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Adds ``_reject_reason``: key NULL, then each NULL business column, then repeated key ('' when clean).
 
     Of rows sharing a key the first by ``order`` is kept (NULL keys equal each
@@ -42,7 +42,7 @@ def flag_rejects(df: DataFrame, pk: Sequence[str], not_null: Sequence[str], orde
     pieces = [F.when(any_null, F.lit("pk_null;"))]
     pieces += [F.when(F.col(c).isNull(), F.lit(f"{c}_null;")) for c in not_null if c in df.columns]
     pieces.append(F.when(F.col("_copy") > 1, F.lit("duplicate_pk;")))
-    numbered = with_sequence(df, pk, order, seq="_copy", heavy_rows=heavy_rows)
+    numbered = with_sequence(df, pk, order, seq="_copy", slice_rows=slice_rows)
     return numbered.withColumn(REASON, F.concat_ws("", *pieces)).drop("_copy")
 
 
@@ -54,8 +54,8 @@ def split_rejects(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def validate_and_split(df: DataFrame, pk: Sequence[str], not_null: Sequence[str], order: Sequence[str],
-                       heavy_rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame]:
-    return split_rejects(flag_rejects(df, pk, not_null, order, heavy_rows))
+                       slice_rows: int = SLICE_ROWS) -> tuple[DataFrame, DataFrame]:
+    return split_rejects(flag_rejects(df, pk, not_null, order, slice_rows))
 
 
 @dataclass(frozen=True)
@@ -138,7 +138,7 @@ ENTITY_RULES = {
 
 
 def bronze_to_silver(raw: DataFrame, rules: EntityRules, parents: dict[str, DataFrame], order: Sequence[str],
-                     heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                     slice_rows: int = SLICE_ROWS) -> DataFrame:
     """All rows of an entity with ``_reject_reason`` ('' when valid).
 
     Missing references and failed business rules come first; only rows that
@@ -153,7 +153,7 @@ def bronze_to_silver(raw: DataFrame, rules: EntityRules, parents: dict[str, Data
         return marked
     passed = marked.filter(F.col(REASON) == "").drop(REASON)
     failed = marked.filter(F.col(REASON) != "")
-    return flag_rejects(passed, rules.pk, rules.not_null, order, heavy_rows).unionByName(failed)
+    return flag_rejects(passed, rules.pk, rules.not_null, order, slice_rows).unionByName(failed)
 
 
 def derive_cancellations(flights: DataFrame) -> DataFrame:

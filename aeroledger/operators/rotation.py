@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aeroledger.functions.columns import count_when, exact_avg, exact_sum, flag, minutes_between, round_to
-from aeroledger.operators.skew import HEAVY_ROWS, with_sequence
+from aeroledger.operators.skew import SLICE_ROWS, with_sequence
 
 CARRIED = ("flight_id", "scheduled_departure", "actual_departure", "delay_minutes")
 
 
 def rotation_delay_propagation(flights: DataFrame, history: bool = False,
-                               heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                               slice_rows: int = SLICE_ROWS) -> DataFrame:
     """One row per flight with its place in the aircraft's day and the delay inherited from the leg before.
 
     A missing delay counts as zero; cancelled legs stay in the rotation.  The
@@ -26,7 +26,7 @@ def rotation_delay_propagation(flights: DataFrame, history: bool = False,
         F.coalesce(F.col("delay_minutes").cast("double"), F.lit(0.0)).alias("delay_minutes"))
     legs = with_sequence(legs, ["aircraft_id", "flight_date"], ["scheduled_departure", "flight_id"], CARRIED,
                          seq="rotation_sequence", prevs=["_leg", "_leg2"] if history else ["_leg"],
-                         heavy_rows=heavy_rows)
+                         slice_rows=slice_rows)
     late = F.col("delay_minutes") > 0
     inherited = F.col("_leg.delay_minutes") > 0
     cascade = late & inherited

@@ -7,73 +7,80 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aeroledger.functions.columns import null_safe_on
+# Rows of one key that one slice holds on average, while a table has at most MAX_BOUNDS times as many.
+SLICE_ROWS = 1 << 17
+# A larger table gets longer slices instead of more, so the bounds may always be broadcast.
+MAX_BOUNDS = 1 << 14
 
-# A window group above this many rows is worth splitting over tasks.
-HEAVY_ROWS = 2_000_000
-# Upper bound on the keys treated as heavy, hence on what is broadcast.
-MAX_HEAVY_KEYS = 10_000
 
+def slice_bounds(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """One row per key that has bounds: the key and ``_bounds``, sorted values of ``order`` (structs) that open slices.
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], identity: Sequence[str | Column],
-               heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """Keys whose groups hold more than about ``heavy_rows`` rows, largest first.
-
-    At most ``MAX_HEAVY_KEYS`` rows come back, so the result may be broadcast; a
-    group left out is no larger than 1/MAX_HEAVY_KEYS of the table.  Large limits
-    are estimated from a thin slice of row hashes.  The choice only steers the
-    physical route of a row, never the result, and it depends on row content
-    alone, so every evaluation picks the same keys.
+    One row in ``slice_rows``, chosen by the hash of its key and order, opens a slice of its key.  So bounds fall on every
+    key in proportion to its rows, without a list of large keys: a key of a few rows hardly ever has one, a key of a
+    third of the table has a third of them.  There are about ``MAX_BOUNDS`` at most, whatever the size of the table.
     """
-    thinning = max(1, heavy_rows // 10_000)
-    probe = df.select(*keys, F.xxhash64(*identity).alias("_h"))
-    if thinning > 1:
-        probe = probe.filter(F.pmod("_h", F.lit(thinning)) == 0)
-    return (probe.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") > heavy_rows // thinning)
-            .orderBy(F.desc("_n"), *keys).limit(MAX_HEAVY_KEYS).select(*keys))
+    thin = df.agg(F.greatest(F.lit(slice_rows), F.ceil(F.count(F.lit(1)) / MAX_BOUNDS)).alias("thin")).scalar()
+    opens = df.select(*keys, *[c for c in order if c not in keys]).filter(F.pmod(F.xxhash64(*keys, *order), thin) == 0)
+    return opens.groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct(*order))).alias("_bounds"))
+
+
+def slice_of(order: Sequence[Column]) -> Column:
+    """Number of ``_bounds`` at or before a row, by binary search; NULL for a key without bounds."""
+    steps = F.array(*[F.lit(1 << i) for i in range(MAX_BOUNDS.bit_length() + 1, -1, -1)])  # up to four times MAX_BOUNDS
+    here, bounds = F.struct(*order), F.col("_bounds")
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when((at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) <= here), at + step).otherwise(at)
+
+    return F.when(bounds.isNotNull(), F.reduce(steps, F.lit(0), further))
 
 
 def with_sequence(df: DataFrame, keys: Sequence[str], order: Sequence[str], carry: Sequence[str] = (),
-                  seq: str = "_seq", prevs: Sequence[str] = (), heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+                  seq: str = "_seq", prevs: Sequence[str] = (), slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Row number per key (column ``seq``) and the ``carry`` values of the rows before (a struct per name in ``prevs``).
 
-    ``order`` must be a total order within a key; NULLs come first.  Ordinary
-    groups take one shuffle and one sort.  Heavy groups are range-partitioned by
-    (key, order) into slices, numbered per slice, and stitched together over the
-    slice edges, so no task ever sorts a whole heavy group.
+    ``order`` must be a total order within a key; NULLs come first.  All rows go
+    one way: a key's rows are cut at the sampled bounds that fall on it, one
+    shuffle brings each (key, slice) together, and rows are numbered there.  A
+    slice's first number is the sum of the sizes of the slices before it, and
+    the rows before its first row are the last ones of those slices; both come
+    from a table of a row per slice of a key that has bounds, about twice
+    ``MAX_BOUNDS`` rows, which is broadcast.  So no task sorts a whole large
+    key.  Bounds only decide what is sorted together, never the result.
     """
-    order_cols = [F.col(c) for c in order]
     depth = len(prevs)
-    hot = F.broadcast(heavy_keys(df, keys, [*keys, *order], heavy_rows))
-    on = null_safe_on(df, hot, keys)
-
-    def lags(window) -> dict[str, Column]:
-        return {name: F.lag(F.struct(*carry), i + 1).over(window) for i, name in enumerate(prevs)}
-
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
-    plain = (df.join(hot, on, "left_anti")
-             .withColumns({seq: F.row_number().over(w).cast("long"), **lags(w)}))
-
-    in_slice = Window.partitionBy("_slice", *keys).orderBy(*order_cols)
-    reach = max(depth, 1)
-    sliced = (df.join(hot, on, "left_semi")
-              .repartitionByRange(*keys, *order).withColumn("_slice", F.spark_partition_id())
-              .withColumns({"_rn": F.row_number().over(in_slice),
-                            "_last": F.lead(F.lit(1), 1).over(in_slice).isNull(),
-                            "_near_end": F.lead(F.lit(1), reach).over(in_slice).isNull(),
-                            **{f"_in_{name}": c for name, c in lags(in_slice).items()}})
-              .withColumn("_edge", (F.col("_rn") <= reach) | F.col("_near_end")))
-    # The first and last rows of all slices of a key meet in one small group (a few rows per slice).
-    edges = Window.partitionBy(*keys, "_edge", F.when(~F.col("_edge"), F.col("_slice"))).orderBy(*order_cols)
-    before = F.sum(F.when(F.col("_last"), F.col("_rn"))).over(edges.rowsBetween(Window.unboundedPreceding, -1))
-    sliced = sliced.withColumns({
-        "_offset": F.when(F.col("_edge"), F.coalesce(before, F.lit(0))),
-        **{name: F.when(F.col("_rn") > i + 1, F.col(f"_in_{name}")).otherwise(lag)
-           for i, (name, lag) in enumerate(lags(edges).items())}})
-    whole_slice = Window.partitionBy(*keys, "_slice").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
-    sliced = sliced.withColumn(seq, (F.col("_rn") + F.first("_offset").over(whole_slice)).cast("long"))
-    return plain.unionByName(sliced.select(*plain.columns))
+    names = {c: f"_of_{c}" for c in (*keys, "_slice")}
+    same = [F.col(c).eqNullSafe(F.col(names[c])) for c in keys]
+    needed = list(dict.fromkeys([*keys, *order, *(carry if depth else ())]))
+    bounds = F.broadcast(slice_bounds(df, keys, order, slice_rows).withColumnsRenamed(names))
+    place = slice_of([F.col(c) for c in order]).alias("_slice")
+    placed = df.join(bounds, same, "left").select(*df.columns, place)
+    cut = df.select(*needed).join(bounds, same).select(*needed, place)
+
+    slices = cut.groupBy(*keys, "_slice").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *([F.array(F.max_by(F.struct(*carry), F.struct(*order))).alias("_tail")] if depth == 1 else []))
+    if depth > 1:
+        latest = Window.partitionBy(*keys, "_slice").orderBy(*[F.desc(c) for c in order])
+        tails = (cut.withColumn("_back", F.row_number().over(latest)).filter(F.col("_back") <= depth)
+                 .groupBy(*keys, "_slice").agg(
+                     F.reverse(F.array_sort(F.collect_list(F.struct("_back", F.struct(*carry).alias("row"))))).alias("_t"))
+                 .select(*[F.col(c).alias(n) for c, n in names.items()], F.col("_t.row").alias("_tail")))
+        slices = slices.join(tails, [*same, F.col("_slice") == F.col(names["_slice"])]).select(*keys, "_slice", "_n", "_tail")
+    earlier = Window.partitionBy(*keys).orderBy("_slice")
+    starts = slices.select(
+        *[F.col(c).alias(n) for c, n in names.items()],
+        F.sum("_n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)).alias("_offset"),
+        *([F.flatten(F.collect_list("_tail").over(earlier.rowsBetween(-depth, -1))).alias("_before")] if depth else []))
+
+    w = Window.partitionBy(*keys, "_slice").orderBy(*[F.col(c) for c in order])
+    numbered = placed.withColumns({"_rn": F.row_number().over(w), **{
+        f"_in_{name}": F.lag(F.struct(*carry), i + 1).over(w) for i, name in enumerate(prevs)}})
+    stitched = numbered.join(F.broadcast(starts), [*same, F.col("_slice") == F.col(names["_slice"])], "left")
+    return stitched.select(*df.columns, (F.col("_rn") + F.coalesce("_offset", F.lit(0))).cast("long").alias(seq), *[
+        F.when(F.col("_rn") > i + 1, F.col(f"_in_{name}")).otherwise(
+            F.get("_before", F.size("_before") - (i + 2) + F.col("_rn"))).alias(name) for i, name in enumerate(prevs)])
 
 
 # The sketch answers this grid of ranks; its rank error is a tenth of a step, and brackets leave a step on both sides.

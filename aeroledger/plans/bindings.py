@@ -183,8 +183,8 @@ class Tables:
             _PUBLISHED[key] = path
         return read_table(self.spark, _PUBLISHED[key])
 
-    def rotation(self) -> DataFrame:
-        return rotation.rotation_delay_propagation(self.flights())
+    def rotation(self, **options) -> DataFrame:
+        return rotation.rotation_delay_propagation(self.flights(), **options)
 
     def features(self) -> DataFrame:
         return ml.delay_features(rotation.rotation_delay_propagation(self.flights(), history=True))

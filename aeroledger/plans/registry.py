@@ -46,6 +46,9 @@ def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
 # --- rotation -----------------------------------------------------------------------------------
 
 query("rotation_delay", "SELECT * EXCLUDE (prev_cascade) FROM rotation")(lambda t: t.rotation())
+# The same in slices of three rows, so that numbers and earlier legs are stitched at any size of the tables.
+query("rotation_delay_sliced", "SELECT * FROM rotation")(lambda t: t.rotation(history=True, slice_rows=3).withColumnRenamed(
+    "prev_is_cascade_delay", "prev_cascade"))
 
 query("rotation_counts", f"""SELECT count(*) AS total_rows, {big('sum(is_cascade_delay)')} AS cascade_rows
                              FROM rotation""")(lambda t: rotation.rotation_counts(t.rotation()))

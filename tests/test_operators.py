@@ -24,9 +24,9 @@ def legs(spark):
         ("f7", "r", "a", at(0, 0, 2), at(0, 0, 2), "COMPLETED", 0.0), ("g1", "r", "b", at(7), at(7, 9), "COMPLETED", 9.0)], FLIGHTS)
 
 
-@pytest.mark.parametrize("heavy_rows", [2, 1_000_000])
-def test_rotation(legs, heavy_rows):
-    out = {r.flight_id: r for r in rotation.rotation_delay_propagation(legs, history=True, heavy_rows=heavy_rows).collect()}
+@pytest.mark.parametrize("slice_rows", [2, 1_000_000])
+def test_rotation(legs, slice_rows):
+    out = {r.flight_id: r for r in rotation.rotation_delay_propagation(legs, history=True, slice_rows=slice_rows).collect()}
     brief = {f: (r.rotation_sequence, r.prev_flight_id, r.turnaround_minutes, r.propagated_delay_min, r.is_cascade_delay,
                  r.delay_propagation_flag, r.prev_is_cascade_delay) for f, r in out.items()}
     assert brief == {

@@ -23,9 +23,9 @@ def test_reasons_and_their_order(spark):
 @SLOW
 @given(st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 4)), st.one_of(st.none(), st.integers(0, 2))), max_size=40),
        st.sampled_from([3, 10_000_000]))
-def test_valid_and_rejected_partition_the_input(spark, pairs, heavy_rows):
+def test_valid_and_rejected_partition_the_input(spark, pairs, slice_rows):
     df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(pairs)], "k int, v int, pos int")
-    valid, rejected = q.validate_and_split(df, ["k"], ["v"], ["pos"], heavy_rows)
+    valid, rejected = q.validate_and_split(df, ["k"], ["v"], ["pos"], slice_rows)
     kept, bad = [r.pos for r in valid.collect()], [r.pos for r in rejected.collect()]
     assert sorted(kept + bad) == list(range(len(pairs)))
     seen = set()

@@ -23,36 +23,50 @@ def brute(data):
     return out
 
 
-def numbered(spark, data, heavy_rows):
+def numbered(spark, data, slice_rows):
     df = spark.createDataFrame(data, "k string, t long, id long").repartition(5)
-    out = skew.with_sequence(df, ["k"], ["t", "id"], ["id"], prevs=["a", "b"], heavy_rows=heavy_rows)
+    out = skew.with_sequence(df, ["k"], ["t", "id"], ["id"], prevs=["a", "b"], slice_rows=slice_rows)
     return {r.id: (r._seq, r.a and r.a.id, r.b and r.b.id) for r in out.collect()}
 
 
 @SLOW
 @given(st.lists(st.tuples(st.sampled_from(["x", "x", "x", "y", None]), st.one_of(st.none(), st.integers(0, 3))), max_size=60),
        st.integers(1, 20))
-def test_sequence_matches_brute_force(spark, pairs, heavy_rows):
+def test_sequence_matches_brute_force(spark, pairs, slice_rows):
     data = [(k, t, i) for i, (k, t) in enumerate(pairs)]
-    assert numbered(spark, data, heavy_rows) == brute(data)
+    assert numbered(spark, data, slice_rows) == brute(data)
 
 
-@pytest.mark.parametrize("heavy_rows", [10, 500, 10_000_000])
-def test_one_key_with_most_rows(spark, heavy_rows):
+@pytest.mark.parametrize("slice_rows", [10, 500, 10_000_000])
+def test_one_key_with_most_rows(spark, slice_rows):
     rng = random.Random(3)
     data = [("hot" if rng.random() < 0.7 else f"k{rng.randrange(50)}", rng.randrange(40), i) for i in range(4000)]
-    assert numbered(spark, data, heavy_rows) == brute(data)
+    assert numbered(spark, data, slice_rows) == brute(data)
 
 
-def test_heavy_rows_with_one_single_order_value(spark):
+def test_slice_rows_with_one_single_order_value(spark):
     data = [("hot", 7, i) for i in range(3000)]
     assert numbered(spark, data, 100) == brute(data)
 
 
-def test_heavy_keys_are_bounded_and_thinned(spark):
-    df = spark.range(200_000).select((F.col("id") % 5).alias("k"), F.col("id").alias("t"))
-    assert skew.heavy_keys(df, ["k"], ["t"], 20_000).count() == 5
-    assert skew.heavy_keys(df, ["k"], ["t"], 60_000).count() == 0
+def test_bounds_fall_on_every_key_by_its_rows(spark, monkeypatch):
+    key = F.when(F.col("id") % 2 == 0, F.lit(0)).otherwise(F.col("id") % 1000)
+    df = spark.range(200_000).select(key.alias("k"), F.col("id").alias("t"))
+    found = {r.k: [b.t for b in r._bounds] for r in skew.slice_bounds(df, ["k"], ["t"], 1000).collect()}
+    assert 60 < len(found[0]) < 140 and all(b == sorted(b) for b in found.values())
+    assert 130 < sum(map(len, found.values())) < 270
+    cut = df.join(skew.slice_bounds(df, ["k"], ["t"], 1000), "k", "left").select("k", skew.slice_of([F.col("t")]).alias("s"), "t")
+    sizes = cut.where("k = 0").groupBy("s").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).orderBy("s").collect()
+    assert max(r.n for r in sizes) < 10_000 and sum(r.n for r in sizes) == 100_000
+    assert all(a.hi < b.lo for a, b in zip(sizes, sizes[1:])) and [r.lo for r in sizes if r.s > 0] == found[0]
+    # A larger table gets longer slices, not more of them.
+    monkeypatch.setattr(skew, "MAX_BOUNDS", 50)
+    assert 20 < sum(len(r._bounds) for r in skew.slice_bounds(df, ["k"], ["t"], 1000).collect()) < 90
+
+
+def test_bounds_with_nulls_and_keys_in_the_order(spark):
+    data = [(None if i % 3 else "k", None if i % 2 else i, i) for i in range(300)]
+    assert numbered(spark, data, 1) == brute(data)
 
 
 @pytest.mark.parametrize("values", [[1.0], [2.0, 2.0, 2.0], list(range(100)), [1e9] + [0.1 * i for i in range(300)],
@@ -117,11 +131,12 @@ def test_stratified_ranks_are_dense_and_repeatable(spark):
 
 
 def test_window_plan_has_one_full_shuffle_and_no_python(spark):
-    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"))
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("t"), F.lit("pad").alias("payload"))
     plan = skew.with_sequence(df, ["k"], ["t"], ["t"], prevs=["p"])._jdf.queryExecution().executedPlan().toString()
-    ordinary = plan.split("rangepartitioning")[0]
     assert "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
-    assert ordinary.count("Exchange hashpartitioning(k") >= 1
+    assert "SortMergeJoin" not in plan and "rangepartitioning" not in plan
+    # Whole rows move once, to their key and slice; all other exchanges carry bounds or a row per slice.
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(k" in x and "_slice" in x]) == 2
 
 
 def final_plan(df):
@@ -129,12 +144,12 @@ def final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
-def test_second_route_disappears_when_nothing_is_hot(spark):
+def test_stitching_disappears_without_bounds(spark):
     df = spark.range(5000).select((F.col("id") % 700).alias("k"), F.col("id").alias("t"))
-    out = skew.with_sequence(df, ["k"], ["t"], ["t"], prevs=["p"]).agg(F.sum("_seq"))
-    assert "rangepartitioning" not in final_plan(out)
-    hot = skew.with_sequence(df, ["k"], ["t"], ["t"], prevs=["p"], heavy_rows=5).agg(F.sum("_seq"))
-    assert "rangepartitioning" in final_plan(hot)
+    def joins(slice_rows):
+        out = skew.with_sequence(df, ["k"], ["t"], ["t"], prevs=["p"], slice_rows=slice_rows).agg(F.sum("_seq"))
+        return final_plan(out).count("BroadcastHashJoin")
+    assert joins(1 << 40) < joins(5)
 
 
 @pytest.mark.parametrize("hot", [7, None])
