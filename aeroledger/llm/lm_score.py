@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,6 +38,7 @@ from aeroledger.llm.common import stored, whole_text
 from aeroledger.llm.fingerprints import scramble
 
 CHUNK_BYTES = 6_000_000
+CHUNK_TEXTS = 100_000
 SIDE = 32
 LEAVES = SIDE * SIDE
 FREQUENT = LEAVES // 2
@@ -45,6 +46,9 @@ ROWS = 1 << 16
 FEATURES = 3
 ROUNDS = 2
 BATCH = 8192
+SCORED = 2048
+FAR = 60
+STEPS = 128
 RATE = 0.25
 BLOCKS = 64
 WALK_CHUNKS = 4
@@ -81,19 +85,21 @@ def encode(docs: DataFrame) -> DataFrame:
     schema_names = ["chunk", "docs", "held", "size", "ids", "words", "hashes", "counts"]
 
     def run(batches):
-        name = TaskContext.get().partitionId() << 32
+        name, total, kind_ = TaskContext.get().partitionId() << 32, 0, None
+        ids, held, texts = [], [], []
         for batch in batches:
-            ids, held, texts, total = [], [], [], 0
+            kind_ = batch.column(0).type
             for i in range(batch.num_rows):
                 ids.append(batch.column(0)[i].as_py())
                 held.append(batch.column(1)[i].as_py())
                 buffer = batch.column(2)[i].as_buffer()
                 texts.append(buffer.to_pybytes() if buffer is not None else b"")
                 total += len(texts[-1])
-                if total >= CHUNK_BYTES or i + 1 == batch.num_rows:
-                    yield chunk_row(name, batch.column(0).type, ids, held, texts)
-                    name += 1
-                    ids, held, texts, total = [], [], [], 0
+                if total >= CHUNK_BYTES or len(texts) >= CHUNK_TEXTS:
+                    yield chunk_row(name, kind_, ids, held, texts)
+                    name, total, ids, held, texts = name + 1, 0, [], [], []
+        if texts:
+            yield chunk_row(name, kind_, ids, held, texts)
 
     return docs.select("doc", "held", "text").mapInArrow(run, schema)
 
@@ -115,8 +121,9 @@ def fresh_model(leaf_counts: np.ndarray) -> Model:
     """Zero features; biases say what the leaf counts say."""
     mass = leaf_counts.reshape(SIDE, SIDE) + 1.0
     rows = (ROWS, SIDE)
-    return Model(np.zeros(rows, np.float32), np.zeros(rows, np.float32), np.log(mass.sum(1)).astype(np.float32),
-                 np.log(mass).astype(np.float32))
+    of_first = mass.sum(1)
+    return Model(np.zeros(rows, np.float32), np.zeros(rows, np.float32), np.log(of_first / of_first.sum()).astype(np.float32),
+                 np.log(mass / of_first[:, None]).astype(np.float32))
 
 
 def features(hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -130,15 +137,16 @@ def features(hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarra
     return np.stack([scramble(before), scramble(pair ^ np.uint64(0xA5A5)), scramble(skip ^ np.uint64(0x5A5A0000))], axis=1)
 
 
-def half(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Log-probabilities of one half."""
-    z = np.take(weights, rows[:, 0], axis=0)
+def half(rows: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One half's softmax before it is divided: powers, and their total per token."""
+    z = np.take(weights, rows[:, 0], axis=0, mode="clip")
     z += bias
     for k in range(1, rows.shape[1]):
-        z += np.take(weights, rows[:, k], axis=0)
-    z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+        z += np.take(weights, rows[:, k], axis=0, mode="clip")
+    if z.max(initial=0) > FAR or z.min(initial=0) < -FAR:  # powers would leave the range of single precision
+        z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    return z, z @ np.ones(SIDE, np.float32)
 
 
 def rows_for(feats: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,13 +158,39 @@ def rows_for(feats: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def log_probabilities(model: Model, feats: np.ndarray, leaf: np.ndarray) -> np.ndarray:
     """Natural log-probability of each token's leaf."""
-    out = np.empty(len(leaf))
-    for i in range(0, len(leaf), BATCH):
-        some = slice(i, i + BATCH)
+    out = np.zeros(len(leaf))
+    for i in range(0, len(leaf), SCORED):
+        some = slice(i, i + SCORED)
         a, b = leaf[some] // SIDE, leaf[some] % SIDE
         r1, r2 = rows_for(feats[some], a)
         at = np.arange(len(a))
-        out[some] = half(r1, model.first, model.bias_first)[at, a] + half(r2, model.second, model.bias_second[a])[at, b]
+        for rows, weights, bias, truth in ((r1, model.first, model.bias_first, a), (r2, model.second, model.bias_second[a], b)):
+            powers, total = half(rows, weights, bias)
+            own = np.maximum(powers[at, truth], np.finfo(np.float32).tiny)  # a share of zero has no logarithm
+            out[some] += np.log(own) - np.log(total)
+    return out
+
+
+def sums_by_run(values: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sum of ``values[at]`` over each run; ``ends`` are the last places of the runs.
+
+    Running sums are taken in all blocks of ``STEPS`` places at once, a place of each block after the other.  A run within
+    a block is a difference of two of them; a run that crosses blocks also gets the totals of the blocks it leaves.
+    """
+    blocks = -(-len(at) // STEPS)
+    places = np.zeros(blocks * STEPS, at.dtype)
+    places[:len(at)] = at
+    scan = np.take(values, places.reshape(blocks, STEPS).T, axis=0, mode="clip")
+    for step in range(1, STEPS):
+        scan[step] += scan[step - 1]
+    left = np.concatenate([np.zeros((1, values.shape[1])), np.cumsum(scan[-1], axis=0, dtype=np.float64)])
+    block, step = ends // STEPS, ends % STEPS
+    inside = np.take(scan.reshape(blocks * STEPS, -1), step * blocks + block, axis=0, mode="clip")
+    out = inside.copy()
+    out[1:] -= inside[:-1]
+    before = np.concatenate([[0], block[:-1]])
+    crossing = np.flatnonzero(block != before)
+    out[crossing] += left[block[crossing]] - left[before[crossing]]
     return out
 
 
@@ -166,14 +200,14 @@ def descend(weights: np.ndarray, sums: np.ndarray, touched: np.ndarray, rows: np
     order = np.argsort(flat.astype(np.uint16), kind="stable")  # ROWS is 2**16: a radix sort
     sorted_rows = flat[order]
     ends = np.append(np.flatnonzero(sorted_rows[1:] != sorted_rows[:-1]), len(flat) - 1)
-    running = np.take(wrong, order // rows.shape[1], axis=0)
-    np.cumsum(running, axis=0, out=running)
-    gradient = np.take(running, ends, axis=0)
-    gradient[1:] -= gradient[:-1].copy()
+    gradient = sums_by_run(wrong, order // rows.shape[1], ends)
     own = sorted_rows[ends]
-    sums[own] += np.einsum("ij,ij->i", gradient, gradient) / SIDE
-    gradient *= (RATE / np.sqrt(sums[own]))[:, None]
-    weights[own] = np.take(weights, own, axis=0) - gradient
+    power = sums[own] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(SIDE)
+    sums[own] = power
+    gradient *= (RATE / np.sqrt(power))[:, None]
+    moved = np.take(weights, own, axis=0, mode="clip")
+    moved -= gradient
+    weights[own] = moved
     touched[own] += np.diff(ends, prepend=-1)
 
 
@@ -186,24 +220,22 @@ def walk(model: Model, feats: np.ndarray, leaf: np.ndarray, state: dict) -> None
         at = np.arange(len(a))
         for name, rows, bias, truth in (("first", r1, model.bias_first, a), ("second", r2, model.bias_second[a], b)):
             weights = getattr(model, name)
-            wrong = half(rows, weights, bias)
-            np.exp(wrong, out=wrong)
+            wrong, total = half(rows, weights, bias)
+            wrong /= total[:, None]
             wrong[at, truth] -= 1
             descend(weights, *state[name], rows, wrong)
 
 
-def chunk_arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """ids, document sizes, word hashes, word counts and word leaves of a chunk."""
-    size = np.array(row["size"], np.int64)
-    kind = np.uint16 if len(row["ids"]) == 2 * size.sum() else np.uint32
-    return (np.frombuffer(row["ids"], kind).astype(np.int64), size, np.frombuffer(row["hashes"], np.uint32),
-            np.array(row["c"], np.int64), np.array(row["leaf"], np.int64))
-
+def chunk_arrays(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
+    """ids, document sizes, which are held out, word hashes, word counts and word leaves of chunk ``i`` of a batch."""
+    def numbers(name: str) -> np.ndarray:
+        return batch.column(name)[i].values.to_numpy(zero_copy_only=False)
 
-def one_by_one(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
+    size = numbers("size").astype(np.int64)
+    ids = batch.column("ids")[i].as_buffer()
+    kind = np.uint16 if ids.size == 2 * size.sum() else np.uint32
+    return (np.frombuffer(ids, kind).astype(np.int64), size, numbers("held").astype(bool),
+            np.frombuffer(batch.column("hashes")[i].as_buffer(), np.uint32), numbers("c"), numbers("leaf").astype(np.int64))
 
 
 def train_round(chunks: DataFrame, model: Model) -> Model:
@@ -215,11 +247,12 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
         start = sent.value
         own = Model(start.first.copy(), start.second.copy(), start.bias_first, start.bias_second)
         state = {n: (np.ones(ROWS, np.float32), np.zeros(ROWS, np.float32)) for n in ("first", "second")}
-        for row in one_by_one(batches):
-            ids, size, hashes, _, leaf = chunk_arrays(row)
-            feats = features(hashes, ids, size)
-            trains = np.repeat(~np.array(row["held"], bool), size)
-            walk(own, feats[trains], leaf[ids[trains]], state)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                ids, size, held, hashes, _, leaf = chunk_arrays(batch, i)
+                feats = features(hashes, ids, size)
+                trains = np.repeat(~held, size)
+                walk(own, feats[trains], leaf[ids[trains]], state)
         for k, name in enumerate(("first", "second")):
             touched = state[name][1]
             moved = (getattr(own, name) - getattr(start, name)).astype(np.float16)
@@ -261,18 +294,21 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
     encoded = stored(encode(rows), "encoded")
     words = encoded.select("chunk", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "chunk", F.col("pos").alias("local"), F.col("col.words").alias("word"), F.col("col.counts").alias("n"))
-    totals = stored(words.groupBy("word").agg(F.sum("n").alias("c")), "totals")
+    # A word has a row per chunk at most; one shuffle tells each of them the count of all.
+    of_word = Window.partitionBy("word").orderBy("chunk")
+    counted = stored(words.withColumns({
+        "c": F.sum("n").over(of_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+        "first": F.row_number().over(of_word) == 1}).drop("n"), "counted")
+    totals = counted.where("first").select("word", "c")
     top = totals.where("c > 0").orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
     ranks = docs.sparkSession.createDataFrame([(r.word, i) for i, r in enumerate(top)], "word binary, place int")
-    leaved = leaf_of(F.col("word"), ranks, totals)
-    by_leaf = {r.leaf: (r.c, r.v) for r in leaved.groupBy("leaf").agg(
+    by_leaf = {r.leaf: (r.c, r.v) for r in leaf_of(F.col("word"), ranks, totals).groupBy("leaf").agg(
         F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v")).collect()}  # LEAVES rows at most
     leaf_counts, leaf_words = (np.array([by_leaf.get(i, (0, 0))[k] for i in range(LEAVES)], np.float64) for k in (0, 1))
-    told = stored(words.select("chunk", "local", "word").join(leaved, "word").groupBy("chunk").agg(
-        F.sort_array(F.collect_list(F.struct("local", "c", "leaf"))).alias("v")).select(
-        "chunk", F.col("v.c").alias("c"), F.col("v.leaf").alias("leaf")), "told")
+    told = leaf_of(F.col("word"), ranks, counted).groupBy("chunk").agg(
+        F.sort_array(F.collect_list(F.struct("local", "c", "leaf"))).alias("v"))
     chunks = stored(encoded.drop("words", "counts").join(told, "chunk").select(
-        "chunk", "docs", "held", "size", "ids", "hashes", "c", "leaf"), "numbered")
+        "chunk", "docs", "held", "size", "ids", "hashes", F.col("v.c").alias("c"), F.col("v.leaf").alias("leaf")), "numbered")
 
     model = fresh_model(leaf_counts)
     for k in range(ROUNDS):
@@ -290,15 +326,14 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
         for batch in batches:
             doc_type = batch.column(0).type.value_type
             for i in range(batch.num_rows):
-                row = batch.slice(i, 1).to_pylist()[0]
-                ids, size, hashes, c, leaf = chunk_arrays(row)
+                ids, size, held, hashes, c, leaf = chunk_arrays(batch, i)
                 starts = np.cumsum(size) - size
                 base = np.log10((c + 1.0) / (n + v + 1.0))[ids]
                 own = leaf[ids]
                 inside = np.log10((c[ids] + 1.0) / (in_leaf[own] + of_leaf[own] + 1.0))
                 total = log_probabilities(trained, features(hashes, ids, size), own) / np.log(10) + inside
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(row["docs"], doc_type), pa.array(row["held"], pa.bool_()), pa.array(size),
+                    [batch.column("docs")[i].values.cast(doc_type), pa.array(held, pa.bool_()), pa.array(size),
                      pa.array(np.add.reduceat((c[ids] > 0).astype(np.int64), starts)), pa.array(np.full(len(size), n)),
                      pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(total, starts))], schema.names)
 
