@@ -306,3 +306,12 @@ def test_recorded_alignment_equals_the_running_sum(docs):
             assert recorded.starts.tolist() == e.starts.tolist() and recorded.ends.tolist() == e.ends.tolist()
         spans = b"".join(int(x).to_bytes(8, "little") for x in [*e.starts.tolist(), *e.ends.tolist()])
         assert (doc_id, hashlib.sha256(spans).hexdigest()) in found
+
+
+@pytest.mark.parametrize("lengths", [[1], [5], [128, 1, 128], [1, 700, 2, 3, 127, 129, 1], [1] * 300])
+def test_gradient_sums_by_run(lengths):
+    rng = np.random.default_rng(4)
+    values = rng.normal(size=(40, lm_score.SIDE)).astype(np.float32)
+    at, ends = rng.integers(0, 40, sum(lengths)), np.cumsum(lengths) - 1
+    want = [values[at[e + 1 - n:e + 1]].astype(float).sum(axis=0) for n, e in zip(lengths, ends)]
+    np.testing.assert_allclose(lm_score.sums_by_run(values, at, ends), want, atol=1e-3)
