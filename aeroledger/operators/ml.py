@@ -23,6 +23,8 @@ DELAY_FEATURES = ("previous_flight_delay", "previous_flight_delayed", "previous_
                   "previous_propagated_delay", "previous_cascade_indicator")
 DEMAND_FEATURES = ("day_index", "lag_1", "lag_7", "lag_14", "rolling_7", "dow", "route_level")
 HISTORY = 14
+# Training rows that make a task of their own worth while, and the most that one should hold.
+LEAST_TASK_ROWS, MOST_TASK_ROWS = 1 << 12, 1 << 17
 
 
 # --- delay risk ---------------------------------------------------------------------------------
@@ -66,6 +68,18 @@ def stratified_split(df: DataFrame, label: str = "future_delay", identity: str =
     return (ranked.filter(take).drop("_rank", "_size"), ranked.filter(~take).drop("_rank", "_size"))
 
 
+def dealt_for_training(train: DataFrame, rows: int, columns: Sequence[str]) -> DataFrame:
+    """The ``columns`` of the training rows, dealt evenly over every core.
+
+    Training rows take few bytes and much time, so the size by which AQE merges partitions would leave them to one or two
+    tasks.  Bagging draws by place in a partition: rows are sorted there, so reruns draw alike.
+    """
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(cores, rows // LEAST_TASK_ROWS), -(-rows // MOST_TASK_ROWS))
+    thin = train.select(*columns)
+    return thin.repartition(tasks).sortWithinPartitions(*columns) if tasks > 1 else thin
+
+
 def train_delay_model(train: DataFrame, trees: int = 300, depth: int = 10, seed: int = 42,
                       label: str = "future_delay") -> PipelineModel:
     """Random forest with classes weighted inversely to their frequency; one class alone is an error."""
@@ -81,7 +95,7 @@ def train_delay_model(train: DataFrame, trees: int = 300, depth: int = 10, seed:
               VectorAssembler(inputCols=[f"x_{c}" for c in DELAY_FEATURES], outputCol="features"),
               RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="class_weight",
                                      numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)]
-    return Pipeline(stages=stages).fit(train.withColumn("class_weight", weight))
+    return Pipeline(stages=stages).fit(dealt_for_training(train, total, [*DELAY_FEATURES, label]).withColumn("class_weight", weight))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -188,6 +188,21 @@ def test_delay_model_learns_and_round_trips(spark, tmp_path):
         ml.train_delay_model(train.withColumn("future_delay", F.lit(1)))
 
 
+def test_delay_training_is_dealt_over_the_cores(spark, monkeypatch, rows):
+    """Rows that AQE merged into one partition must not train in one task."""
+    train = spark.range(20_000).select(
+        *[(F.col("id") * (i + 3) % 17).alias(c) for i, c in enumerate(ml.DELAY_FEATURES)], (F.col("id") % 3 == 0).cast("int").alias("future_delay"))
+    fed = []
+    monkeypatch.setattr(ml.Pipeline, "fit", lambda self, df: fed.append(df))
+    for given in (train.coalesce(1), train.limit(20_000)):
+        ml.train_delay_model(given)
+        assert fed[-1].rdd.getNumPartitions() == 20_000 // ml.LEAST_TASK_ROWS == 4
+        assert max(fed[-1].groupBy(F.spark_partition_id()).count().toDF("p", "n").collect(), key=lambda r: r.n).n < 6_000
+        assert rows(fed[-1], *train.columns) == rows(train)
+    assert [r.x for r in fed[0].select(F.col("turnaround_minutes").alias("x")).collect()] == [
+        r.x for r in fed[1].select(F.col("turnaround_minutes").alias("x")).collect()]
+
+
 def test_classification_report_counts_unpredicted_classes(spark):
     df = spark.createDataFrame([(1, 0), (0, 0), (0, 0)], "future_delay int, predicted_delay int")
     got = {r["class"]: (r.precision, r.recall, r.f1, r.support) for r in ml.classification_report(df).collect()}
