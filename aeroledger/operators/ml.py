@@ -94,7 +94,7 @@ def train_delay_model(train: DataFrame, trees: int = 300, depth: int = 10, seed:
     stages = [SQLTransformer(statement=f"SELECT *, {known} FROM __THIS__"),
               VectorAssembler(inputCols=[f"x_{c}" for c in DELAY_FEATURES], outputCol="features"),
               RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="class_weight",
-                                     numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed)]
+                                     numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed, cacheNodeIds=True)]
     return Pipeline(stages=stages).fit(dealt_for_training(train, total, [*DELAY_FEATURES, label]).withColumn("class_weight", weight))
 
 
