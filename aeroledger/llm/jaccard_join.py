@@ -38,6 +38,7 @@ from aeroledger.llm.fingerprints import Names, scramble
 
 SHINGLE = 5
 CHUNK_BYTES = 4_000_000
+BLOCK_BYTES = 1_000_000
 MIN_HASHES = 3  # rounds
 KEYS_A_ROUND = 4
 RNG = np.random.default_rng(11)
@@ -70,7 +71,23 @@ def least_shared(n):
 
 
 def shingle_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of all texts, ascending within each, and the number of each text."""
+    """Distinct shingle hashes of all texts, ascending within each, and the number of each text.
+
+    Texts are taken in blocks, as working arrays and the tables behind names are many times the size of a block.
+    """
+    blocks, size = [[]], 0
+    for text in texts:
+        size += len(text) + 1
+        if size > BLOCK_BYTES and blocks[-1]:
+            blocks.append([])
+            size = len(text) + 1
+        blocks[-1].append(text)
+    hashes, counts = zip(*map(block_sets, blocks))
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def block_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets`` of one block."""
     data = LOWER[np.frombuffer(b" ".join([*texts, b""]), np.uint8)]
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(texts), np.int64)
