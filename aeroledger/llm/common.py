@@ -46,13 +46,13 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts lineage and survives the loss of executors.
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write to the shared folder (to ``path``, if given) and read back: cuts lineage and survives the loss of executors.
 
     Once the table is written nothing needs the shuffle files that led to it, so Spark may drop them at once.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, name)
+    path = path or scratch_path(spark, name)
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:

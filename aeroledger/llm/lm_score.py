@@ -36,6 +36,8 @@ from pyspark.sql import types as T
 
 from aeroledger.llm.common import stored, whole_text
 from aeroledger.llm.fingerprints import scramble
+from aeroledger.session import scratch_path
+from aeroledger.sources.tables import delete_folder
 
 CHUNK_BYTES = 6_000_000
 CHUNK_TEXTS = 100_000
@@ -291,17 +293,19 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
 def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: key, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities)."""
     rows = docs.select(F.col(key).alias("doc"), held_out.alias("held"), F.encode(whole_text(text), "UTF-8").alias("text"))
-    encoded = stored(encode(rows), "encoded")
+    spark = docs.sparkSession
+    passing = {name: scratch_path(spark, name) for name in ("encoded", "counted")}
+    encoded = stored(encode(rows), "encoded", passing["encoded"])
     words = encoded.select("chunk", F.posexplode(F.arrays_zip("words", "counts"))).select(
         "chunk", F.col("pos").alias("local"), F.col("col.words").alias("word"), F.col("col.counts").alias("n"))
     # A word has a row per chunk at most; one shuffle tells each of them the count of all.
     of_word = Window.partitionBy("word").orderBy("chunk")
     counted = stored(words.withColumns({
         "c": F.sum("n").over(of_word.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
-        "first": F.row_number().over(of_word) == 1}).drop("n"), "counted")
+        "first": F.row_number().over(of_word) == 1}).drop("n"), "counted", passing["counted"])
     totals = counted.where("first").select("word", "c")
     top = totals.where("c > 0").orderBy(F.desc("c"), "word").limit(FREQUENT).collect()
-    ranks = docs.sparkSession.createDataFrame([(r.word, i) for i, r in enumerate(top)], "word binary, place int")
+    ranks = spark.createDataFrame([(r.word, i) for i, r in enumerate(top)], "word binary, place int")
     by_leaf = {r.leaf: (r.c, r.v) for r in leaf_of(F.col("word"), ranks, totals).groupBy("leaf").agg(
         F.sum("c").alias("c"), F.count_if(F.col("c") > 0).alias("v")).collect()}  # LEAVES rows at most
     leaf_counts, leaf_words = (np.array([by_leaf.get(i, (0, 0))[k] for i in range(LEAVES)], np.float64) for k in (0, 1))
@@ -309,12 +313,14 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
         F.sort_array(F.collect_list(F.struct("local", "c", "leaf"))).alias("v"))
     chunks = stored(encoded.drop("words", "counts").join(told, "chunk").select(
         "chunk", "docs", "held", "size", "ids", "hashes", F.col("v.c").alias("c"), F.col("v.leaf").alias("leaf")), "numbered")
+    for path in passing.values():  # all that follows reads the numbered chunks
+        delete_folder(spark, path)
 
     model = fresh_model(leaf_counts)
     for k in range(ROUNDS):
         model = train_round(chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(ROUNDS)) == k), model)
     n, v = int(leaf_counts.sum()), int(leaf_words.sum())
-    sent = docs.sparkSession.sparkContext.broadcast((model, leaf_counts, leaf_words))
+    sent = spark.sparkContext.broadcast((model, leaf_counts, leaf_words))
     schema = T.StructType([
         T.StructField(key, docs.schema[key].dataType), T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
         T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
