@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 
 from aeroledger.llm import (
     balanced_mix, exact_dedup, html_text, jaccard_join, language_id, lm_score, quality_rules, sentencepiece_spans, suffix_dedup)
+from aeroledger.llm.fingerprints import powers
 from aeroledger.llm.queries import piece_model
+from aeroledger.session import shared_dir
+from aeroledger.sources.tables import list_names
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omikron pi rho sigma tau upsilon".split()
 
@@ -315,3 +319,27 @@ def test_gradient_sums_by_run(lengths):
     at, ends = rng.integers(0, 40, sum(lengths)), np.cumsum(lengths) - 1
     want = [values[at[e + 1 - n:e + 1]].astype(float).sum(axis=0) for n, e in zip(lengths, ends)]
     np.testing.assert_allclose(lm_score.sums_by_run(values, at, ends), want, atol=1e-3)
+
+
+def test_shingle_sets_take_little_memory():
+    """Working memory follows a block of texts, not the chunk; blocks change no set."""
+    texts = [prose(i, 1500).encode() for i in range(400)] + [b"", b" ", prose(7, 200_000).encode(), b"end"]
+    assert sum(map(len, texts)) > 4_000_000
+    powers.cache_clear()
+    tracemalloc.start()
+    hashes, counts = jaccard_join.shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    powers.cache_clear()
+    assert peak < 120e6
+    single = [jaccard_join.shingle_sets([t]) for t in texts]
+    assert (hashes == np.concatenate([h for h, _ in single])).all() and list(counts) == [c[0] for _, c in single]
+    assert [len(x) for x in jaccard_join.shingle_sets([])] == [0, 0]
+
+
+def test_scoring_leaves_only_the_table_it_reads(spark):
+    docs = spark.createDataFrame([(i, prose(i, 60)) for i in range(30)], "doc_id bigint, text string")
+    known = set(list_names(spark, shared_dir(spark)))
+    got = lm_score.score_texts(docs, F.col("doc_id") % 7 == 2)
+    assert {n.rsplit("-", 1)[0] for n in set(list_names(spark, shared_dir(spark))) - known} == {"numbered"}
+    assert got.count() == 30 and got.where("n_tokens = 61 AND score < 0").count() == 30
