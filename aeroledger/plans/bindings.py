@@ -232,7 +232,8 @@ class Tables:
     # The event stream: three known types and one unknown, repeated, late and broken deliveries.
     def stream(self) -> DataFrame:
         events = (self.spark.readStream.schema(EVENTS_SCHEMA).parquet(f"{self.folder}/events*.parquet"))
-        return self.feed(events)
+        # A file's row groups are a few tasks at most, and making and parsing envelopes takes long: rows are dealt out as they are read.
+        return self.feed(events.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions"))))
 
     @staticmethod
     def feed(events: DataFrame) -> DataFrame:

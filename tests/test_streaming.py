@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from aeroledger.operators import views
+from aeroledger.plans.bindings import Tables
 from aeroledger.schemas import LOGS
 from aeroledger.sources import sinks, tables
 from aeroledger.streaming import envelope, live
@@ -191,3 +192,25 @@ def test_envelopes_round_trip_and_ids_are_stable(spark, tmp_path):
 def test_unknown_source(spark):
     with pytest.raises(ValueError):
         envelope.read_events(spark, "pigeon", "x")
+
+
+def test_rows_of_one_file_are_dealt_over_the_tasks(spark, tmp_path, rows):
+    """A file of one row group is one split; making and parsing its envelopes must not be one task per branch."""
+    events = spark.range(600).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 06:00:00").cast("timestamp_ntz").alias("ts"), (F.col("id") % 50).alias("user_id"),
+        F.element_at(F.array(*map(F.lit, ("view", "error", "purchase"))), (F.col("id") % 3 + 1).cast("int")).alias("event_type"),
+        (F.col("id") % 130).cast("double").alias("value"), F.lit("p").alias("props"))
+    events.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    session = live.stream_session(spark, 4)
+    seen = []
+
+    def look(batch, batch_id):
+        spread = batch.withColumn("task", F.spark_partition_id())
+        seen.extend((spread.groupBy("task").count().collect(), rows(batch)))
+
+    query = Tables(session, str(tmp_path)).stream().writeStream.foreachBatch(look).option(
+        "checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    tasks, streamed = seen
+    assert len(tasks) == 12 and max(r["count"] for r in tasks) <= 100  # three branches over four tasks each; 3 tasks before
+    assert streamed == rows(Tables.feed(events))
