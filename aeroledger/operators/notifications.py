@@ -106,11 +106,12 @@ def notification_audit(outbox: DataFrame, results: DataFrame) -> DataFrame:
     """Outbox rows with their delivery: SENT, or FAILED with the error.
 
     ``results`` holds (message_id, delivered, error); a message without a
-    result counts as failed.
+    result counts as failed.  Each side is shuffled by id once; results, a narrow row per message, are hashed there, so
+    the wide messages stream past them and are never sorted.
     """
     known = results.groupBy("message_id").agg(F.max("delivered").alias("_ok"), F.max("error").alias("_error"))
     sent = F.coalesce(F.col("_ok"), F.lit(False))
-    return outbox.join(known, "message_id", "left").select(
+    return outbox.join(known.hint("shuffle_hash"), "message_id", "left").select(
         *AUDIT_COLUMNS, F.when(sent, F.lit("SENT")).otherwise(F.lit("FAILED")).alias("status"),
         F.when(~sent, F.coalesce(F.col("_error"), F.lit("no delivery result"))).alias("error"),
         F.lit(None).cast("timestamp").alias("acknowledged_at"))

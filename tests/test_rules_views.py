@@ -171,3 +171,16 @@ def test_route_page_sorts_by_the_first_profit_spelling(spark):
     assert [r.route_id for r in v.route_profitability_view(routes).collect()] == ["b", "a", "c"]
     assert [r.route_id for r in v.route_profitability_view(routes.drop("estimated_profit"), 2).collect()] == ["a", "b"]
     assert [r.route_id for r in v.route_profitability_view(routes.select("route_id", "net_profit")).collect()] == ["a", "b", "c"]
+
+
+def test_audit_streams_messages_past_hashed_results(spark, alerts, rows):
+    outbox = n.notification_outbox(n.select_notifications(alerts), NOW)
+    results = outbox.select("message_id", (F.col("notification_channel") == "EMAIL").alias("delivered"), F.lit("closed").alias("error"))
+    nobody = outbox.withColumn("message_id", F.lit(None).cast("string"))
+    audit = n.notification_audit(outbox.unionByName(nobody), results.unionByName(results))
+    plan = audit._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan  # wide messages are not sorted
+    messages = outbox.count()
+    assert rows(audit.groupBy("status", F.col("message_id").isNull().alias("lost")).count()) == sorted(
+        [("FAILED", False, messages // 2), ("FAILED", True, messages), ("SENT", False, messages // 2)])
+    assert {r.error for r in audit.filter("message_id IS NULL").collect()} == {"no delivery result"}
