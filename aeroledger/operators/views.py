@@ -45,10 +45,13 @@ def _by_probability(df: DataFrame) -> list[Column]:
 
 
 def attach(df: DataFrame, one_row: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Adds the columns of a one-row frame to every row, as a scalar subquery."""
+    """Adds the columns of a one-row frame to every row, as a scalar subquery.
+
+    In one projection: above a second one Spark would sort a page's whole input instead of keeping its first rows per task.
+    """
     columns = list(columns or one_row.columns)
-    return (df.withColumn("_one", one_row.select(F.struct(*columns)).scalar())
-            .select(*df.columns, *[F.col(f"_one.{c}").alias(c) for c in columns]))
+    one = one_row.select(F.struct(*columns)).scalar()
+    return df.select(*df.columns, *[one.getField(c).alias(c) for c in columns])
 
 
 def risk_counts() -> list[Column]:

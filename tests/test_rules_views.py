@@ -184,3 +184,16 @@ def test_audit_streams_messages_past_hashed_results(spark, alerts, rows):
     assert rows(audit.groupBy("status", F.col("message_id").isNull().alias("lost")).count()) == sorted(
         [("FAILED", False, messages // 2), ("FAILED", True, messages), ("SENT", False, messages // 2)])
     assert {r.error for r in audit.filter("message_id IS NULL").collect()} == {"no delivery result"}
+
+
+def test_pages_with_totals_keep_first_rows_per_task(spark, alerts):
+    frame = spark.range(50).select(F.col("id").alias("flight_id"), F.lit("HIGH").alias("risk_level"), (F.col("id") / 100).alias("delay_probability"),
+                                   F.lit(NOW).alias("timestamp"), F.col("id").cast("string").alias("alert_id"), F.lit("SENT").alias("status"))
+    shown = {"notifications": v.notifications_view(frame, 3), "search": v.flight_search(frame, "4", page_no=2, per_page=2),
+             "alerts": v.alerts_view(frame, limit=3)}
+    for df in shown.values():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert [(r.alert_id, r.total, r.sent, r.failed) for r in shown["notifications"].collect()] == [(i, 50, 50, 0) for i in ("0", "1", "10")]
+    assert [(r.flight_id, r.matches, r.total_pages) for r in shown["search"].collect()] == [(47, 14, 7), (46, 14, 7)]
+    assert [(r.alert_id, r.high_count, r.medium_count) for r in shown["alerts"].collect()] == [("49", 50, 0), ("48", 50, 0), ("47", 50, 0)]
