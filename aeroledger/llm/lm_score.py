@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from aeroledger.llm.common import stored, whole_text
+from aeroledger.llm.common import lean, stored, whole_text
 from aeroledger.llm.fingerprints import scramble
 from aeroledger.session import scratch_path
 from aeroledger.sources.tables import delete_folder
@@ -103,7 +103,7 @@ def encode(docs: DataFrame) -> DataFrame:
         if texts:
             yield chunk_row(name, kind_, ids, held, texts)
 
-    return docs.select("doc", "held", "text").mapInArrow(run, schema)
+    return docs.select("doc", "held", "text").mapInArrow(lean(run), schema)
 
 
 def leaf_of(word: Column, top: DataFrame, totals: DataFrame) -> DataFrame:
@@ -128,13 +128,22 @@ def fresh_model(leaf_counts: np.ndarray) -> Model:
                  np.log(mass / of_first[:, None]).astype(np.float32))
 
 
-def features(hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Feature hashes of every token: last word, last two words, the one before the last."""
-    own = hashes[ids].astype(np.uint64)
+def places_of(size: np.ndarray) -> np.ndarray:
+    """Place of every token in its document."""
     starts = np.cumsum(size) - size
-    place = np.arange(len(ids)) - np.repeat(starts, size)
-    before = np.where(place >= 1, np.concatenate([[0], own[:-1]]).astype(np.uint64)[:len(own)] + np.uint64(2), np.uint64(1))
-    skip = np.where(place >= 2, np.concatenate([[0, 0], own[:-2]]).astype(np.uint64)[:len(own)] + np.uint64(2), np.uint64(1))
+    return (np.arange(size.sum()) - np.repeat(starts, size)).astype(np.int32)
+
+
+def features(hashes: np.ndarray, ids: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Feature hashes of the tokens ``at``: last word, last two words, the one before the last.
+
+    Callers ask for some thousand tokens at a time: those of a whole chunk would take 100 bytes and more a token.
+    """
+    def word(back: int) -> np.ndarray:
+        there = place[at] >= back
+        return np.where(there, hashes[ids[np.where(there, at - back, 0)]].astype(np.uint64) + np.uint64(2), np.uint64(1))
+
+    before, skip = word(1), word(2)
     pair = before * np.uint64(0x9E3779B97F4A7C15) + skip
     return np.stack([scramble(before), scramble(pair ^ np.uint64(0xA5A5)), scramble(skip ^ np.uint64(0x5A5A0000))], axis=1)
 
@@ -158,18 +167,19 @@ def rows_for(feats: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (feats & mask).astype(np.int64), (second & mask).astype(np.int64)
 
 
-def log_probabilities(model: Model, feats: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each token's leaf."""
-    out = np.zeros(len(leaf))
-    for i in range(0, len(leaf), SCORED):
+def log_probabilities(model: Model, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, leaf: np.ndarray) -> np.ndarray:
+    """Natural log-probability of each token's leaf; ``leaf`` is that of each word."""
+    out, place = np.zeros(len(ids)), places_of(size)
+    for i in range(0, len(ids), SCORED):
         some = slice(i, i + SCORED)
-        a, b = leaf[some] // SIDE, leaf[some] % SIDE
-        r1, r2 = rows_for(feats[some], a)
+        own = leaf[ids[some]]
+        a, b = own // SIDE, own % SIDE
+        r1, r2 = rows_for(features(hashes, ids, place, np.arange(i, i + len(own))), a)
         at = np.arange(len(a))
         for rows, weights, bias, truth in ((r1, model.first, model.bias_first, a), (r2, model.second, model.bias_second[a], b)):
             powers, total = half(rows, weights, bias)
-            own = np.maximum(powers[at, truth], np.finfo(np.float32).tiny)  # a share of zero has no logarithm
-            out[some] += np.log(own) - np.log(total)
+            own_powers = np.maximum(powers[at, truth], np.finfo(np.float32).tiny)  # a share of zero has no logarithm
+            out[some] += np.log(own_powers) - np.log(total)
     return out
 
 
@@ -213,12 +223,14 @@ def descend(weights: np.ndarray, sums: np.ndarray, touched: np.ndarray, rows: np
     touched[own] += np.diff(ends, prepend=-1)
 
 
-def walk(model: Model, feats: np.ndarray, leaf: np.ndarray, state: dict) -> None:
-    """Gradient steps over the tokens of a chunk."""
-    for i in range(0, len(leaf), BATCH):
-        some = slice(i, i + BATCH)
-        a, b = leaf[some] // SIDE, leaf[some] % SIDE
-        r1, r2 = rows_for(feats[some], a)
+def walk(model: Model, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray, held: np.ndarray, leaf: np.ndarray, state: dict) -> None:
+    """Gradient steps over the training tokens of a chunk; ``leaf`` is that of each word."""
+    place, trains = places_of(size), np.flatnonzero(np.repeat(~held, size))
+    for i in range(0, len(trains), BATCH):
+        some = trains[i:i + BATCH]
+        own = leaf[ids[some]]
+        a, b = own // SIDE, own % SIDE
+        r1, r2 = rows_for(features(hashes, ids, place, some), a)
         at = np.arange(len(a))
         for name, rows, bias, truth in (("first", r1, model.bias_first, a), ("second", r2, model.bias_second[a], b)):
             weights = getattr(model, name)
@@ -236,7 +248,7 @@ def chunk_arrays(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, ...]:
     size = numbers("size").astype(np.int64)
     ids = batch.column("ids")[i].as_buffer()
     kind = np.uint16 if ids.size == 2 * size.sum() else np.uint32
-    return (np.frombuffer(ids, kind).astype(np.int64), size, numbers("held").astype(bool),
+    return (np.frombuffer(ids, kind), size, numbers("held").astype(bool),
             np.frombuffer(batch.column("hashes")[i].as_buffer(), np.uint32), numbers("c"), numbers("leaf").astype(np.int64))
 
 
@@ -252,9 +264,7 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
         for batch in batches:
             for i in range(batch.num_rows):
                 ids, size, held, hashes, _, leaf = chunk_arrays(batch, i)
-                feats = features(hashes, ids, size)
-                trains = np.repeat(~held, size)
-                walk(own, feats[trains], leaf[ids[trains]], state)
+                walk(own, hashes, ids, size, held, leaf, state)
         for k, name in enumerate(("first", "second")):
             touched = state[name][1]
             moved = (getattr(own, name) - getattr(start, name)).astype(np.float16)
@@ -278,7 +288,7 @@ def train_round(chunks: DataFrame, model: Model) -> Model:
     schema = "block int, moved binary, touched binary"
     walks = max(1, chunks.count() // WALK_CHUNKS)
     dealt = chunks.repartition(walks, "chunk").sortWithinPartitions("chunk")
-    sums = dealt.select("size", "ids", "hashes", "c", "leaf", "held").mapInArrow(run, schema).groupBy("block").applyInArrow(add, schema)
+    sums = dealt.select("size", "ids", "hashes", "c", "leaf", "held").mapInArrow(lean(run), schema).groupBy("block").applyInArrow(add, schema)
     out = Model(model.first.copy(), model.second.copy(), model.bias_first, model.bias_second)
     for row in sums.collect():  # at most 2 x BLOCKS rows, the size of the model
         weights = (out.first, out.second)[row.block // BLOCKS]
@@ -335,12 +345,11 @@ def score_texts(docs: DataFrame, held_out: Column, key: str = "doc_id", text: st
                 ids, size, held, hashes, c, leaf = chunk_arrays(batch, i)
                 starts = np.cumsum(size) - size
                 base = np.log10((c + 1.0) / (n + v + 1.0))[ids]
-                own = leaf[ids]
-                inside = np.log10((c[ids] + 1.0) / (in_leaf[own] + of_leaf[own] + 1.0))
-                total = log_probabilities(trained, features(hashes, ids, size), own) / np.log(10) + inside
+                inside = np.log10((c + 1.0) / (in_leaf[leaf] + of_leaf[leaf] + 1.0))[ids]
+                total = log_probabilities(trained, hashes, ids, size, leaf) / np.log(10) + inside
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("docs")[i].values.cast(doc_type), pa.array(held, pa.bool_()), pa.array(size),
                      pa.array(np.add.reduceat((c[ids] > 0).astype(np.int64), starts)), pa.array(np.full(len(size), n)),
                      pa.array(np.add.reduceat(base, starts)), pa.array(np.add.reduceat(total, starts))], schema.names)
 
-    return chunks.select("docs", "held", "size", "ids", "hashes", "c", "leaf").mapInArrow(run, schema)
+    return chunks.select("docs", "held", "size", "ids", "hashes", "c", "leaf").mapInArrow(lean(run), schema)

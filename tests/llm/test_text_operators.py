@@ -343,3 +343,22 @@ def test_scoring_leaves_only_the_table_it_reads(spark):
     got = lm_score.score_texts(docs, F.col("doc_id") % 7 == 2)
     assert {n.rsplit("-", 1)[0] for n in set(list_names(spark, shared_dir(spark))) - known} == {"numbered"}
     assert got.count() == 30 and got.where("n_tokens = 61 AND score < 0").count() == 30
+
+
+def test_lm_walk_and_score_hold_features_of_a_few_tokens():
+    rng, n = np.random.default_rng(7), 400_000
+    size, held = np.full(n // 100, 100), rng.random(n // 100) < 0.2
+    ids, hashes, leaf = rng.integers(0, 5000, n).astype(np.uint16), rng.integers(0, 1 << 32, 5000, dtype=np.uint32), rng.integers(0, lm_score.LEAVES, 5000)
+    place = lm_score.places_of(size)
+    some = np.array([0, 1, 2, 99, 100, 101, 102])
+    told = lm_score.features(hashes, ids, place, some)
+    assert told[0].tolist() == told[4].tolist() and (told == lm_score.features(hashes, ids, place, np.arange(n))[some]).all()
+    model = lm_score.fresh_model(np.bincount(leaf[ids], minlength=lm_score.LEAVES).astype(float))
+    state = {k: (np.ones(lm_score.ROWS, np.float32), np.zeros(lm_score.ROWS, np.float32)) for k in ("first", "second")}
+    tracemalloc.start()
+    lm_score.walk(model, hashes, ids, size, held, leaf, state)
+    scores = lm_score.log_probabilities(model, hashes, ids, size, leaf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60 * n  # features alone are 24 bytes a token, and took 100 while they were made
+    assert len(scores) == n and (scores < 0).all() and state["first"][1].sum() == 3 * 100 * (~held).sum()
