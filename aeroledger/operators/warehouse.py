@@ -27,6 +27,7 @@ PARTITION_TIME = {
     "fact_baggage": "scan_time", "fact_support_ticket": "created_at", "fact_fare_snapshot": "timestamp",
 }
 WHOLE, NO_TIME = "all", "none"
+MANY_KEYS = 1 << 19  # about what Spark's limit for broadcasts holds
 GRAINS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
 
 
@@ -37,9 +38,13 @@ def partition_of(table: str, grain: str = "day") -> Column:
     return F.coalesce(F.date_format(PARTITION_TIME[table], GRAINS[grain]), F.lit(NO_TIME))
 
 
-def upsert(target: DataFrame, source: DataFrame, pk: Sequence[str]) -> DataFrame:
-    """Target after replacing rows by key and adding new keys; source NULLs overwrite, nothing is deleted."""
-    kept = target.join(source.select(*pk), list(pk), "left_anti")
+def upsert(target: DataFrame, source: DataFrame, pk: Sequence[str], many: bool = False) -> DataFrame:
+    """Target after replacing rows by key and adding new keys; source NULLs overwrite, nothing is deleted.
+
+    ``many`` source keys, too many to broadcast, are hashed by part, so the wide rows of the target are not sorted.
+    """
+    keys = source.select(*pk)
+    kept = target.join(keys.hint("shuffle_hash") if many else keys, list(pk), "left_anti")
     return kept.select(*target.columns).unionByName(source.select(*target.columns))
 
 
@@ -82,13 +87,17 @@ def load_table(spark: SparkSession, root: str, table: str, source: DataFrame, ru
     task, started, log = f"load_{table}", datetime.now(timezone.utc), f"{root}/pipeline_run_log"
     try:
         source = source.select(*[F.col(f.name).cast(f.dataType) for f in WAREHOUSE[table].fields])
-        rows = source.count()
-        if rows:
-            check_unique_key(source, pk)
-            partitions.settle(spark, path, schema)
-            source = source.withColumn(partitions.PART, partition_of(table, grain))
-            touched = partitions.holding(partitions.read(spark, path, schema), source, pk)
-            partitions.replace(upsert(partitions.read(spark, path, schema, touched), source, pk), path, touched)
+        with partitions.arriving(source.withColumn(partitions.PART, partition_of(table, grain)), path) as source:
+            rows = source.count()
+            if rows:
+                check_unique_key(source, pk)
+                partitions.settle(spark, path, schema)
+                present = partitions.stored_parts(spark, path)
+                touched = (partitions.holding(partitions.read(spark, path, schema), source, pk) if present
+                           else partitions.parts_of(source))
+                if present & set(touched):
+                    source = upsert(partitions.read(spark, path, schema, touched), source, pk, many=rows > MANY_KEYS)
+                partitions.replace(source, path, touched)
         row = run_log_row(run_id, task, started, rows, note=None if rows else "no rows")
         sinks.append_log(spark, "pipeline_run_log", [row], log)
         return rows

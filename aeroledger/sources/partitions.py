@@ -9,7 +9,8 @@ One writer at a time; readers that must not see a change half applied need a cat
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ def _pending(path: str) -> str:
     return f"{path.rstrip('/')}_pending"
 
 
+def _incoming(path: str) -> str:
+    return f"{path.rstrip('/')}_incoming"
+
+
 def _with_part(schema: T.StructType) -> T.StructType:
     return T.StructType([*[f for f in schema.fields if f.name != PART], T.StructField(PART, T.StringType())])
 
@@ -62,9 +67,22 @@ def parts_of(rows: DataFrame) -> list[str]:
 
 
 def holding(target: DataFrame, source: DataFrame, pk: Sequence[str]) -> list[str]:
-    """Partitions that hold a key of ``source`` or are to receive one: reads keys only."""
-    held = target.select(*pk, PART).join(source.select(*pk), list(pk), "left_semi").select(PART)
-    return parts_of(held.unionByName(source.select(PART)))
+    """Partitions that hold a key of ``source`` or are to receive one: reads keys only, and none where one is to be received."""
+    own = parts_of(source)
+    elsewhere = target.filter(~F.col(PART).isin(*own)) if own else target
+    held = elsewhere.select(*pk, PART).join(source.select(*pk), list(pk), "left_semi")
+    return sorted({*own, *parts_of(held)})
+
+
+@contextmanager
+def arriving(rows: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``rows`` stored beside the table while a change reads them several times, so that what they come from runs once."""
+    spark, incoming = rows.sparkSession, _incoming(path)
+    try:
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(incoming)
+        yield read_table(spark, incoming, rows.schema)
+    finally:
+        delete_folder(spark, incoming)
 
 
 def stored_parts(spark: SparkSession, path: str) -> set[str]:

@@ -87,6 +87,33 @@ def test_second_load_rewrites_only_touched_days(spark, tmp_path):
     assert "PartitionFilters: [_part" in plan.replace("isnotnull(_part#", "_part#") or "_part" in plan.split("PartitionFilters")[1].split("]")[0]
 
 
+def test_load_computes_its_source_once(spark, tmp_path):
+    root, rows_ = str(tmp_path), booked(spark, [("a", 1.0, 1), ("b", 1.0, 2), ("c", 1.0, None)])
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    source = rows_.mapInArrow(count, rows_.schema)
+    for n, run in enumerate(("r1", "r2"), 1):  # into an empty table, and over rows that are there
+        assert warehouse.load_table(spark, root, "fact_booking", source, run) == 3 and made.value == 3 * n
+        assert fares(spark, root) == {"a": (1.0, 1), "b": (1.0, 2), "c": (1.0, None)}
+    assert not tables.path_exists(spark, f"{root}/fact_booking_incoming")
+    with pytest.raises(ValueError):
+        warehouse.load_table(spark, root, "fact_booking", source.unionByName(source), "r3")
+    assert not tables.path_exists(spark, f"{root}/fact_booking_incoming") and len(fares(spark, root)) == 3
+
+
+def test_many_keys_do_not_sort_the_target(spark, rows):
+    target, source = (spark.createDataFrame(r, "k long, v string") for r in ([(1, "a"), (2, "b"), (None, "c")], [(2, "x"), (3, "y")]))
+    out = warehouse.upsert(target, source, ["k"], many=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(out) == rows(warehouse.upsert(target, source, ["k"])) and out.count() == 4
+
+
 def test_interrupted_load_is_made_good(spark, tmp_path, monkeypatch):
     root, path = str(tmp_path), str(tmp_path / "fact_booking")
     warehouse.load_table(spark, root, "fact_booking", booked(spark, [("a", 1.0, 1), ("b", 1.0, 2)]), "r1")
