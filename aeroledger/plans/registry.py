@@ -541,10 +541,13 @@ def _(t: Tables) -> DataFrame:
     UNION ALL SELECT 'fact_fare_snapshot', count(*) FROM part""")
 def _(t: Tables) -> DataFrame:
     """All tables of the warehouse, loaded and then loaded again, which must change nothing."""
-    root = scratch_path(t.spark, "warehouse")
+    root, entities = scratch_path(t.spark, "warehouse"), t.entities()
+    for entity in ("bookings", "baggage"):  # grouped from line items, once for both loads
+        sinks.write_table(entities[entity], f"{root}/silver_{entity}")
+        entities[entity] = sources.read_table(t.spark, f"{root}/silver_{entity}")
     for run in ("first", "second"):
         warehouse.load_warehouse(t.spark, root, {
-            entity: quality.add_audit_columns(rows, f"{entity}.csv", run, NOW) for entity, rows in t.entities().items()}, run, grain="month")
+            entity: quality.add_audit_columns(rows, f"{entity}.csv", run, NOW) for entity, rows in entities.items()}, run, grain="month")
     return sources.row_counts(warehouse.warehouse_tables(t.spark, root))
 
 # Each warehouse table over its values: (entity, table, key that tells the loads apart, columns of the SQL, source of the SQL).
