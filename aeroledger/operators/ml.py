@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from aeroledger.functions.columns import (
     flag, numeric, ratio, require_columns, right_closed_bins, round_to)
 from aeroledger.operators.analytics import chronological_rows
+from aeroledger.operators.forest import HistogramForestClassifier, predicted
 from aeroledger.operators.skew import SLICE_ROWS, stratified_rank, with_sequence
 from aeroledger.session import checkpointed
 
@@ -82,7 +82,10 @@ def dealt_for_training(train: DataFrame, rows: int, columns: Sequence[str]) -> D
 
 def train_delay_model(train: DataFrame, trees: int = 300, depth: int = 10, seed: int = 42,
                       label: str = "future_delay") -> PipelineModel:
-    """Random forest with classes weighted inversely to their frequency; one class alone is an error."""
+    """Random forest with classes weighted inversely to their frequency; one class alone is an error.
+
+    MLlib keeps two numbers per row and tree; sets that are dealt over several tasks are fitted from counts instead.
+    """
     sizes = {r[label]: r["count"] for r in train.groupBy(label).count().collect()}  # one row per class
     if len(sizes) < 2:
         raise ValueError("the target has a single class")
@@ -91,10 +94,11 @@ def train_delay_model(train: DataFrame, trees: int = 300, depth: int = 10, seed:
     for value, n in sizes.items():
         weight = F.when(F.col(label) == value, F.lit(total / (len(sizes) * n))).otherwise(weight)
     known = ", ".join(f"coalesce(cast({c} AS double), 0D) AS x_{c}" for c in DELAY_FEATURES)
+    forest = HistogramForestClassifier if total >= 2 * LEAST_TASK_ROWS else RandomForestClassifier
     stages = [SQLTransformer(statement=f"SELECT *, {known} FROM __THIS__"),
               VectorAssembler(inputCols=[f"x_{c}" for c in DELAY_FEATURES], outputCol="features"),
-              RandomForestClassifier(labelCol=label, featuresCol="features", weightCol="class_weight",
-                                     numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed, cacheNodeIds=True)]
+              forest(labelCol=label, featuresCol="features", weightCol="class_weight",
+                     numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed, cacheNodeIds=True)]
     return Pipeline(stages=stages).fit(dealt_for_training(train, total, [*DELAY_FEATURES, label]).withColumn("class_weight", weight))
 
 
@@ -107,12 +111,15 @@ def load_model(path: str) -> PipelineModel:
 
 
 def score_delay(model: PipelineModel, rows: DataFrame) -> DataFrame:
-    """Adds ``predicted_delay``, ``delay_probability`` and ``delay_risk_level`` (up to .30, up to .60, above)."""
-    scored = model.transform(rows)
-    helpers = [c for c in scored.columns if c.startswith("x_")] + ["features", "rawPrediction", "probability",
-                                                                   "prediction"]
-    return (scored.withColumn("predicted_delay", F.col("prediction").cast("int"))
-            .withColumn("delay_probability", vector_to_array("probability")[1]).drop(*helpers)
+    """Adds ``predicted_delay``, ``delay_probability`` and ``delay_risk_level`` (up to .30, up to .60, above).
+
+    Rows take few bytes and much time, so they are dealt out over a few tasks per core.
+    """
+    known, assembler, forest = model.stages
+    dealt = rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism)
+    scored = known.transform(dealt).withColumn("_scored", predicted(rows.sparkSession, forest, assembler.getInputCols()))
+    return (scored.withColumn("predicted_delay", F.col("_scored.prediction"))
+            .withColumn("delay_probability", F.col("_scored.probability")).drop("_scored", *assembler.getInputCols())
             .withColumn("delay_risk_level",
                         right_closed_bins("delay_probability", (0.30, 0.60, 1.01), ("LOW", "MEDIUM", "HIGH"))))
 
